@@ -178,3 +178,143 @@ def q_monthly_exact(spark, sf_dir):
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Daily sales KPIs: Bronze-shaped input -> Silver -> OBT -> roll-up."""
     return q_daily(spark, sf_dir)
+
+
+# ---------------------------------------------------------------- expectations
+
+from tierlake.operators import expectations as X  # noqa: E402
+from tierlake.operators.scd2 import scd2_initial  # noqa: E402
+from tierlake.plans.rules import RULE_SETS, build_checker  # noqa: E402
+
+RUN_DATE = "2024-01-01"
+
+O.SILVER_CTES["dim_customer_scd"] = f"""
+dim_customer_scd AS (
+  SELECT *, DATE '{RUN_DATE}' AS scd_effective_from, DATE '9999-12-31' AS scd_effective_to,
+         true AS scd_is_current FROM dim_customer)"""
+O.SILVER_CTES["dim_product_scd"] = f"""
+dim_product_scd AS (
+  SELECT *, DATE '{RUN_DATE}' AS scd_effective_from, DATE '9999-12-31' AS scd_effective_to,
+         true AS scd_is_current FROM dim_product)"""
+O._DEPENDS["dim_customer_scd"] = ("customers", "dim_customer")
+O._DEPENDS["dim_product_scd"] = ("products", "dim_product")
+
+# rule set -> (Spark input, SQL relation name, CTEs it needs)
+RULE_INPUTS: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str, tuple[str, ...], str]] = {
+    "bronze.sales": (RV.sales, "sales", ("sales",), ""),
+    "bronze.customers": (RV.customers, "customers", ("customers",), ""),
+    "bronze.products": (RV.products, "products", ("products",), ""),
+    "bronze.stores": (RV.stores, "stores", ("stores",), ""),
+    "bronze.inventory": (RV.inventory, "inventory", ("inventory",), ""),
+    "silver.fact_sales": (fact_sales_df, "fact", ("fact",), ""),
+    "silver.dim_customer": (
+        lambda s, d: scd2_initial(silver.build_dim_customer(RV.customers(s, d)), RUN_DATE),
+        "dim_customer_scd", ("dim_customer_scd",), ""),
+    "silver.dim_product": (
+        lambda s, d: scd2_initial(silver.build_dim_product(RV.products(s, d)), RUN_DATE),
+        "dim_product_scd", ("dim_product_scd",), ""),
+    "silver.dim_store": (lambda s, d: current_dims(s, d)[0], "dim_store", ("dim_store",), ""),
+    "gold.obt_sales": (obt_df, "obt", ("obt",), ""),
+    "gold.agg_daily_sales": (
+        lambda s, d: gold.agg_daily_sales(obt_df(s, d)), "daily", ("obt",),
+        "daily AS (" + _DAILY_SQL.format(tdate="CAST(transaction_date AS DATE)") + ")"),
+}
+
+RESULT_COLUMNS = ("rule_name", "severity", "passed", "failed_count")
+
+
+def _rules_query(set_name: str) -> Query:
+    fn, _, _, _ = RULE_INPUTS[set_name]
+
+    def q(spark, sf_dir):
+        return build_checker(set_name).results(fn(spark, sf_dir)).select(*RESULT_COLUMNS)
+    q.__doc__ = f"Rule results of the {set_name} rule set (fused evaluation)."
+    return q
+
+
+for _set in RULE_SETS:
+    _fn, _rel, _ctes, _extra = RULE_INPUTS[_set]
+    _sql = O.with_ctes(*_ctes, extra=_extra) + O.rule_set_sql(_rel, RULE_SETS[_set][1])
+    register("expect_" + _set.replace(".", "_"), _sql)(_rules_query(_set))
+
+
+def _report_sql() -> str:
+    ctes, extra = [], []
+    for s in RULE_SETS:
+        ctes += list(RULE_INPUTS[s][2])
+        if RULE_INPUTS[s][3] and RULE_INPUTS[s][3] not in extra:
+            extra.append(RULE_INPUTS[s][3])
+    layers = []
+    for s, (layer, rules) in RULE_SETS.items():
+        layers.append(f"SELECT '{s}' AS source, '{layer}' AS layer, * FROM ("
+                      + O.rule_set_sql(RULE_INPUTS[s][1], rules) + ")")
+    return O.with_ctes(*dict.fromkeys(ctes), extra=",".join(extra)) + """
+SELECT source, layer, count(*) AS total_rules, count_if(passed) AS passed_rules,
+       count_if(NOT passed AND severity = 'CRITICAL') AS critical_failures,
+       count_if(NOT passed AND severity <> 'CRITICAL') AS warnings,
+       count_if(NOT passed AND severity = 'CRITICAL') = 0 AS overall_passed
+FROM (""" + "\nUNION ALL\n".join(layers) + ") GROUP BY source, layer"
+
+
+@register("expect_report", _report_sql())
+def q_expect_report(spark, sf_dir):
+    """Summary per checked table (E11) over every rule set."""
+    parts = []
+    for s, (layer, _) in RULE_SETS.items():
+        res = build_checker(s).results(RULE_INPUTS[s][0](spark, sf_dir))
+        parts.append(X.summarize(res, s, layer).drop("run_id"))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+@register("expect_ref_integrity", O.with_ctes("fact", "dim_product", "dim_customer") + """
+SELECT 'ref_integrity:product_id->product_id' AS rule_name, 'WARNING' AS severity,
+       count(*) AS failed_count, count(*) = 0 AS passed
+FROM fact f WHERE f.product_id IS NOT NULL
+  AND NOT EXISTS (SELECT 1 FROM dim_product p WHERE p.is_active AND p.product_id = f.product_id)
+UNION ALL
+SELECT 'ref_integrity:customer_id->customer_id', 'WARNING', count(*), count(*) = 0
+FROM fact f WHERE f.customer_id IS NOT NULL
+  AND NOT EXISTS (SELECT 1 FROM dim_customer c WHERE c.customer_id = f.customer_id)""")
+def q_ref_integrity(spark, sf_dir):
+    """Sales of products missing from the active catalogue, and of unknown customers."""
+    _, customers, products = current_dims(spark, sf_dir)
+    chk = (X.Expectations("silver.fact_sales", layer="silver")
+           .expect_referential_integrity("product_id", products.filter("is_active"), "product_id")
+           .expect_referential_integrity("customer_id", customers, "customer_id"))
+    return chk.results(fact_sales_df(spark, sf_dir)).select(*RESULT_COLUMNS)
+
+
+# Row expectations of the event table used by the policy queries.
+EVENT_EXPECTATIONS = {
+    "non_negative_value": "value >= 0",
+    "value_under_50": "value < 50",
+    "not_error": "event_type <> 'error'",
+}
+_EVENT_VALID = " AND ".join(f"COALESCE({sql}, false)" for sql in EVENT_EXPECTATIONS.values())
+
+
+@register("rows_kept_after_drop", f"SELECT * FROM events WHERE {_EVENT_VALID}")
+def q_rows_kept(spark, sf_dir):
+    """Drop policy (E18): only rows meeting every expectation are kept."""
+    kept, _ = X.apply_expectations(RV.events(spark, sf_dir), EVENT_EXPECTATIONS, "drop")
+    return kept
+
+
+@register("rows_quarantined", "SELECT *, list_filter([" + ", ".join(
+    f"CASE WHEN NOT COALESCE({sql}, false) THEN '{name}' END" for name, sql in EVENT_EXPECTATIONS.items()
+) + f"], lambda x: x IS NOT NULL) AS _failed_expectations FROM events WHERE NOT ({_EVENT_VALID})")
+def q_rows_quarantined(spark, sf_dir):
+    """Rows violating an expectation with the names of the violated ones."""
+    _, bad = X.apply_expectations(RV.events(spark, sf_dir), EVENT_EXPECTATIONS, "warn")
+    return bad
+
+
+@register("expectation_violations", "\nUNION ALL\n".join(
+    f"SELECT '{name}' AS expectation, count_if(NOT COALESCE({sql}, false)) AS violations FROM events"
+    for name, sql in EVENT_EXPECTATIONS.items()))
+def q_violations(spark, sf_dir):
+    """Warn policy metrics (E17, T4): violation count per expectation, rows kept."""
+    return X.violation_counts(RV.events(spark, sf_dir), EVENT_EXPECTATIONS)
