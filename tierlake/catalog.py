@@ -318,3 +318,169 @@ def q_rows_quarantined(spark, sf_dir):
 def q_violations(spark, sf_dir):
     """Warn policy metrics (E17, T4): violation count per expectation, rows kept."""
     return X.violation_counts(RV.events(spark, sf_dir), EVENT_EXPECTATIONS)
+
+
+# ---------------------------------------------------------------- SCD2, changes, upsert, lineage
+
+import datetime as _dt  # noqa: E402
+
+from tierlake.operators.changes import snapshot_changes  # noqa: E402
+from tierlake.operators.dedupe import dedupe_latest  # noqa: E402
+from tierlake.operators.scd2 import current_rows, scd2_from_feed, scd2_merge  # noqa: E402
+from tierlake.operators.upsert import upsert_insert_only  # noqa: E402
+from tierlake.sources.lineage import add_lineage  # noqa: E402
+
+MERGE_DATE = "2024-02-01"
+
+_FEED_SQL = """
+WITH e AS (
+  SELECT event_id, ts, user_id, event_type, value,
+         lag(event_type) OVER w AS prev_type, row_number() OVER w AS rn
+  FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)),
+s AS (SELECT * FROM e WHERE rn = 1 OR prev_type IS DISTINCT FROM event_type),
+v AS (
+  SELECT event_id, ts, user_id, event_type, value, ts AS scd_effective_from,
+         lead(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS scd_effective_to
+  FROM s)
+SELECT *, scd_effective_to IS NULL AS scd_is_current FROM v"""
+
+
+def feed_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scd2_from_feed(RV.events(spark, sf_dir), keys=["user_id"], sequence_by=["ts", "event_id"],
+                          tracked=["event_type"], except_columns=["props"])
+
+
+@register("scd2_from_feed", _FEED_SQL)
+def q_scd2_feed(spark, sf_dir):
+    """Ordered change feed -> versions (V3, V4): a user's event type history."""
+    return feed_versions(spark, sf_dir)
+
+
+@register("current_versions", _FEED_SQL.replace("SELECT *, scd_effective_to IS NULL AS scd_is_current FROM v",
+                                                "SELECT *, true AS scd_is_current FROM v WHERE scd_effective_to IS NULL"))
+def q_current_versions(spark, sf_dir):
+    """Current version per key."""
+    return current_rows(feed_versions(spark, sf_dir))
+
+
+O.RETAIL_CTES["customers2"] = """
+customers2 AS (
+  SELECT * REPLACE (CASE WHEN customer_id % 7 = 0 THEN loyalty_points + 100 ELSE loyalty_points END AS loyalty_points,
+                    CASE WHEN customer_id % 19 = 0 THEN NULL ELSE city END AS city)
+  FROM customers WHERE customer_id % 23 <> 0
+  UNION ALL
+  SELECT * REPLACE (customer_id + 10000000 AS customer_id) FROM customers WHERE customer_id % 29 = 0)"""
+O.SILVER_CTES["dim_customer2"] = O.SILVER_CTES["dim_customer"].replace(
+    "dim_customer AS (", "dim_customer2 AS (").replace("FROM customers\n", "FROM customers2\n")
+O._DEPENDS["customers2"] = ("customers",)
+O._DEPENDS["dim_customer2"] = ("customers2",)
+
+
+def _merge_sql(null_safe: bool) -> str:
+    from tierlake.plans.silver import CUSTOMER_TRACKED, CUSTOMER_COLUMNS
+    if null_safe:
+        diff = " OR ".join(f"t.{c} IS DISTINCT FROM s.{c}" for c in CUSTOMER_TRACKED)
+    else:
+        diff = " OR ".join(f"COALESCE(t.{c} <> s.{c}, false)" for c in CUSTOMER_TRACKED)
+    cols_t = ", ".join(f"t.{c}" for c in CUSTOMER_COLUMNS)
+    cols_s = ", ".join(f"s.{c}" for c in CUSTOMER_COLUMNS)
+    return O.with_ctes("dim_customer", "dim_customer2") + f"""
+SELECT {cols_t}, DATE '{RUN_DATE}' AS scd_effective_from,
+       CASE WHEN s.customer_id IS NOT NULL AND ({diff}) THEN DATE '{MERGE_DATE}' ELSE DATE '9999-12-31' END
+         AS scd_effective_to,
+       NOT (s.customer_id IS NOT NULL AND ({diff})) AS scd_is_current
+FROM dim_customer t LEFT JOIN dim_customer2 s ON t.customer_id = s.customer_id
+UNION ALL
+SELECT {cols_s}, DATE '{MERGE_DATE}', DATE '9999-12-31', true
+FROM dim_customer2 s LEFT JOIN dim_customer t ON t.customer_id = s.customer_id
+WHERE t.customer_id IS NULL OR ({diff})"""
+
+
+def _merged(spark: SparkSession, sf_dir: str, null_safe: bool) -> DataFrame:
+    from tierlake.plans.silver import CUSTOMER_TRACKED
+    first = scd2_initial(silver.build_dim_customer(RV.customers(spark, sf_dir)), RUN_DATE)
+    second = silver.build_dim_customer(RV.customer_snapshot_2(spark, sf_dir))
+    return scd2_merge(first, second, "customer_id", CUSTOMER_TRACKED, MERGE_DATE, null_safe=null_safe)
+
+
+@register("scd2_merge_null_safe", _merge_sql(True))
+def q_scd2_merge(spark, sf_dir):
+    """Snapshot merge into an SCD2 customer dimension, NULL-safe change test (V1, V1a-c, V5)."""
+    return _merged(spark, sf_dir, True)
+
+
+@register("scd2_merge_reference", _merge_sql(False))
+def q_scd2_merge_ref(spark, sf_dir):
+    """Same merge with a plain <> change test: NULL transitions are not changes (Q9)."""
+    return _merged(spark, sf_dir, False)
+
+
+def _changes_sql() -> str:
+    from tierlake.plans.silver import CUSTOMER_COLUMNS
+    rest = [c for c in CUSTOMER_COLUMNS if c != "customer_id"]
+    diff = " OR ".join(f"o.{c} IS DISTINCT FROM n.{c}" for c in rest)
+    pick = ", ".join(f"CASE WHEN n.customer_id IS NOT NULL THEN n.{c} ELSE o.{c} END AS {c}" for c in rest)
+    return O.with_ctes("dim_customer", "dim_customer2") + f"""
+SELECT COALESCE(n.customer_id, o.customer_id) AS customer_id,
+       CASE WHEN n.customer_id IS NULL THEN 'delete' WHEN o.customer_id IS NULL THEN 'insert'
+            ELSE 'update' END AS change_type, {pick}
+FROM dim_customer o FULL OUTER JOIN dim_customer2 n ON o.customer_id = n.customer_id
+WHERE o.customer_id IS NULL OR n.customer_id IS NULL OR ({diff})"""
+
+
+@register("snapshot_changes", _changes_sql())
+def q_snapshot_changes(spark, sf_dir):
+    """Insert / update / delete rows between two customer snapshots."""
+    old = silver.build_dim_customer(RV.customers(spark, sf_dir))
+    new = silver.build_dim_customer(RV.customer_snapshot_2(spark, sf_dir))
+    return snapshot_changes(old, new, ["customer_id"])
+
+
+def _orders_landed(spark: SparkSession, sf_dir: str, first_year: int, last_year: int) -> DataFrame:
+    """Orders as delivered in yearly files; the file name is part of the merge key."""
+    o = RV.table(spark, sf_dir, "orders")
+    y = F.year("o_orderdate")
+    return (o.filter((y >= first_year) & (y <= last_year))
+            .withColumn("_source_file", F.concat(F.lit("orders/"), y.cast("string"), F.lit(".csv"))))
+
+
+_ORDERS_LANDED = ("SELECT *, 'orders/' || CAST(year(o_orderdate) AS VARCHAR) || '.csv' AS _source_file "
+                  "FROM orders WHERE year(o_orderdate) BETWEEN {a} AND {b}")
+
+
+@register("upsert_insert_only", f"""
+WITH t AS ({_ORDERS_LANDED.format(a=1900, b=1998)}),
+     s AS ({_ORDERS_LANDED.format(a=1998, b=2100)})
+SELECT * FROM t
+UNION ALL
+SELECT * FROM s WHERE NOT EXISTS (
+  SELECT 1 FROM t WHERE t.o_orderkey = s.o_orderkey AND t._source_file = s._source_file)""")
+def q_upsert(spark, sf_dir):
+    """Insert-only merge on (key, file): a re-delivered yearly file adds nothing."""
+    target = _orders_landed(spark, sf_dir, 1900, 1998)
+    incoming = _orders_landed(spark, sf_dir, 1998, 2100)
+    return upsert_insert_only(target, incoming, ["o_orderkey", "_source_file"])
+
+
+@register("bronze_lineage", """
+SELECT *, 'orders' AS _source, 'orders.parquet' AS _source_file, 'batch-0001' AS _batch_id,
+       TIMESTAMP '2024-01-01 06:30:00' AS _ingested_at, DATE '2024-01-01' AS ingestion_date
+FROM orders""")
+def q_lineage(spark, sf_dir):
+    """Lineage columns with the real input file of every row."""
+    o = RV.table(spark, sf_dir, "orders")
+    out = add_lineage(o, "orders", "batch-0001", _dt.datetime(2024, 1, 1, 6, 30))
+    # the file name (not the storage-specific prefix) is compared
+    return out.withColumn("_source_file", F.regexp_extract("_source_file", r"([^/]+)$", 1)) \
+              .withColumn("_ingested_at", F.col("_ingested_at").cast("timestamp_ntz"))
+
+
+@register("dedupe_latest", """
+SELECT * FROM lineitem
+QUALIFY row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY
+  l_shipdate DESC, l_partkey DESC, l_suppkey DESC, l_quantity DESC, l_extendedprice DESC,
+  l_discount DESC, l_tax DESC, l_returnflag DESC, l_linestatus DESC) = 1""")
+def q_dedupe(spark, sf_dir):
+    """Latest shipment per (order, line) with a total tie-break (P8, DEC5)."""
+    li = RV.table(spark, sf_dir, "lineitem")
+    return dedupe_latest(li, ["l_orderkey", "l_linenumber"], ["l_shipdate"])

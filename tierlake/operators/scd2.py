@@ -26,6 +26,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tierlake.session import ensure_checkpoint_dir
+
 # SCD2 column names and the open-ended high date.
 EFFECTIVE_FROM = "scd_effective_from"
 EFFECTIVE_TO = "scd_effective_to"
@@ -127,8 +129,13 @@ def scd2_from_feed(feed: DataFrame, keys: Sequence[str], sequence_by: Sequence[s
     n = segments or int(spark.conf.get("spark.sql.shuffle.partitions"))
     keep = [c for c in feed.columns if c not in except_columns]
 
-    # contiguous segments of (key, sequence); a hot key spans many segments
-    x = feed.select(*keep).repartitionByRange(n, *keys, *seq).withColumn("_seg", F.spark_partition_id())
+    # contiguous segments of (key, sequence); a hot key spans many segments.
+    # Segment ids must be identical in every branch below, and range bounds
+    # are sampled per exchange: the segmented feed is checkpointed once
+    # (reliable storage under spark.checkpoint.dir, survives executor loss).
+    ensure_checkpoint_dir(spark)
+    x = (feed.select(*keep).repartitionByRange(n, *keys, *seq)
+         .withColumn("_seg", F.spark_partition_id()).checkpoint(eager=True))
     vals = F.struct(*[F.col(c) for c in tracked])
     order = F.struct(*[F.col(c) for c in seq])
     in_seg = Window.partitionBy(*keys, "_seg").orderBy(*seq)
