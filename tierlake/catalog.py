@@ -484,3 +484,144 @@ def q_dedupe(spark, sf_dir):
     """Latest shipment per (order, line) with a total tie-break (P8, DEC5)."""
     li = RV.table(spark, sf_dir, "lineitem")
     return dedupe_latest(li, ["l_orderkey", "l_linenumber"], ["l_shipdate"])
+
+
+# ---------------------------------------------------------------- KPIs
+
+from tierlake.plans import kpis as K  # noqa: E402
+
+
+@register("kpi_revenue_orders", O.with_ctes("obt") + """
+SELECT year, CAST(sum(net_amount) AS DECIMAL(22,2)) AS revenue, count(DISTINCT order_id) AS orders,
+       count(*) AS lines, CAST(sum(quantity) AS BIGINT) AS units
+FROM obt GROUP BY year""")
+def q_kpi_revenue(spark, sf_dir):
+    """K1: revenue and orders per year."""
+    return K.revenue_and_orders(obt_df(spark, sf_dir))
+
+
+@register("kpi_basket", O.with_ctes("obt") + """
+SELECT year, count(*) AS orders,
+       CAST(sum(order_net) AS DOUBLE) / count(order_net) AS avg_basket_value,
+       CAST(sum(order_units) AS DOUBLE) / count(order_units) AS avg_basket_units
+FROM (SELECT year, order_id, sum(net_amount) AS order_net, sum(quantity) AS order_units
+      FROM obt GROUP BY year, order_id) GROUP BY year""")
+def q_kpi_basket(spark, sf_dir):
+    """K2: average basket value and units per order."""
+    return K.basket_size(obt_df(spark, sf_dir))
+
+
+@register("kpi_top_products", O.with_ctes("obt") + """
+SELECT product_id, product_name, CAST(sum(net_amount) AS DECIMAL(22,2)) AS revenue,
+       CAST(sum(quantity) AS BIGINT) AS units
+FROM obt GROUP BY product_id, product_name ORDER BY revenue DESC, product_id ASC LIMIT 10""")
+def q_kpi_top_products(spark, sf_dir):
+    """K3: ten best-selling products by revenue (top-k report)."""
+    return K.top_n(obt_df(spark, sf_dir), "product_id", "product_name", 10)
+
+
+@register("kpi_top_stores", O.with_ctes("obt") + """
+SELECT store_id, store_name, CAST(sum(net_amount) AS DECIMAL(22,2)) AS revenue,
+       CAST(sum(quantity) AS BIGINT) AS units
+FROM obt GROUP BY store_id, store_name ORDER BY revenue DESC, store_id ASC NULLS FIRST LIMIT 10""")
+def q_kpi_top_stores(spark, sf_dir):
+    """K3: ten best stores by revenue (online sales form the NULL store)."""
+    return K.top_n(obt_df(spark, sf_dir), "store_id", "store_name", 10)
+
+
+@register("kpi_trend_yoy", O.with_ctes("obt") + """
+SELECT year, month, revenue,
+       CASE WHEN lag(year) OVER (PARTITION BY month ORDER BY year) = year - 1
+            THEN lag(revenue) OVER (PARTITION BY month ORDER BY year) END AS revenue_prev_year,
+       lag(revenue) OVER (PARTITION BY year ORDER BY month) AS revenue_prev_month_same_year
+FROM (SELECT year, month, CAST(sum(net_amount) AS DECIMAL(22,2)) AS revenue FROM obt GROUP BY year, month)""")
+def q_kpi_trend(spark, sf_dir):
+    """K4: monthly revenue trend with year-over-year comparison."""
+    return K.monthly_trend(obt_df(spark, sf_dir))
+
+
+_CM_SQL = """
+cm AS (SELECT DISTINCT customer_id, CAST(date_trunc('month', transaction_date) AS DATE) AS month_start
+       FROM obt WHERE customer_id IS NOT NULL),
+firsts AS (SELECT customer_id, min(month_start) AS first_month FROM cm GROUP BY customer_id)"""
+
+
+@register("kpi_new_returning", O.with_ctes("obt", extra=_CM_SQL) + """
+SELECT month_start, count_if(month_start = first_month) AS new_customers,
+       count_if(month_start > first_month) AS returning_customers
+FROM cm JOIN firsts USING (customer_id) GROUP BY month_start""")
+def q_kpi_new_returning(spark, sf_dir):
+    """K5: new versus returning customers per month."""
+    return K.new_vs_returning(obt_df(spark, sf_dir))
+
+
+@register("kpi_cohort", O.with_ctes("obt", extra=_CM_SQL) + """
+SELECT first_month AS cohort_month,
+       CAST((year(month_start) - year(first_month)) * 12 + month(month_start) - month(first_month) AS INTEGER)
+         AS months_since,
+       count(*) AS active_customers
+FROM cm JOIN firsts USING (customer_id) GROUP BY ALL""")
+def q_kpi_cohort(spark, sf_dir):
+    """K6: cohort retention (first purchase month x months since)."""
+    return K.cohort_retention(obt_df(spark, sf_dir))
+
+
+_INV_SQL = """
+inv AS (SELECT *, CASE WHEN quantity_on_hand <= 0 THEN 'out_of_stock'
+                       WHEN quantity_on_hand <= reorder_point THEN 'low_stock' ELSE 'in_stock' END AS stock_status,
+               quantity_on_hand - quantity_reserved AS available_qty FROM inventory)"""
+
+
+@register("kpi_low_stock", O.with_ctes("inventory", "dim_product", extra=_INV_SQL) + """
+SELECT i.inventory_id, i.store_id, i.product_id, p.product_name, p.category, i.quantity_on_hand,
+       i.reorder_point, i.available_qty, i.stock_status
+FROM inv i LEFT JOIN dim_product p ON i.product_id = p.product_id
+WHERE i.stock_status <> 'in_stock'""")
+def q_kpi_low_stock(spark, sf_dir):
+    """K7: low / out-of-stock alerts."""
+    inv = silver.build_dim_inventory(RV.inventory(spark, sf_dir))
+    return K.low_stock_alerts(inv, silver.build_dim_product(RV.products(spark, sf_dir)))
+
+
+@register("kpi_stock_by_store", O.with_ctes("inventory", extra=_INV_SQL) + """
+SELECT store_id, count(*) AS items, count_if(stock_status = 'out_of_stock') AS out_of_stock,
+       count_if(stock_status = 'low_stock') AS low_stock, CAST(sum(available_qty) AS BIGINT) AS available_qty
+FROM inv GROUP BY store_id""")
+def q_kpi_stock_by_store(spark, sf_dir):
+    """K7: stock position per store."""
+    return K.stock_by_store(silver.build_dim_inventory(RV.inventory(spark, sf_dir)))
+
+
+@register("kpi_filtered_category_month", O.with_ctes("obt") + """
+SELECT product_category, year, month, CAST(sum(net_amount) AS DECIMAL(22,2)) AS revenue
+FROM obt
+WHERE CAST(transaction_date AS DATE) BETWEEN DATE '1997-01-01' AND DATE '1998-06-30'
+  AND product_category IN ('ECONOMY', 'PROMO')
+GROUP BY product_category, year, month""")
+def q_kpi_filtered(spark, sf_dir):
+    """K8: date range and category filters (the filter is the feature)."""
+    f = K.filter_sales(obt_df(spark, sf_dir), "1997-01-01", "1998-06-30", categories=["ECONOMY", "PROMO"])
+    return f.groupBy("product_category", "year", "month").agg(F.sum("net_amount").alias("revenue"))
+
+
+@register("kpi_turnover", O.with_ctes("obt", "inventory") + """
+SELECT s.product_id, COALESCE(o.units_sold, 0) AS units_sold, s.units_on_hand,
+       CASE WHEN s.units_on_hand > 0 THEN CAST(COALESCE(o.units_sold, 0) AS DOUBLE) / s.units_on_hand END AS turnover
+FROM (SELECT product_id, CAST(sum(quantity_on_hand) AS BIGINT) AS units_on_hand FROM inventory GROUP BY product_id) s
+LEFT JOIN (SELECT product_id, CAST(sum(quantity) AS BIGINT) AS units_sold FROM obt GROUP BY product_id) o
+  ON s.product_id = o.product_id""")
+def q_kpi_turnover(spark, sf_dir):
+    """Inventory turnover per product."""
+    inv = silver.build_dim_inventory(RV.inventory(spark, sf_dir))
+    return K.inventory_turnover(obt_df(spark, sf_dir), inv)
+
+
+@register("kpi_clv", O.with_ctes("obt") + """
+SELECT customer_id, CAST(sum(net_amount) AS DECIMAL(22,2)) AS lifetime_revenue,
+       count(DISTINCT order_id) AS orders,
+       min(CAST(transaction_date AS DATE)) AS first_purchase, max(CAST(transaction_date AS DATE)) AS last_purchase,
+       CAST(sum(net_amount) AS DOUBLE) / count(DISTINCT order_id) AS revenue_per_order
+FROM obt WHERE customer_id IS NOT NULL GROUP BY customer_id""")
+def q_kpi_clv(spark, sf_dir):
+    """Customer lifetime value."""
+    return K.customer_lifetime_value(obt_df(spark, sf_dir))
