@@ -625,3 +625,154 @@ FROM obt WHERE customer_id IS NOT NULL GROUP BY customer_id""")
 def q_kpi_clv(spark, sf_dir):
     """Customer lifetime value."""
     return K.customer_lifetime_value(obt_df(spark, sf_dir))
+
+
+# ---------------------------------------------------------------- landing readers, contracts
+
+from tierlake.session import scratch_path  # noqa: E402
+from tierlake.sources import contracts as C  # noqa: E402
+from tierlake.sources.landing import read_landing  # noqa: E402
+
+# Contract of the orders extract used by the reader round trips.
+ORDERS_CONTRACT = {
+    "required": ["o_orderkey", "o_custkey", "o_orderdate"],
+    "properties": {
+        "o_orderkey": {"type": "integer", "minimum": 0},
+        "o_custkey": {"type": "integer", "minimum": 0},
+        "o_orderstatus": {"type": "string", "enum": ["F", "O", "P"]},
+        "o_totalprice": {"type": "number", "minimum": 0},
+        "o_orderdate": {"type": "string", "format": "date-time"},
+        "o_orderpriority": {"type": "string"},
+        "o_note": {"type": ["string", "null"]},
+    },
+}
+_ORDER_COLS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"]
+_NOTE_SQL = "CASE WHEN year(o_orderdate) > 1997 THEN o_orderstatus || '-' || o_orderpriority END AS o_note"
+
+
+def _orders_two_layouts(spark: SparkSession, sf_dir: str):
+    """Orders up to 1997 in the first layout; later ones reordered, with a new column."""
+    o = RV.table(spark, sf_dir, "orders").withColumn("o_orderdate", F.col("o_orderdate").cast("timestamp"))
+    y = F.year("o_orderdate")
+    early = o.filter(y <= 1997).select(*_ORDER_COLS)
+    late = o.filter(y > 1997).select(
+        "o_orderpriority", "o_orderkey", "o_orderdate", "o_custkey", "o_totalprice", "o_orderstatus",
+        F.concat_ws("-", "o_orderstatus", "o_orderpriority").alias("o_note"))
+    return early, late
+
+
+def _round_trip_out(df: DataFrame) -> DataFrame:
+    return df.select(*_ORDER_COLS, "o_note").withColumn("o_orderdate", F.col("o_orderdate").cast("timestamp_ntz"))
+
+
+_ROUND_TRIP_SQL = f"SELECT {', '.join(_ORDER_COLS)}, {_NOTE_SQL} FROM orders"
+
+
+@register("csv_round_trip", _ROUND_TRIP_SQL)
+def q_csv_round_trip(spark, sf_dir):
+    """CSV files whose headers drifted are read by name, typed by contract."""
+    root = scratch_path(spark, "landing-csv")
+    early, late = _orders_two_layouts(spark, sf_dir)
+    early.write.option("header", "true").csv(f"{root}/orders/layout=1")
+    late.write.option("header", "true").csv(f"{root}/orders/layout=2")
+    return _round_trip_out(read_landing(spark, f"{root}/orders", "csv", ORDERS_CONTRACT))
+
+
+@register("json_read", _ROUND_TRIP_SQL)
+def q_json_read(spark, sf_dir):
+    """JSON landing files read with the contract's schema."""
+    root = scratch_path(spark, "landing-json")
+    early, late = _orders_two_layouts(spark, sf_dir)
+    early.write.json(f"{root}/orders/a")
+    late.write.json(f"{root}/orders/b")
+    return _round_trip_out(read_landing(spark, f"{root}/orders", "json", ORDERS_CONTRACT))
+
+
+@register("parquet_read", _ROUND_TRIP_SQL)
+def q_parquet_read(spark, sf_dir):
+    """Parquet landing files (S3); files of both layouts merged by name."""
+    root = scratch_path(spark, "landing-parquet")
+    early, late = _orders_two_layouts(spark, sf_dir)
+    early.write.parquet(f"{root}/orders/a")
+    late.write.parquet(f"{root}/orders/b")
+    return _round_trip_out(read_landing(spark, f"{root}/orders", "parquet"))
+
+
+# ---------------------------------------------------------------- whole layered run
+
+from tierlake.plans import layers as L, runlog as R  # noqa: E402
+
+LAKE_TABLES = {
+    "bronze": ("sales", "customers", "products", "stores", "inventory"),
+    "silver": ("dim_date", "dim_store", "dim_customer", "dim_product", "dim_inventory", "fact_sales"),
+    "gold": ("dim_customer", "dim_product", "dim_store", "dim_date", "fact_sales", "obt_sales",
+             "agg_daily_sales", "agg_monthly_sales"),
+}
+LAKE_CALENDAR = ("1990-01-01", "2030-12-31")
+
+
+def run_lake(spark: SparkSession, sf_dir: str) -> L.RunContext:
+    """Landing files from the driver tables, then bronze -> silver -> gold with checks."""
+    root = scratch_path(spark, "lake")
+    RV.write_landing(spark, sf_dir, f"{root}/landing")
+    ctx = L.RunContext(spark, f"{root}/landing", f"{root}/lake", as_of=_dt.datetime(2024, 1, 1, 6, 0),
+                       calendar_start=LAKE_CALENDAR[0], calendar_end=LAKE_CALENDAR[1])
+    L.run_layers(ctx, halt=False)
+    return ctx
+
+
+def lake_tables(ctx: L.RunContext) -> dict[str, DataFrame]:
+    out = {}
+    for layer, names in LAKE_TABLES.items():
+        read = {"bronze": L.bronze_table, "silver": L.silver_table, "gold": L.gold_table}[layer]
+        for n in names:
+            out[f"{layer}.{n}"] = read(ctx, n)
+    out[R.QUALITY_LOG] = ctx.spark.read.parquet(f"{ctx.lake_root}/{R.QUALITY_LOG}")
+    out[R.PIPELINE_RUNS] = ctx.spark.read.parquet(f"{ctx.lake_root}/{R.PIPELINE_RUNS}")
+    return out
+
+
+# In the lake the ids are prefixed strings, so "latest" duplicates are ordered as text.
+O.SILVER_CTES["fact_lake"] = O.SILVER_CTES["fact"].replace("fact_latest", "fl_latest").replace(
+    "fact_g", "fl_g").replace("fact_d", "fl_d").replace("fact AS (", "fact_lake AS (").replace(
+    "store_id DESC NULLS LAST,\n      customer_id DESC NULLS LAST, product_id DESC NULLS LAST",
+    "'STR-' || store_id DESC NULLS LAST,\n      'CUST-' || customer_id DESC NULLS LAST, "
+    "'PRD-' || product_id DESC NULLS LAST")
+O.SILVER_CTES["obt_lake"] = O.SILVER_CTES["obt"].replace("obt AS (", "obt_lake AS (").replace(
+    "FROM fact f", "FROM fact_lake f")
+O._DEPENDS["fact_lake"] = ("sales",)
+O._DEPENDS["obt_lake"] = ("sales", "customers", "products", "stores", "fact_lake", "dim_customer",
+                          "dim_product", "dim_store")
+assert "'STR-' || store_id" in O.SILVER_CTES["fact_lake"]
+
+
+@register("lake_table_counts", O.with_ctes("obt_lake", "inventory") + f"""
+SELECT * FROM (VALUES
+  ('bronze.sales', (SELECT count(DISTINCT transaction_id) FROM sales)),
+  ('bronze.customers', (SELECT count(*) FROM customer)),
+  ('bronze.products', (SELECT count(*) FROM part)),
+  ('bronze.stores', (SELECT count(*) FROM supplier)),
+  ('bronze.inventory', (SELECT count(*) FROM part)),
+  ('silver.dim_date', (SELECT CAST(DATE '{LAKE_CALENDAR[1]}' - DATE '{LAKE_CALENDAR[0]}' + 1 AS BIGINT))),
+  ('silver.dim_store', (SELECT count(*) FROM supplier)),
+  ('silver.dim_customer', (SELECT count(*) FROM customer)),
+  ('silver.dim_product', (SELECT count(*) FROM part)),
+  ('silver.dim_inventory', (SELECT count(*) FROM part)),
+  ('silver.fact_sales', (SELECT count(*) FROM fact_lake)),
+  ('gold.dim_customer', (SELECT count(*) FROM customer)),
+  ('gold.dim_product', (SELECT count(*) FROM part)),
+  ('gold.dim_store', (SELECT count(*) FROM supplier)),
+  ('gold.dim_date', (SELECT CAST(DATE '{LAKE_CALENDAR[1]}' - DATE '{LAKE_CALENDAR[0]}' + 1 AS BIGINT))),
+  ('gold.fact_sales', (SELECT count(*) FROM fact_lake)),
+  ('gold.obt_sales', (SELECT count(*) FROM obt_lake)),
+  ('gold.agg_daily_sales', (SELECT count(*) FROM (SELECT DISTINCT year, month, CAST(transaction_date AS DATE),
+      store_id, store_name, store_region, product_category, channel FROM obt_lake))),
+  ('gold.agg_monthly_sales', (SELECT count(*) FROM (SELECT DISTINCT year, month, store_id, store_name,
+      store_region, product_category, channel FROM obt_lake))),
+  ('{R.QUALITY_LOG}', 72),
+  ('{R.PIPELINE_RUNS}', 19)
+) AS t(table_name, row_count)""")
+def q_lake_counts(spark, sf_dir):
+    """Whole run from landing files to Gold with checks; row count per table."""
+    ctx = run_lake(spark, sf_dir)
+    return R.table_counts(lake_tables(ctx))

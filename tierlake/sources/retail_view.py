@@ -159,3 +159,40 @@ def customer_snapshot_2(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     new_keys = c.filter(k % 29 == 0).withColumn("customer_id", k + 10_000_000)
     return later.unionByName(new_keys)
+
+
+def _prefixed(c: str, prefix: str):
+    return F.when(F.col(c).isNotNull(), F.concat(F.lit(prefix), F.col(c).cast("string"))).alias(c)
+
+
+def write_landing(spark: SparkSession, sf_dir: str, landing_root: str) -> None:
+    """Write the five entities as landing CSV files with string ids (TXN-, ORD-,
+    CUST-, PRD-, STR- prefixes), as an upstream system would deliver them.
+    Sales land as one file per order year; every duplicate of a transaction id
+    belongs to one order, hence to one file."""
+    root = landing_root.rstrip("/")
+    s = sales(spark, sf_dir)
+    y = F.year("transaction_date")
+    (s.select(
+        _prefixed("transaction_id", "TXN-"), _prefixed("order_id", "ORD-"),
+        F.date_format("transaction_date", "yyyy-MM-dd HH:mm:ss").alias("transaction_date"),
+        _prefixed("store_id", "STR-"), _prefixed("customer_id", "CUST-"), _prefixed("product_id", "PRD-"),
+        "quantity", F.col("unit_price").cast("double").alias("unit_price"),
+        F.col("discount_pct").cast("double").alias("discount_pct"), "payment_method", "channel",
+        y.alias("_year"))
+     .repartition("_year").write.partitionBy("_year").option("header", "true").csv(f"{root}/sales"))
+    c = customers(spark, sf_dir)
+    c.select(_prefixed("customer_id", "CUST-"), *[x for x in c.columns if x != "customer_id"]) \
+        .write.option("header", "true").csv(f"{root}/customers")
+    p = products(spark, sf_dir)
+    p.select(_prefixed("product_id", "PRD-"),
+             *[F.col(x).cast("double").alias(x) if x in ("unit_cost", "unit_price") else F.col(x)
+               for x in p.columns if x != "product_id"]) \
+        .write.option("header", "true").csv(f"{root}/products")
+    st = stores(spark, sf_dir)
+    st.select(_prefixed("store_id", "STR-"), *[x for x in st.columns if x != "store_id"]) \
+        .write.option("header", "true").csv(f"{root}/stores")
+    inv = inventory(spark, sf_dir)
+    inv.select("inventory_id", _prefixed("store_id", "STR-"), _prefixed("product_id", "PRD-"),
+               *[x for x in inv.columns if x not in ("inventory_id", "store_id", "product_id")]) \
+        .write.option("header", "true").csv(f"{root}/inventory")
