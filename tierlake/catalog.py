@@ -776,3 +776,59 @@ def q_lake_counts(spark, sf_dir):
     """Whole run from landing files to Gold with checks; row count per table."""
     ctx = run_lake(spark, sf_dir)
     return R.table_counts(lake_tables(ctx))
+
+
+# ---------------------------------------------------------------- streaming
+
+from pyspark.sql import types as _T  # noqa: E402
+
+from tierlake.streaming import ingest as S  # noqa: E402
+from tierlake.streaming.scd2_stream import BUCKET, read_versioned, start_scd2_stream  # noqa: E402
+
+EVENTS_SCHEMA = _T.StructType([
+    _T.StructField("event_id", _T.LongType()), _T.StructField("ts", _T.TimestampType()),
+    _T.StructField("user_id", _T.LongType()), _T.StructField("event_type", _T.StringType()),
+    _T.StructField("value", _T.DoubleType()), _T.StructField("props", _T.StringType()),
+])
+
+
+def _land_events(spark: SparkSession, sf_dir: str, root: str, files: int = 12) -> str:
+    """Events as CSV files; rows of a day are spread over files, so micro-batches
+    see them out of order."""
+    path = f"{root}/landing/events"
+    (RV.events(spark, sf_dir).withColumn("ts", F.col("ts").cast("timestamp"))
+     .repartition(files, F.to_date("ts")).write.option("header", "true")
+     .option("timestampFormat", S.TIMESTAMP_FORMAT).csv(path))
+    return path
+
+
+def _ntz(df: DataFrame, *cols: str) -> DataFrame:
+    for c in cols:
+        df = df.withColumn(c, F.col(c).cast("timestamp_ntz"))
+    return df
+
+
+@register("stream_ingest", "SELECT *, 'events' AS _source FROM events")
+def q_stream_ingest(spark, sf_dir):
+    """Triggered file stream into Bronze, run twice: exactly once."""
+    root = scratch_path(spark, "stream-ingest")
+    landing = _land_events(spark, sf_dir, root)
+    for _ in range(2):  # the second run finds no new file and adds nothing
+        s = S.landing_stream(spark, landing, EVENTS_SCHEMA, max_files_per_trigger=4)
+        s = S.with_expectations(S.with_stream_lineage(s, "events"), EVENT_EXPECTATIONS, "warn")
+        S.start_file_sink(s, f"{root}/bronze/events", f"{root}/_checkpoints/events").awaitTermination()
+    out = spark.read.parquet(f"{root}/bronze/events")
+    return _ntz(out.select(*EVENTS_SCHEMA.names, "_source"), "ts")
+
+
+@register("stream_scd2", _FEED_SQL)
+def q_stream_scd2(spark, sf_dir):
+    """Versions maintained by micro-batches arriving out of order (T5); equals the batch result."""
+    root = scratch_path(spark, "stream-scd2")
+    landing = _land_events(spark, sf_dir, root)
+    stream = S.landing_stream(spark, landing, EVENTS_SCHEMA, max_files_per_trigger=4)
+    start_scd2_stream(stream, f"{root}/feed", f"{root}/versions", f"{root}/_checkpoints/scd2",
+                      keys=["user_id"], sequence_by=["ts", "event_id"], tracked=["event_type"],
+                      except_columns=["props"], buckets=16).awaitTermination()
+    out = read_versioned(spark, f"{root}/versions").drop(BUCKET)
+    return _ntz(out, "ts", "scd_effective_from", "scd_effective_to")
