@@ -46,6 +46,20 @@ def _observed(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
     return df.observe(obs, F.count(F.lit(1)).alias("rows")), obs
 
 
+def _rows(obs: Observation, fallback: DataFrame | None = None) -> int:
+    """Observed row count of a finished action.
+
+    When a stage turns out empty at run time, AQE replaces that part of the
+    plan by an empty relation and its observed metrics are not reported. For
+    an observed write that means nothing was written (0); an observed input
+    upstream of an empty join is counted once instead (rare: a replay).
+    """
+    try:
+        return int(obs.get["rows"])
+    except Exception:
+        return int(fallback.count()) if fallback is not None else 0
+
+
 # ---------------------------------------------------------------- bronze
 
 
@@ -64,15 +78,15 @@ def ingest_source(ctx: RunContext, spec: SourceSpec) -> dict:
             sf, target_filter = F.lit(path), F.col("_source_file") == F.lit(path)
         else:
             sf, target_filter = F.col("_source_file"), F.col("_source_file").isin(files)
-        enriched = add_lineage(raw, spec.name, ctx.run_id, ctx.as_of, source_file=sf)
-        enriched, read_obs = _observed(enriched, f"read_{spec.name}_{ctx.run_id}")
+        plain = add_lineage(raw, spec.name, ctx.run_id, ctx.as_of, source_file=sf)
+        enriched, read_obs = _observed(plain, f"read_{spec.name}_{ctx.run_id}")
         target_root = ctx.path("bronze", spec.name)
         target = tables.read_appended(ctx.spark, target_root)
         new_rows = rows_to_insert(target, enriched, [spec.primary_key, "_source_file"], target_filter)
         new_rows, write_obs = _observed(new_rows, f"write_{spec.name}_{ctx.run_id}")
         tables.append(new_rows, target_root, spec.partition_cols)
         return runlog.run_record(ctx.run_id, "bronze", spec.name, "success", started,
-                                 read_obs.get["rows"], write_obs.get["rows"], drift)
+                                 _rows(read_obs, plain), _rows(write_obs), drift)
     except Exception as exc:
         raise RuntimeError(f"Bronze ingestion failed for source '{spec.name}': {exc}") from exc
 
@@ -96,7 +110,7 @@ def _write(ctx: RunContext, layer: str, name: str, df: DataFrame, partition_by=(
     started = runlog.utc_now()
     df, obs = _observed(df, f"{layer}_{name}_{ctx.run_id}")
     tables.write_snapshot(df, ctx.path(layer, name), ctx.run_id, partition_by)
-    return runlog.run_record(ctx.run_id, layer, name, "success", started, None, obs.get["rows"])
+    return runlog.run_record(ctx.run_id, layer, name, "success", started, None, _rows(obs))
 
 
 def silver_table(ctx: RunContext, name: str) -> DataFrame:
