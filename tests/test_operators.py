@@ -96,3 +96,16 @@ def test_stream_scd2_equals_batch(spark, tmp_root):
     want = scd2_from_feed(src, ["user_id"], ["ts", "event_id"], ["event_type"])
     assert got.count() == want.count()
     assert got.select(*want.columns).exceptAll(want).count() == 0
+
+
+def test_stream_bronze_batches_have_batch_ids(spark, tmp_root):
+    src = _events(spark)
+    _land(src, f"{tmp_root}/landing")
+    for _ in range(2):
+        s = S.with_stream_lineage(
+            S.landing_stream(spark, f"{tmp_root}/landing", src.schema, max_files_per_trigger=2), "events")
+        S.start_bronze_batches(s, f"{tmp_root}/bronze", f"{tmp_root}/ckpt").awaitTermination()
+    out = spark.read.parquet(f"{tmp_root}/bronze")
+    assert out.count() == 400
+    assert out.select("_batch_id").distinct().count() == 3   # 5 files, 2 per trigger
+    assert out.filter(F.col("_source_file").endswith(".csv")).count() == 400

@@ -15,8 +15,6 @@ supports a skewed preserved side of a left outer join.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -26,25 +24,20 @@ _TAG = "_null_key_tag"
 
 def left_join_dim(fact: DataFrame, dim: DataFrame, key: str,
                   null_buckets: int = NULL_KEY_BUCKETS) -> DataFrame:
-    """``fact LEFT JOIN dim USING (key)``; ``dim`` must be unique on ``key``."""
+    """``fact LEFT JOIN dim USING (key)``; ``dim`` must be unique on ``key``.
+
+    The join key is ``struct(key, tag)``: tag 0 for every non-NULL key on both
+    sides, 1..null_buckets (a hash of the row) for a NULL fact key. Equality of
+    the structs is equality of the keys for non-NULL keys; a NULL-key fact row
+    cannot match because the dimension side holds no NULL key. As one struct
+    key, the tag cannot be folded away by the optimizer, and the shuffle
+    spreads the NULL-key rows over the reducers.
+    """
     spread = F.pmod(F.xxhash64(*[F.col(c) for c in fact.columns]), F.lit(null_buckets)) + 1
-    tagged = fact.withColumn(_TAG, F.when(F.col(key).isNull(), spread).otherwise(F.lit(0)))
-    # the dimension never has NULL keys in the join; its tag is computed, not a
-    # literal, so the optimizer cannot fold the tag out of the join keys
+    tag = F.when(F.col(key).isNull(), spread).otherwise(F.lit(0).cast("long"))
+    tagged = fact.withColumn(_TAG, F.struct(F.col(key).alias("k"), tag.alias("t")))
     dim_tagged = dim.filter(F.col(key).isNotNull()).withColumn(
-        _TAG, F.when(F.col(key).isNull(), F.lit(-1)).otherwise(F.lit(0)))
-    cond = (tagged[key] == dim_tagged[key]) & (tagged[_TAG] == dim_tagged[_TAG])
-    out = tagged.join(dim_tagged, cond, "left")
+        _TAG, F.struct(F.col(key).alias("k"), F.lit(0).cast("long").alias("t")))
+    out = tagged.join(dim_tagged, tagged[_TAG] == dim_tagged[_TAG], "left")
     keep = [tagged[c] for c in fact.columns] + [dim_tagged[c] for c in dim.columns if c != key]
     return out.select(*keep)
-
-
-def anti_join(df: DataFrame, other: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Rows of ``df`` whose key has no match in ``other`` (NULL never matches)."""
-    keys = list(keys)
-    right = other.select(*keys).distinct()
-    cond = None
-    for k in keys:
-        c = df[k] == right[k]
-        cond = c if cond is None else cond & c
-    return df.join(right, cond, "left_anti")

@@ -8,6 +8,7 @@ roll-ups read the stored table, not a rebuilt join.
 from __future__ import annotations
 
 import datetime as dt
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -41,6 +42,14 @@ class RunContext:
         return f"{self.lake_root.rstrip('/')}/{layer}/{name}"
 
 
+def _parallel(*thunks):
+    """Run independent Spark actions from driver threads (Spark schedules their
+    tasks side by side); results in order, the first error is re-raised."""
+    with ThreadPoolExecutor(max_workers=max(1, min(8, len(thunks)))) as pool:
+        futures = [pool.submit(t) for t in thunks]
+        return [f.result() for f in futures]
+
+
 def _observed(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
     obs = Observation(name)
     return df.observe(obs, F.count(F.lit(1)).alias("rows")), obs
@@ -121,24 +130,24 @@ def silver_table(ctx: RunContext, name: str) -> DataFrame:
 
 
 def run_silver(ctx: RunContext, effective: str | dt.date | None = None) -> list[dict]:
-    """Six Silver tables (B8); the two versioned dimensions are merged (V1)."""
+    """Six Silver tables (B8); the two versioned dimensions are merged (V1).
+    The tables are independent and are written concurrently."""
     spark, eff = ctx.spark, effective or ctx.as_of.date()
-    out = [
-        _write(ctx, "silver", "dim_date", silver.build_dim_date(spark, ctx.calendar_start, ctx.calendar_end)),
-        _write(ctx, "silver", "dim_store", silver.build_dim_store(bronze_table(ctx, "stores"), ctx.as_of)),
-    ]
-    for name, src, key, tracked, build in (
-        ("dim_customer", "customers", "customer_id", silver.CUSTOMER_TRACKED, silver.build_dim_customer),
-        ("dim_product", "products", "product_id", silver.PRODUCT_TRACKED, silver.build_dim_product),
-    ):
+
+    def merged(name, src, key, tracked, build):
         previous = tables.read_snapshot(spark, ctx.path("silver", name))
-        merged = scd2_merge(previous, build(bronze_table(ctx, src)), key, tracked, eff)
-        out.append(_write(ctx, "silver", name, merged))
-    out.append(_write(ctx, "silver", "dim_inventory",
-                      silver.build_dim_inventory(bronze_table(ctx, "inventory"), ctx.as_of), ("store_id",)))
-    out.append(_write(ctx, "silver", "fact_sales",
-                      silver.build_fact_sales(bronze_table(ctx, "sales"), ctx.as_of), ("date_id",)))
-    return out
+        return _write(ctx, "silver", name, scd2_merge(previous, build(bronze_table(ctx, src)), key, tracked, eff))
+
+    return _parallel(
+        lambda: _write(ctx, "silver", "dim_date", silver.build_dim_date(spark, ctx.calendar_start, ctx.calendar_end)),
+        lambda: _write(ctx, "silver", "dim_store", silver.build_dim_store(bronze_table(ctx, "stores"), ctx.as_of)),
+        lambda: merged("dim_customer", "customers", "customer_id", silver.CUSTOMER_TRACKED, silver.build_dim_customer),
+        lambda: merged("dim_product", "products", "product_id", silver.PRODUCT_TRACKED, silver.build_dim_product),
+        lambda: _write(ctx, "silver", "dim_inventory",
+                       silver.build_dim_inventory(bronze_table(ctx, "inventory"), ctx.as_of), ("store_id",)),
+        lambda: _write(ctx, "silver", "fact_sales",
+                       silver.build_fact_sales(bronze_table(ctx, "sales"), ctx.as_of), ("date_id",)),
+    )
 
 
 # ---------------------------------------------------------------- gold
@@ -152,23 +161,29 @@ def gold_table(ctx: RunContext, name: str) -> DataFrame:
 
 
 def run_gold(ctx: RunContext) -> list[dict]:
-    """Star schema, wide table and roll-ups (B9): the OBT is built once."""
+    """Star schema, wide table and roll-ups (B9): the OBT is built once, the
+    roll-ups read the stored OBT; independent tables are written concurrently."""
     s = {n: silver_table(ctx, n) for n in ("dim_customer", "dim_product", "dim_store", "dim_date", "fact_sales")}
-    out = [
-        _write(ctx, "gold", "dim_customer", gold.gold_dim_customer(s["dim_customer"], ctx.as_of)),
-        _write(ctx, "gold", "dim_product", gold.gold_dim_product(s["dim_product"], ctx.as_of)),
-        _write(ctx, "gold", "dim_store", gold.gold_dim_store(s["dim_store"], ctx.as_of)),
-        _write(ctx, "gold", "dim_date", gold.gold_dim_date(s["dim_date"], ctx.as_of)),
-        _write(ctx, "gold", "fact_sales", gold.gold_fact_sales(s["fact_sales"], ctx.as_of), ("date_id",)),
-    ]
-    obt = gold.build_obt_sales(s["fact_sales"], s["dim_store"], s["dim_customer"], s["dim_product"],
-                               ctx.calendar_start, ctx.calendar_end, ctx.as_of)
-    out.append(_write(ctx, "gold", "obt_sales", obt, ("year", "month")))
-    daily = gold.agg_daily_sales(gold_table(ctx, "obt_sales").drop("_gold_loaded_at"), as_of=ctx.as_of)
-    out.append(_write(ctx, "gold", "agg_daily_sales", daily, ("year", "month")))
-    monthly = gold.agg_monthly_sales(gold_table(ctx, "agg_daily_sales").drop("_gold_loaded_at"), ctx.as_of)
-    out.append(_write(ctx, "gold", "agg_monthly_sales", monthly, ("year",)))
-    return out
+
+    def obt_and_rollups():
+        obt = gold.build_obt_sales(s["fact_sales"], s["dim_store"], s["dim_customer"], s["dim_product"],
+                                   ctx.calendar_start, ctx.calendar_end, ctx.as_of)
+        out = [_write(ctx, "gold", "obt_sales", obt, ("year", "month"))]
+        daily = gold.agg_daily_sales(gold_table(ctx, "obt_sales").drop("_gold_loaded_at"), as_of=ctx.as_of)
+        out.append(_write(ctx, "gold", "agg_daily_sales", daily, ("year", "month")))
+        monthly = gold.agg_monthly_sales(gold_table(ctx, "agg_daily_sales").drop("_gold_loaded_at"), ctx.as_of)
+        out.append(_write(ctx, "gold", "agg_monthly_sales", monthly, ("year",)))
+        return out
+
+    *dims, rollups = _parallel(
+        lambda: _write(ctx, "gold", "dim_customer", gold.gold_dim_customer(s["dim_customer"], ctx.as_of)),
+        lambda: _write(ctx, "gold", "dim_product", gold.gold_dim_product(s["dim_product"], ctx.as_of)),
+        lambda: _write(ctx, "gold", "dim_store", gold.gold_dim_store(s["dim_store"], ctx.as_of)),
+        lambda: _write(ctx, "gold", "dim_date", gold.gold_dim_date(s["dim_date"], ctx.as_of)),
+        lambda: _write(ctx, "gold", "fact_sales", gold.gold_fact_sales(s["fact_sales"], ctx.as_of), ("date_id",)),
+        obt_and_rollups,
+    )
+    return dims + rollups
 
 
 # ---------------------------------------------------------------- checks and the whole run
@@ -185,17 +200,19 @@ LAYER_CHECKS = {
 def check_layer(ctx: RunContext, layer: str) -> list:
     """Run the layer's rule sets, append results to the quality log, return reports."""
     reader = {"bronze": bronze_table, "silver": silver_table, "gold": gold_table}[layer]
-    reports = []
-    for set_name, table in LAYER_CHECKS[layer]:
-        checker = build_checker(set_name, ctx.run_id)
-        report = checker.run(reader(ctx, table))
-        rows = [dict(r, source=set_name) for r in report.results]
-        frame = ctx.spark.createDataFrame(
-            [(r["rule_name"], r["severity"], r["passed"], r["failed_count"], r["description"], r["details"])
-             for r in rows],
-            "rule_name string, severity string, passed boolean, failed_count long, description string, details string")
-        runlog.append_quality(runlog.quality_rows(frame, set_name, layer, ctx.run_id, ctx.as_of), ctx.lake_root)
-        reports.append(report)
+    checks = LAYER_CHECKS[layer]
+    reports = _parallel(*[
+        (lambda s=set_name, t=table: build_checker(s, ctx.run_id).run(reader(ctx, t))) for set_name, table in checks
+    ])
+    rows = [(set_name, r["rule_name"], r["severity"], r["passed"], r["failed_count"], r["description"], r["details"])
+            for (set_name, _), report in zip(checks, reports) for r in report.results]
+    frame = ctx.spark.createDataFrame(
+        rows, "source string, rule_name string, severity string, passed boolean, failed_count long, "
+              "description string, details string")
+    logged = frame.select(F.lit(ctx.run_id).alias("run_id"), F.lit(layer).alias("layer"), "source",
+                          F.lit(ctx.as_of).cast("timestamp").alias("checked_at"),
+                          "rule_name", "severity", "passed", "failed_count", "description", "details")
+    runlog.append_quality(logged, ctx.lake_root)
     return reports
 
 

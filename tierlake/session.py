@@ -22,6 +22,9 @@ SESSION_DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # broadcast decided at run time from the measured size of the materialized
+    # side; beyond it the join stays sort-merge
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "64MB",
 }
 
 
