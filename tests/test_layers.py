@@ -121,3 +121,22 @@ def test_no_python_in_plans(ctx, spark):
     for df in (gold.agg_daily_sales(obt), gold.agg_monthly_sales_exact(obt)):
         plan = df._jdf.queryExecution().executedPlan().toString()
         assert "PythonUDF" not in plan and "EvalPython" not in plan
+
+
+def test_history_is_appended_not_rewritten(spark, tmp_root):
+    from tierlake.sources import tables
+    landing = write_landing(os.path.join(tmp_root, "landing"))
+    lake = os.path.join(tmp_root, "lake")
+    L.run_layers(L.RunContext(spark, landing, lake, run_id="r1", as_of=AS_OF), ("bronze", "silver"), halt=False)
+    with open(os.path.join(landing, "customers", "customers_20240105.csv"), "w") as fh:
+        fh.write("customer_id,first_name,last_name,email,loyalty_tier,loyalty_points,registration_date,city,state\n"
+                 "CUST-3,Caio,Reis,caio@mail.test,Gold,20,2023-03-12,Olinda,PE\n")
+    ctx2 = L.RunContext(spark, landing, lake, run_id="r2", as_of=dt.datetime(2024, 1, 5, 6, 0))
+    L.run_layers(ctx2, ("bronze", "silver"), halt=False)
+    root = ctx2.path("silver", "dim_customer")
+    # run 2 wrote only the version it closed, next to the full current part
+    closed = spark.read.parquet(f"{root}/run=r2/scd_is_current=false")
+    assert [(r.customer_id, r.loyalty_tier) for r in closed.collect()] == [("CUST-3", "Silver")]
+    assert not os.path.exists(f"{root}/run=r1/scd_is_current=false")
+    assert tables.read_current_versions(spark, root).count() == 3
+    assert tables.read_versions(spark, root).count() == 4

@@ -67,25 +67,25 @@ def scd2_initial(df: DataFrame, effective: str | dt.date) -> DataFrame:
     )
 
 
-def scd2_merge(target: DataFrame | None, incoming: DataFrame, key: str,
-               tracked: Sequence[str], effective: str | dt.date,
-               null_safe: bool = True, delete_missing: bool = False) -> DataFrame:
-    """Apply an incoming snapshot (unique on ``key``) to an SCD2 table (V1).
-
-    Returns the whole new table. Changed keys: the current version is closed
-    at ``effective`` and the incoming row opens a new one; unchanged keys keep
-    their version (changes in untracked columns are ignored, Q11); new keys
-    open a version; keys missing from the snapshot stay current unless
-    ``delete_missing``.
+def scd2_merge_current(current: DataFrame | None, incoming: DataFrame, key: str,
+                       tracked: Sequence[str], effective: str | dt.date,
+                       null_safe: bool = True, delete_missing: bool = False) -> DataFrame:
+    """The versions a snapshot merge touches (V1), from the CURRENT rows only.
+
+    Output: every version that is current after the merge, plus the versions
+    this merge closes. Closed history is not an input, so it is never read or
+    rewritten. Changed keys: the current version is closed at ``effective``
+    and the incoming row opens a new one; unchanged keys keep their version
+    (changes in untracked columns are ignored, Q11); new keys open a version;
+    keys missing from the snapshot stay current unless ``delete_missing``.
     """
-    if target is None:
+    if current is None:
         return scd2_initial(incoming, effective)
     eff = F.lit(str(effective)).cast(T.DateType())
     cols = [c for c in incoming.columns if c not in SCD_COLUMNS]
-    history = target.filter(~F.col(IS_CURRENT))
-    cur = target.filter(F.col(IS_CURRENT)).select(
-        *[F.col(c).alias("t_" + c) if c in target.columns else F.lit(None).cast(incoming.schema[c].dataType).alias("t_" + c)
-          for c in cols],
+    cur = current_rows(current).select(
+        *[F.col(c).alias("t_" + c) if c in current.columns
+          else F.lit(None).cast(incoming.schema[c].dataType).alias("t_" + c) for c in cols],
         F.col(EFFECTIVE_FROM).alias("t_from"), F.col(EFFECTIVE_TO).alias("t_to"),
     )
     inc = incoming.select(*[F.col(c).alias("s_" + c) for c in cols])
@@ -109,8 +109,23 @@ def scd2_merge(target: DataFrame | None, incoming: DataFrame, key: str,
         F.lit(HIGH_DATE).cast(T.DateType()).alias(EFFECTIVE_TO),
         F.lit(True).alias(IS_CURRENT),
     ))
-    versions = j.select(F.inline(F.filter(F.array(old_version, new_version), lambda v: v.isNotNull())))
-    return history.select(*cols, *SCD_COLUMNS).unionByName(versions)
+    return j.select(F.inline(F.filter(F.array(old_version, new_version), lambda v: v.isNotNull())))
+
+
+def scd2_merge(target: DataFrame | None, incoming: DataFrame, key: str,
+               tracked: Sequence[str], effective: str | dt.date,
+               null_safe: bool = True, delete_missing: bool = False) -> DataFrame:
+    """Apply an incoming snapshot (unique on ``key``) to a whole SCD2 table (V1).
+
+    Closed history passes through; only current rows take part in the join.
+    """
+    if target is None:
+        return scd2_initial(incoming, effective)
+    touched = scd2_merge_current(target.filter(F.col(IS_CURRENT)), incoming, key, tracked, effective,
+                                 null_safe, delete_missing)
+    cols = [c for c in incoming.columns if c not in SCD_COLUMNS]
+    history = target.filter(~F.col(IS_CURRENT)).select(*cols, *SCD_COLUMNS)
+    return history.unionByName(touched)
 
 
 def scd2_from_feed(feed: DataFrame, keys: Sequence[str], sequence_by: Sequence[str],

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from tierlake.functions.calendar import DEFAULT_CALENDAR_END, DEFAULT_CALENDAR_START
 from tierlake.operators.expectations import QualityError, assert_no_critical
-from tierlake.operators.scd2 import scd2_merge
+from tierlake.operators.scd2 import scd2_merge_current
 from tierlake.operators.upsert import rows_to_insert
 from tierlake.plans import gold, runlog, silver
 from tierlake.plans.rules import build_checker
@@ -122,8 +122,14 @@ def _write(ctx: RunContext, layer: str, name: str, df: DataFrame, partition_by=(
     return runlog.run_record(ctx.run_id, layer, name, "success", started, None, _rows(obs))
 
 
+VERSIONED = ("dim_customer", "dim_product")
+
+
 def silver_table(ctx: RunContext, name: str) -> DataFrame:
-    df = tables.read_snapshot(ctx.spark, ctx.path("silver", name))
+    if name in VERSIONED:
+        df = tables.read_versions(ctx.spark, ctx.path("silver", name))
+    else:
+        df = tables.read_snapshot(ctx.spark, ctx.path("silver", name))
     if df is None:
         raise FileNotFoundError(f"silver table {name} has no snapshot")
     return df
@@ -135,8 +141,13 @@ def run_silver(ctx: RunContext, effective: str | dt.date | None = None) -> list[
     spark, eff = ctx.spark, effective or ctx.as_of.date()
 
     def merged(name, src, key, tracked, build):
-        previous = tables.read_snapshot(spark, ctx.path("silver", name))
-        return _write(ctx, "silver", name, scd2_merge(previous, build(bronze_table(ctx, src)), key, tracked, eff))
+        # only the current part is read and rewritten; closed history stays put
+        current = tables.read_current_versions(spark, ctx.path("silver", name))
+        versions = scd2_merge_current(current, build(bronze_table(ctx, src)), key, tracked, eff)
+        started = runlog.utc_now()
+        versions, obs = _observed(versions, f"silver_{name}_{ctx.run_id}")
+        tables.write_versions_run(versions, ctx.path("silver", name), ctx.run_id)
+        return runlog.run_record(ctx.run_id, "silver", name, "success", started, None, _rows(obs))
 
     return _parallel(
         lambda: _write(ctx, "silver", "dim_date", silver.build_dim_date(spark, ctx.calendar_start, ctx.calendar_end)),

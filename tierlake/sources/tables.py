@@ -83,3 +83,57 @@ def read_appended(spark: SparkSession, root: str) -> DataFrame | None:
     if not fs.exists(p) or len(fs.listStatus(p)) == 0:
         return None
     return spark.read.option("mergeSchema", "true").parquet(root)
+
+
+# ---------------------------------------------------------------- versioned (SCD2) tables
+
+RUN_PREFIX = "run="
+CURRENT_FLAG = "scd_is_current"
+
+
+def write_versions_run(df: DataFrame, root: str, run_id: str) -> str:
+    """Write the versions one merge produced (all current rows + the rows it
+    closed) as ``<root>/run=<run_id>/scd_is_current=true|false``."""
+    path = f"{root.rstrip('/')}/{RUN_PREFIX}{run_id}"
+    (_rebalanced(df, ()).write.mode("overwrite").option("partitionOverwriteMode", "static")
+     .partitionBy(CURRENT_FLAG).parquet(path))
+    return path
+
+
+def _runs(spark: SparkSession, root: str) -> list:
+    fs, p, jvm = _fs(spark, root)
+    if not fs.exists(p):
+        return []
+    runs = [st.getPath() for st in fs.listStatus(p)
+            if st.isDirectory() and st.getPath().getName().startswith(RUN_PREFIX)
+            and fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS"))]
+    return sorted(runs, key=lambda q: q.getName())
+
+
+def _flag_part(spark: SparkSession, run_path, flag: bool) -> DataFrame | None:
+    fs, _, jvm = _fs(spark, str(run_path))
+    part = jvm.org.apache.hadoop.fs.Path(run_path, f"{CURRENT_FLAG}={'true' if flag else 'false'}")
+    if not fs.exists(part):
+        return None
+    from pyspark.sql import functions as F
+    return spark.read.parquet(part.toString()).withColumn(CURRENT_FLAG, F.lit(flag))
+
+
+def read_current_versions(spark: SparkSession, root: str) -> DataFrame | None:
+    """Current versions only: the newest complete run's current part."""
+    runs = _runs(spark, root)
+    return _flag_part(spark, runs[-1], True) if runs else None
+
+
+def read_versions(spark: SparkSession, root: str) -> DataFrame | None:
+    """The whole versioned table: newest current part + every run's closed part.
+    A filter on ``scd_is_current`` prunes the other parts (literal flags)."""
+    runs = _runs(spark, root)
+    if not runs:
+        return None
+    parts = [_flag_part(spark, runs[-1], True)] + [_flag_part(spark, r, False) for r in runs]
+    parts = [p for p in parts if p is not None]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
