@@ -959,3 +959,23 @@ def q_lake_critical(spark, sf_dir):
     ctx = run_lake(spark, sf_dir)
     log = spark.read.parquet(f"{ctx.lake_root}/{R.QUALITY_LOG}")
     return K.critical_failures(log).select("layer", "source", "rule_name", "failed_count")
+
+
+@register("agg_instant_events", """
+SELECT ts AS period, event_type, count(*) AS events, count(DISTINCT user_id) AS distinct_users,
+       round(sum(value), 6) AS total_value
+FROM events GROUP BY ts, event_type""")
+def q_events_instant(spark, sf_dir):
+    """Roll-up keyed by the raw timestamp: one group per instant (A1 at instant grain, Q1)."""
+    out = gold.events_by_grain(RV.events(spark, sf_dir), "instant")
+    return out.withColumn("total_value", F.round("total_value", 6))
+
+
+@register("agg_daily_events", """
+SELECT CAST(ts AS DATE) AS period, event_type, count(*) AS events, count(DISTINCT user_id) AS distinct_users,
+       round(sum(value), 6) AS total_value
+FROM events GROUP BY CAST(ts AS DATE), event_type""")
+def q_events_daily(spark, sf_dir):
+    """The same roll-up at day grain (A1); sums of doubles rounded for the cross-check."""
+    out = gold.events_by_grain(RV.events(spark, sf_dir), "day")
+    return out.withColumn("total_value", F.round("total_value", 6))
