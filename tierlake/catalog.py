@@ -979,3 +979,15 @@ def q_events_daily(spark, sf_dir):
     """The same roll-up at day grain (A1); sums of doubles rounded for the cross-check."""
     out = gold.events_by_grain(RV.events(spark, sf_dir), "day")
     return out.withColumn("total_value", F.round("total_value", 6))
+
+
+@register("lake_run_history", f"""
+SELECT split_part(table_name, '.', 1) AS layer, CAST(sum(row_count) AS BIGINT) AS rows_written,
+       CAST(0 AS BIGINT) AS failed_steps
+FROM ({_LAKE_COUNTS_SQL}) WHERE table_name LIKE '%.%' GROUP BY 1""")
+def q_lake_run_history(spark, sf_dir):
+    """Run history per layer (K10): rows written and failed steps (run id left out)."""
+    ctx = run_lake(spark, sf_dir)
+    runs = spark.read.parquet(f"{ctx.lake_root}/{R.PIPELINE_RUNS}")
+    return R.run_history(runs).groupBy("layer").agg(
+        F.sum("rows_written").alias("rows_written"), F.sum("failed_steps").alias("failed_steps"))
