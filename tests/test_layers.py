@@ -140,3 +140,13 @@ def test_history_is_appended_not_rewritten(spark, tmp_root):
     assert not os.path.exists(f"{root}/run=r1/scd_is_current=false")
     assert tables.read_current_versions(spark, root).count() == 3
     assert tables.read_versions(spark, root).count() == 4
+
+
+def test_filters_prune_the_stored_obt(ctx, spark):
+    from tierlake.plans import kpis
+    L.run_layers(ctx, halt=False)
+    obt = L.gold_table(ctx, "obt_sales")
+    f = kpis.filter_sales(obt, "2024-01-02", "2024-01-31", categories=["Food"])
+    assert [r.transaction_id for r in f.collect()] == ["TXN-4"]
+    scan = f._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters" in scan and "transaction_date" in scan

@@ -6,6 +6,7 @@ already-aggregated rows and are partitioned (no single-task global window).
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
@@ -109,14 +110,24 @@ def stock_by_store(dim_inventory: DataFrame) -> DataFrame:
 
 def filter_sales(obt: DataFrame, start: str | None = None, end: str | None = None,
                  stores: Sequence | None = None, categories: Sequence[str] | None = None) -> DataFrame:
-    """K8: dashboard filters. On a stored OBT partitioned by year/month the
-    date bounds also prune partitions (year/month predicates are added)."""
+    """K8: dashboard filters on a date range (inclusive days), stores and categories.
+
+    The date bounds are written so a stored OBT is pruned: a half-open
+    timestamp range on ``transaction_date`` (row-group statistics) and the
+    equivalent ``year``/``month`` bounds (partition pruning; rows outside the
+    calendar have NULL year/month and are kept by the date test alone).
+    """
     out = obt
-    d = F.to_date("transaction_date")
+    ts = F.col("transaction_date")
+    y, m = F.col("year"), F.col("month")
     if start is not None:
-        out = out.filter((d >= F.to_date(F.lit(start))) & (F.col("year") >= int(start[:4])))
+        s = dt.date.fromisoformat(start)
+        out = out.filter((ts >= F.lit(s.isoformat()).cast(T.TimestampType()))
+                         & (y.isNull() | (y > s.year) | ((y == s.year) & (m >= s.month))))
     if end is not None:
-        out = out.filter((d <= F.to_date(F.lit(end))) & (F.col("year") <= int(end[:4])))
+        e = dt.date.fromisoformat(end)
+        out = out.filter((ts < F.lit((e + dt.timedelta(days=1)).isoformat()).cast(T.TimestampType()))
+                         & (y.isNull() | (y < e.year) | ((y == e.year) & (m <= e.month))))
     if stores is not None:
         out = out.filter(F.col("store_id").isin(list(stores)))
     if categories is not None:
