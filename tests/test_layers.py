@@ -74,7 +74,10 @@ def test_whole_run_values(ctx, spark):
     runs = spark.read.parquet(f"{ctx.lake_root}/{runlog.PIPELINE_RUNS}")
     assert runs.count() == 5 + 6 + 8
     log = spark.read.parquet(f"{ctx.lake_root}/{runlog.QUALITY_LOG}")
-    assert log.count() == 72
+    assert log.count() == 72 + 14   # rule results + row-policy results
+    drops = log.filter("description = 'row policy'").collect()
+    assert {r.rule_name for r in drops} >= {'valid_store_id', 'non_negative_net_amount', 'positive_quantity'}
+    assert all(r.failed_count == 0 for r in drops)
     assert log.filter("source = 'silver.dim_customer' AND NOT passed").count() == 0
 
 
@@ -150,3 +153,15 @@ def test_filters_prune_the_stored_obt(ctx, spark):
     assert [r.transaction_id for r in f.collect()] == ["TXN-4"]
     scan = f._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters" in scan and "transaction_date" in scan
+
+
+def test_row_policies_drop_and_fail(spark):
+    from tierlake.operators.expectations import apply_row_policies
+    df = spark.createDataFrame([(1, 5.0), (2, -1.0), (None, 3.0)], "transaction_id int, net_amount double")
+    kept, obs = apply_row_policies(df, (("warn", "has_id", "transaction_id IS NOT NULL"),
+                                        ("drop", "non_negative", "net_amount >= 0")), "t_policies")
+    assert sorted(r.net_amount for r in kept.collect()) == [3.0, 5.0]
+    assert obs.get["has_id"] == 1 and obs.get["non_negative"] == 1 and obs.get["_rows"] == 3
+    failing, _ = apply_row_policies(df, (("fail", "has_id", "transaction_id IS NOT NULL"),), "t_fail")
+    with pytest.raises(Exception, match="expectation failed: has_id"):
+        failing.collect()

@@ -778,7 +778,7 @@ SELECT * FROM (VALUES
       store_id, store_name, store_region, product_category, channel FROM obt_lake))),
   ('gold.agg_monthly_sales', (SELECT count(*) FROM (SELECT DISTINCT year, month, store_id, store_name,
       store_region, product_category, channel FROM obt_lake))),
-  ('{R.QUALITY_LOG}', 72),
+  ('{R.QUALITY_LOG}', 86),
   ('{R.PIPELINE_RUNS}', 19)
 ) AS t(table_name, row_count)""")
 def q_lake_counts(spark, sf_dir):

@@ -15,11 +15,11 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tierlake.functions.calendar import DEFAULT_CALENDAR_END, DEFAULT_CALENDAR_START
-from tierlake.operators.expectations import QualityError, assert_no_critical
+from tierlake.operators.expectations import QualityError, apply_row_policies, assert_no_critical
 from tierlake.operators.scd2 import scd2_merge_current
 from tierlake.operators.upsert import rows_to_insert
 from tierlake.plans import gold, runlog, silver
-from tierlake.plans.rules import build_checker
+from tierlake.plans.rules import ROW_POLICIES, build_checker
 from tierlake.sources import tables
 from tierlake.sources.contracts import conform_to_contract, schema_drift
 from tierlake.sources.landing import list_files, read_landing
@@ -37,6 +37,7 @@ class RunContext:
     calendar_start: str = DEFAULT_CALENDAR_START
     calendar_end: str = DEFAULT_CALENDAR_END
     source_file: str = "file"   # "directory" reproduces a directory-wide _source_file (Q6)
+    policy_results: list = field(default_factory=list)   # (table, policy, name, violations)
 
     def path(self, layer: str, name: str) -> str:
         return f"{self.lake_root.rstrip('/')}/{layer}/{name}"
@@ -55,6 +56,25 @@ def _observed(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
     return df.observe(obs, F.count(F.lit(1)).alias("rows")), obs
 
 
+def _policed(ctx: RunContext, table: str, df: DataFrame):
+    """Apply the table's row policies; returns (df, finish) where finish()
+    records the observed violation counts after the write."""
+    policies = ROW_POLICIES.get(table)
+    if not policies:
+        return df, lambda: None
+    kept, obs = apply_row_policies(df, policies, f"policies_{table}_{ctx.run_id}")
+
+    def finish() -> None:
+        try:
+            metrics = obs.get
+        except Exception:  # the input was empty and pruned by AQE: no violations
+            metrics = {}
+        for policy, name, _ in policies:
+            ctx.policy_results.append((table, policy, name, int(metrics.get(name, 0))))
+
+    return kept, finish
+
+
 def _rows(obs: Observation, fallback: DataFrame | None = None) -> int:
     """Observed row count of a finished action.
 
@@ -89,11 +109,13 @@ def ingest_source(ctx: RunContext, spec: SourceSpec) -> dict:
             sf, target_filter = F.col("_source_file"), F.col("_source_file").isin(files)
         plain = add_lineage(raw, spec.name, ctx.run_id, ctx.as_of, source_file=sf)
         enriched, read_obs = _observed(plain, f"read_{spec.name}_{ctx.run_id}")
+        enriched, finish = _policed(ctx, f"bronze.{spec.name}", enriched)
         target_root = ctx.path("bronze", spec.name)
         target = tables.read_appended(ctx.spark, target_root)
         new_rows = rows_to_insert(target, enriched, [spec.primary_key, "_source_file"], target_filter)
         new_rows, write_obs = _observed(new_rows, f"write_{spec.name}_{ctx.run_id}")
         tables.append(new_rows, target_root, spec.partition_cols)
+        finish()
         return runlog.run_record(ctx.run_id, "bronze", spec.name, "success", started,
                                  _rows(read_obs, plain), _rows(write_obs), drift)
     except Exception as exc:
@@ -117,8 +139,10 @@ def bronze_table(ctx: RunContext, name: str) -> DataFrame:
 
 def _write(ctx: RunContext, layer: str, name: str, df: DataFrame, partition_by=()) -> dict:
     started = runlog.utc_now()
+    df, finish = _policed(ctx, f"{layer}.{name}", df)
     df, obs = _observed(df, f"{layer}_{name}_{ctx.run_id}")
     tables.write_snapshot(df, ctx.path(layer, name), ctx.run_id, partition_by)
+    finish()
     return runlog.run_record(ctx.run_id, layer, name, "success", started, None, _rows(obs))
 
 
@@ -143,10 +167,12 @@ def run_silver(ctx: RunContext, effective: str | dt.date | None = None) -> list[
     def merged(name, src, key, tracked, build):
         # only the current part is read and rewritten; closed history stays put
         current = tables.read_current_versions(spark, ctx.path("silver", name))
-        versions = scd2_merge_current(current, build(bronze_table(ctx, src)), key, tracked, eff)
+        incoming, finish = _policed(ctx, f"silver.{name}", build(bronze_table(ctx, src)))
+        versions = scd2_merge_current(current, incoming, key, tracked, eff)
         started = runlog.utc_now()
         versions, obs = _observed(versions, f"silver_{name}_{ctx.run_id}")
         tables.write_versions_run(versions, ctx.path("silver", name), ctx.run_id)
+        finish()
         return runlog.run_record(ctx.run_id, "silver", name, "success", started, None, _rows(obs))
 
     return _parallel(
@@ -224,6 +250,15 @@ def check_layer(ctx: RunContext, layer: str) -> list:
                           F.lit(ctx.as_of).cast("timestamp").alias("checked_at"),
                           "rule_name", "severity", "passed", "failed_count", "description", "details")
     runlog.append_quality(logged, ctx.lake_root)
+    policy_rows = [(t, p, n, v) for t, p, n, v in ctx.policy_results if t.startswith(layer + ".")]
+    if policy_rows:
+        runlog.append_quality(ctx.spark.createDataFrame(
+            [(ctx.run_id, layer, t, n, p.upper(), v == 0, v) for t, p, n, v in policy_rows],
+            "run_id string, layer string, source string, rule_name string, severity string, "
+            "passed boolean, failed_count long").select(
+                "run_id", "layer", "source", F.lit(ctx.as_of).cast("timestamp").alias("checked_at"),
+                "rule_name", "severity", "passed", "failed_count",
+                F.lit("row policy").alias("description"), F.lit("").alias("details")), ctx.lake_root)
     return reports
 
 

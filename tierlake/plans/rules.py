@@ -131,3 +131,22 @@ def build_checker(name: str, run_id: str = "") -> Expectations:
         else:
             raise ValueError(kind)
     return chk
+
+
+# Row policies of the declarative tables (policy, name, valid-row SQL).
+ROW_POLICIES: dict[str, tuple[tuple[str, str, str], ...]] = {
+    "bronze.sales": (("warn", "non_null_transaction_id", "transaction_id IS NOT NULL"),
+                     ("warn", "positive_quantity", "quantity > 0")),
+    "bronze.customers": (("warn", "non_null_customer_id", "customer_id IS NOT NULL"),),
+    "bronze.products": (("warn", "non_null_product_id", "product_id IS NOT NULL"),),
+    "bronze.stores": (("warn", "non_null_store_id", "store_id IS NOT NULL"),),
+    "bronze.inventory": (("warn", "non_null_inventory_id", "inventory_id IS NOT NULL"),),
+    "silver.dim_store": (("drop", "valid_store_id", "store_id IS NOT NULL"),),
+    "silver.dim_customer": (("drop", "valid_customer_id", "customer_id IS NOT NULL"),),
+    "silver.dim_product": (("drop", "valid_product_id", "product_id IS NOT NULL"),),
+    "silver.dim_inventory": (("drop", "valid_inventory_id", "inventory_id IS NOT NULL"),),
+    "silver.fact_sales": (("fail", "non_null_transaction_id", "transaction_id IS NOT NULL"),
+                          ("drop", "non_negative_net_amount", "net_amount >= 0")),
+    "gold.fact_sales": (("fail", "non_null_transaction_id", "transaction_id IS NOT NULL"),
+                        ("fail", "non_negative_net_amount", "net_amount >= 0")),
+}
