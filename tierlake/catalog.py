@@ -802,11 +802,12 @@ EVENTS_SCHEMA = _T.StructType([
 
 
 def _land_events(spark: SparkSession, sf_dir: str, root: str, files: int = 12) -> str:
-    """Events as CSV files; rows of a day are spread over files, so micro-batches
-    see them out of order."""
+    """Events as CSV files, spread evenly (round robin) over at least ``files``
+    files, so each micro-batch holds events from all over the period."""
     path = f"{root}/landing/events"
+    n = max(files, spark.sparkContext.defaultParallelism)
     (RV.events(spark, sf_dir).withColumn("ts", F.col("ts").cast("timestamp"))
-     .repartition(files, F.to_date("ts")).write.option("header", "true")
+     .repartition(n).write.option("header", "true")
      .option("timestampFormat", S.TIMESTAMP_FORMAT).csv(path))
     return path
 

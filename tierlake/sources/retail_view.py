@@ -168,9 +168,11 @@ def _prefixed(c: str, prefix: str):
 def write_landing(spark: SparkSession, sf_dir: str, landing_root: str) -> None:
     """Write the five entities as landing CSV files with string ids (TXN-, ORD-,
     CUST-, PRD-, STR- prefixes), as an upstream system would deliver them.
-    Sales land as one file per order year; every duplicate of a transaction id
-    belongs to one order, hence to one file."""
+    Sales land in year folders, each year spread over many files by a hash of
+    the order id: every duplicate of a transaction id belongs to one order,
+    hence to one file, and no task writes a whole year."""
     root = landing_root.rstrip("/")
+    spread = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
     s = sales(spark, sf_dir)
     y = F.year("transaction_date")
     (s.select(
@@ -180,7 +182,8 @@ def write_landing(spark: SparkSession, sf_dir: str, landing_root: str) -> None:
         "quantity", F.col("unit_price").cast("double").alias("unit_price"),
         F.col("discount_pct").cast("double").alias("discount_pct"), "payment_method", "channel",
         y.alias("_year"))
-     .repartition("_year").write.partitionBy("_year").option("header", "true").csv(f"{root}/sales"))
+     .repartition(F.col("_year"), F.pmod(F.xxhash64("order_id"), F.lit(spread)))
+     .write.partitionBy("_year").option("header", "true").csv(f"{root}/sales"))
     c = customers(spark, sf_dir)
     c.select(_prefixed("customer_id", "CUST-"), *[x for x in c.columns if x != "customer_id"]) \
         .write.option("header", "true").csv(f"{root}/customers")
