@@ -116,7 +116,7 @@ def q_obt(spark, sf_dir):
 _DAILY_SQL = """
 SELECT year, month, year_month, {tdate} AS transaction_date, store_id, store_name, store_region,
        product_category, channel,
-       count(transaction_id) AS num_transactions,
+       count(DISTINCT transaction_id) AS num_transactions,
        count(DISTINCT customer_id) AS num_customers,
        CAST(sum(quantity) AS BIGINT) AS total_units,
        CAST(sum(gross_amount) AS DECIMAL(22,2)) AS total_gross,
@@ -161,7 +161,7 @@ def q_monthly_reference(spark, sf_dir):
 
 @register("agg_monthly_sales_exact", O.with_ctes("obt") + """
 SELECT year, month, year_month, store_id, store_name, store_region, product_category, channel,
-       count(transaction_id) AS num_transactions,
+       count(DISTINCT transaction_id) AS num_transactions,
        count(DISTINCT customer_id) AS distinct_customers,
        CAST(sum(quantity) AS BIGINT) AS total_units,
        CAST(sum(gross_amount) AS DECIMAL(22,2)) AS total_gross,
