@@ -7,14 +7,28 @@ return the same rows. Load stamps are left out (they are run-time values).
 
 from __future__ import annotations
 
+import datetime as _dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as _T
 
 from tierlake import oracle as O
-from tierlake.plans import gold, silver
-from tierlake.sources import retail_view as RV
+from tierlake.operators import expectations as X
+from tierlake.operators.changes import snapshot_changes
+from tierlake.operators.dedupe import dedupe_latest
+from tierlake.operators.scd2 import current_rows, scd2_from_feed, scd2_initial, scd2_merge
+from tierlake.operators.upsert import upsert_insert_only
+from tierlake.plans import gold, kpis as K, layers as L, runlog as R, silver
+from tierlake.plans.rules import RULE_SETS, build_checker
+from tierlake.session import scratch_path
+from tierlake.sources import contracts as C, retail_view as RV
+from tierlake.sources.landing import read_landing
+from tierlake.sources.lineage import add_lineage
+from tierlake.sources.specs import CUSTOMERS_CONTRACT
+from tierlake.streaming import ingest as S
+from tierlake.streaming.scd2_stream import BUCKET, read_versioned, start_scd2_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -182,9 +196,6 @@ def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ---------------------------------------------------------------- expectations
 
-from tierlake.operators import expectations as X  # noqa: E402
-from tierlake.operators.scd2 import scd2_initial  # noqa: E402
-from tierlake.plans.rules import RULE_SETS, build_checker  # noqa: E402
 
 RUN_DATE = "2024-01-01"
 
@@ -322,13 +333,7 @@ def q_violations(spark, sf_dir):
 
 # ---------------------------------------------------------------- SCD2, changes, upsert, lineage
 
-import datetime as _dt  # noqa: E402
 
-from tierlake.operators.changes import snapshot_changes  # noqa: E402
-from tierlake.operators.dedupe import dedupe_latest  # noqa: E402
-from tierlake.operators.scd2 import current_rows, scd2_from_feed, scd2_merge  # noqa: E402
-from tierlake.operators.upsert import upsert_insert_only  # noqa: E402
-from tierlake.sources.lineage import add_lineage  # noqa: E402
 
 MERGE_DATE = "2024-02-01"
 
@@ -488,7 +493,6 @@ def q_dedupe(spark, sf_dir):
 
 # ---------------------------------------------------------------- KPIs
 
-from tierlake.plans import kpis as K  # noqa: E402
 
 
 @register("kpi_revenue_orders", O.with_ctes("obt") + """
@@ -629,9 +633,6 @@ def q_kpi_clv(spark, sf_dir):
 
 # ---------------------------------------------------------------- landing readers, contracts
 
-from tierlake.session import scratch_path  # noqa: E402
-from tierlake.sources import contracts as C  # noqa: E402
-from tierlake.sources.landing import read_landing  # noqa: E402
 
 # Contract of the orders extract used by the reader round trips.
 ORDERS_CONTRACT = {
@@ -700,7 +701,6 @@ def q_parquet_read(spark, sf_dir):
 
 # ---------------------------------------------------------------- whole layered run
 
-from tierlake.plans import layers as L, runlog as R  # noqa: E402
 
 LAKE_TABLES = {
     "bronze": ("sales", "customers", "products", "stores", "inventory"),
@@ -789,10 +789,7 @@ def q_lake_counts(spark, sf_dir):
 
 # ---------------------------------------------------------------- streaming
 
-from pyspark.sql import types as _T  # noqa: E402
 
-from tierlake.streaming import ingest as S  # noqa: E402
-from tierlake.streaming.scd2_stream import BUCKET, read_versioned, start_scd2_stream  # noqa: E402
 
 EVENTS_SCHEMA = _T.StructType([
     _T.StructField("event_id", _T.LongType()), _T.StructField("ts", _T.TimestampType()),
@@ -846,7 +843,6 @@ def q_stream_scd2(spark, sf_dir):
 
 # ---------------------------------------------------------------- contracts on data, sketches
 
-from tierlake.sources.specs import CUSTOMERS_CONTRACT  # noqa: E402
 
 # Contract of the event table (used for the contract checks).
 EVENTS_CONTRACT = {
