@@ -20,6 +20,7 @@ the open end (as a managed change-feed table does) unless ``high`` is given.
 from __future__ import annotations
 
 import datetime as dt
+import threading
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -128,6 +129,29 @@ def scd2_merge(target: DataFrame | None, incoming: DataFrame, key: str,
     return history.unionByName(touched)
 
 
+_PLAN_LOCK = threading.Lock()
+
+
+def _checkpoint_partitioned(df: DataFrame) -> DataFrame:
+    """Reliable checkpoint that keeps the plan's hash partitioning and order.
+
+    An adaptive plan reports unknown partitioning at its root, so the
+    checkpointed relation would lose it and every later use would shuffle
+    again. All partition counts of ``df`` are explicit, so AQE has nothing to
+    adapt there: this one plan is made without it (the setting is restored
+    right after, under a lock).
+    """
+    spark = df.sparkSession
+    ensure_checkpoint_dir(spark)
+    with _PLAN_LOCK:
+        previous = spark.conf.get("spark.sql.adaptive.enabled")
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        try:
+            return df.checkpoint(eager=True)
+        finally:
+            spark.conf.set("spark.sql.adaptive.enabled", previous)
+
+
 def scd2_from_feed(feed: DataFrame, keys: Sequence[str], sequence_by: Sequence[str],
                    tracked: Sequence[str], except_columns: Sequence[str] = (),
                    null_safe: bool = True, high: object | None = None,
@@ -148,9 +172,14 @@ def scd2_from_feed(feed: DataFrame, keys: Sequence[str], sequence_by: Sequence[s
     # Segment ids must be identical in every branch below, and range bounds
     # are sampled per exchange: the segmented feed is checkpointed once
     # (reliable storage under spark.checkpoint.dir, survives executor loss).
-    ensure_checkpoint_dir(spark)
-    x = (feed.select(*keep).repartitionByRange(n, *keys, *seq)
-         .withColumn("_seg", F.spark_partition_id()).checkpoint(eager=True))
+    # It is stored hash-partitioned and sorted by (key, segment, sequence):
+    # the checkpoint keeps that partitioning and order, so the windows,
+    # aggregates and joins below need no further shuffle of the feed.
+    x = _checkpoint_partitioned(
+        feed.select(*keep).repartitionByRange(n, *keys, *seq)
+        .withColumn("_seg", F.spark_partition_id())
+        .repartition(n, *keys, "_seg")
+        .sortWithinPartitions(*keys, "_seg", *seq))
     vals = F.struct(*[F.col(c) for c in tracked])
     order = F.struct(*[F.col(c) for c in seq])
     in_seg = Window.partitionBy(*keys, "_seg").orderBy(*seq)
