@@ -109,3 +109,15 @@ def test_stream_bronze_batches_have_batch_ids(spark, tmp_root):
     assert out.count() == 400
     assert out.select("_batch_id").distinct().count() == 3   # 5 files, 2 per trigger
     assert out.filter(F.col("_source_file").endswith(".csv")).count() == 400
+
+
+def test_upsert_keeps_distinct_null_key_rows_and_stays_idempotent(spark):
+    schema = "id int, _source_file string, v string"
+    incoming = spark.createDataFrame(
+        [(None, "f1", "bad1"), (None, "f1", "bad2"), (None, "f1", "bad2"), (1, "f1", "a")], schema)
+    first = rows_to_insert(None, incoming, ["id", "_source_file"])
+    assert sorted((r.id or 0, r.v) for r in first.collect()) == [(0, "bad1"), (0, "bad2"), (1, "a")]
+    # the same file delivered again adds nothing, NULL-key rows included
+    again = rows_to_insert(first, incoming, ["id", "_source_file"])
+    assert again.count() == 0
+    assert first.columns == incoming.columns

@@ -21,9 +21,14 @@ def snapshot_changes(old: DataFrame, new: DataFrame, keys: Sequence[str],
     """Changes from ``old`` to ``new`` (both unique on ``keys``).
 
     Output: the key, ``change_type`` and the other columns (new values for
-    inserts and updates, old values for deletes).
+    inserts and updates, old values for deletes). Rows with a NULL key are
+    not tracked.
     """
     keys = list(keys)
+    # a NULL key identifies no row: such rows are not tracked (and would all
+    # hash to one reducer of the join)
+    known = lambda df: df.filter(" AND ".join(f"`{k}` IS NOT NULL" for k in keys))
+    old, new = known(old), known(new)
     cols = [c for c in new.columns if c not in keys]
     compare = list(compare) if compare is not None else [c for c in cols if c in old.columns]
     o = old.select(*[F.col(c).alias("o_" + c) for c in keys + [c for c in cols if c in old.columns]])
