@@ -1,6 +1,6 @@
 """Layer tables as parquet folders.
 
-No transaction log is available (no Delta), and overwriting a parquet path
+No table format with a transaction log is available here, and overwriting a parquet path
 that the same plan reads deletes the input first. So a table that is
 replaced per run is a set of snapshot folders ``<root>/snapshot=<run_id>``;
 a reader takes the newest complete one (``_SUCCESS`` present). A replayed
