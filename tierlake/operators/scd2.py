@@ -125,7 +125,11 @@ def scd2_merge(target: DataFrame | None, incoming: DataFrame, key: str,
     touched = scd2_merge_current(target.filter(F.col(IS_CURRENT)), incoming, key, tracked, effective,
                                  null_safe, delete_missing)
     cols = [c for c in incoming.columns if c not in SCD_COLUMNS]
-    history = target.filter(~F.col(IS_CURRENT)).select(*cols, *SCD_COLUMNS)
+    # a column the snapshot added is NULL in older versions (schema evolution)
+    history = target.filter(~F.col(IS_CURRENT)).select(
+        *[F.col(c) if c in target.columns else F.lit(None).cast(incoming.schema[c].dataType).alias(c)
+          for c in cols],
+        *SCD_COLUMNS)
     return history.unionByName(touched)
 
 
