@@ -46,3 +46,25 @@ def test_type_rules_on_text_input(spark):
     df = spark.createDataFrame([("3", "2024-01-02"), ("x", "not a date"), ("0", None)], "q string, d string")
     v = {r.rule: r.violations for r in C.contract_violations(df, contract).collect()}
     assert v["type:q"] == 1 and v["minimum:q"] == 2 and v["format:d"] == 1 and v["type:d"] == 1
+
+
+def test_bronze_accepts_an_added_column(spark, tmp_root):
+    landing = write_landing(os.path.join(tmp_root, "landing"))
+    lake = os.path.join(tmp_root, "lake")
+    L.ingest_source(L.RunContext(spark, landing, lake, run_id="r1", as_of=dt.datetime(2024, 1, 3)),
+                    L.SOURCES["sales"])
+    with open(os.path.join(landing, "sales", "sales_20240105.csv"), "w") as fh:
+        fh.write("transaction_id,order_id,transaction_date,store_id,customer_id,product_id,quantity,"
+                 "unit_price,discount_pct,payment_method,channel,coupon\n"
+                 "TXN-6,ORD-6,2024-01-05 09:00:00,STR-1,CUST-1,PRD-1,1,29.99,0,cash,in_store,WELCOME\n"
+                 ",ORD-7,2024-01-05 09:05:00,STR-1,CUST-1,PRD-1,1,29.99,0,cash,in_store,\n")
+    ctx2 = L.RunContext(spark, landing, lake, run_id="r2", as_of=dt.datetime(2024, 1, 5))
+    rec = L.ingest_source(ctx2, L.SOURCES["sales"])
+    assert rec["rows_written"] == 2 and any("coupon" in m for m in rec["drift_messages"])
+    sales = L.bronze_table(ctx2, "sales")
+    assert sales.count() == 7 and sales.filter("coupon = 'WELCOME'").count() == 1
+    assert sales.filter("transaction_id IS NULL").count() == 1
+    # the same files again: nothing new, the NULL-key row included
+    again = L.ingest_source(L.RunContext(spark, landing, lake, run_id="r3", as_of=dt.datetime(2024, 1, 6)),
+                            L.SOURCES["sales"])
+    assert again["rows_written"] == 0
