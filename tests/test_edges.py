@@ -68,3 +68,25 @@ def test_bronze_accepts_an_added_column(spark, tmp_root):
     again = L.ingest_source(L.RunContext(spark, landing, lake, run_id="r3", as_of=dt.datetime(2024, 1, 6)),
                             L.SOURCES["sales"])
     assert again["rows_written"] == 0
+
+
+def test_stream_rejects_a_drifted_header(spark, tmp_root):
+    """A streamed CSV whose header differs from the schema fails the stream
+    instead of shifting values by position."""
+    from pyspark.errors import StreamingQueryException
+    from pyspark.sql import functions as F
+    from pyspark.sql import types as T
+
+    from tierlake.streaming import ingest as S
+
+    land = os.path.join(tmp_root, "landing")
+    os.makedirs(land)
+    with open(os.path.join(land, "a.csv"), "w") as fh:
+        fh.write("event_id,value\n1,2.5\n")
+    with open(os.path.join(land, "b.csv"), "w") as fh:
+        fh.write("value,event_id\n3.5,2\n")   # same columns, other order
+    schema = T.StructType([T.StructField("event_id", T.LongType()), T.StructField("value", T.DoubleType())])
+    s = S.landing_stream(spark, land, schema).withColumn("ingestion_date", F.current_date())
+    q = S.start_file_sink(s, os.path.join(tmp_root, "out"), os.path.join(tmp_root, "ck"))
+    with pytest.raises(StreamingQueryException):
+        q.awaitTermination()
