@@ -988,3 +988,32 @@ def q_lake_run_history(spark, sf_dir):
     runs = spark.read.parquet(f"{ctx.lake_root}/{R.PIPELINE_RUNS}")
     return R.run_history(runs).groupBy("layer").agg(
         F.sum("rows_written").alias("rows_written"), F.sum("failed_steps").alias("failed_steps"))
+
+
+@register("landing_layouts", f"""
+SELECT 1 AS layout,
+       'o_orderkey,o_custkey,o_orderstatus,o_totalprice,o_orderdate,o_orderpriority' AS header,
+       '[orders] Schema drift detected - missing optional columns: [''o_note'']' AS drift,
+       count(*) AS row_count
+FROM orders WHERE year(o_orderdate) <= 1997
+UNION ALL
+SELECT 2, 'o_orderpriority,o_orderkey,o_orderdate,o_custkey,o_totalprice,o_orderstatus,o_note', '', count(*)
+FROM orders WHERE year(o_orderdate) > 1997""")
+def q_landing_layouts(spark, sf_dir):
+    """Header layouts found in a landing folder, their drift against the contract
+    and the rows read with each (S1, C1-C3): headers are file metadata, rows are
+    counted by Spark over the whole files."""
+    from tierlake.sources.landing import header_groups, list_files
+    root = scratch_path(spark, "landing-layouts")
+    early, late = _orders_two_layouts(spark, sf_dir)
+    early.write.option("header", "true").csv(f"{root}/orders/layout=1")
+    late.write.option("header", "true").csv(f"{root}/orders/layout=2")
+    files = list_files(spark, f"{root}/orders")
+    layouts = []
+    for i, (header, group) in enumerate(header_groups(spark, files).items(), start=1):
+        drift = " | ".join(C.schema_drift(header, ORDERS_CONTRACT, "orders"))
+        layouts += [(f, i, ",".join(header), drift) for f in group]
+    meta = spark.createDataFrame(layouts, "_source_file string, layout int, header string, drift string")
+    rows = read_landing(spark, f"{root}/orders", "csv", ORDERS_CONTRACT).groupBy("_source_file").count()
+    return (rows.join(meta, "_source_file").groupBy("layout", "header", "drift")
+            .agg(F.sum("count").alias("row_count")))
