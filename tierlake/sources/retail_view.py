@@ -165,6 +165,21 @@ def _prefixed(c: str, prefix: str):
     return F.when(F.col(c).isNotNull(), F.concat(F.lit(prefix), F.col(c).cast("string"))).alias(c)
 
 
+# CSV text is about 4x the size of the parquet it comes from; target file size.
+CSV_EXPANSION = 4
+LANDING_FILE_BYTES = 128 * 1024 * 1024
+
+
+def _files_per_year(spark: SparkSession, sf_dir: str, years: int = 7) -> int:
+    """Sales files per year so that each file holds about 128 MB of CSV,
+    from the size of the input files (metadata only)."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(f"{sf_dir.rstrip('/')}/lineitem.parquet")
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    size = fs.getContentSummary(p).getLength()
+    return max(1, -(-size * CSV_EXPANSION // (LANDING_FILE_BYTES * years)))
+
+
 def write_landing(spark: SparkSession, sf_dir: str, landing_root: str) -> None:
     """Write the five entities as landing CSV files with string ids (TXN-, ORD-,
     CUST-, PRD-, STR- prefixes), as an upstream system would deliver them.
@@ -172,7 +187,7 @@ def write_landing(spark: SparkSession, sf_dir: str, landing_root: str) -> None:
     the order id: every duplicate of a transaction id belongs to one order,
     hence to one file, and no task writes a whole year."""
     root = landing_root.rstrip("/")
-    spread = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    spread = _files_per_year(spark, sf_dir)
     s = sales(spark, sf_dir)
     y = F.year("transaction_date")
     (s.select(
