@@ -1,4 +1,4 @@
-"""Join operators for a star schema.
+"""Star-schema join of a fact with a dimension.
 
 The fact side is the big one. Dimensions are joined without a broadcast hint:
 Spark (and AQE at runtime, from measured sizes) broadcasts a dimension only
