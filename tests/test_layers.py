@@ -165,3 +165,17 @@ def test_row_policies_drop_and_fail(spark):
     failing, _ = apply_row_policies(df, (("fail", "has_id", "transaction_id IS NOT NULL"),), "t_fail")
     with pytest.raises(Exception, match="expectation failed: has_id"):
         failing.collect()
+
+
+def test_referential_checks_on_silver(spark, tmp_root):
+    landing = write_landing(os.path.join(tmp_root, "landing"))
+    with open(os.path.join(landing, "sales", "sales_20240101.csv"), "a") as fh:
+        fh.write("TXN-9,ORD-9,2024-01-03 09:00:00,STR-9,CUST-1,PRD-1,1,5.00,0,cash,in_store\n")
+    ctx = L.RunContext(spark, landing, os.path.join(tmp_root, "lake"), run_id="r1", as_of=AS_OF,
+                       referential_checks=True)
+    L.run_layers(ctx, ("bronze", "silver"), halt=True)   # orphans are warnings: no halt
+    log = spark.read.parquet(f"{ctx.lake_root}/_quality_log").filter("rule_name LIKE 'ref_integrity:%'")
+    got = {r.rule_name: (r.severity, r.failed_count) for r in log.collect()}
+    assert got == {"ref_integrity:store_id->store_id": ("WARNING", 1),
+                   "ref_integrity:customer_id->customer_id": ("WARNING", 0),
+                   "ref_integrity:product_id->product_id": ("WARNING", 0)}

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from tierlake.functions.calendar import DEFAULT_CALENDAR_END, DEFAULT_CALENDAR_START
 from tierlake.operators.expectations import QualityError, apply_row_policies, assert_no_critical
-from tierlake.operators.scd2 import scd2_merge_current
+from tierlake.operators.scd2 import current_rows, scd2_merge_current
 from tierlake.operators.upsert import rows_to_insert
 from tierlake.plans import gold, runlog, silver
 from tierlake.plans.rules import ROW_POLICIES, build_checker
@@ -38,6 +38,7 @@ class RunContext:
     calendar_end: str = DEFAULT_CALENDAR_END
     source_file: str = "file"   # "directory" reproduces a directory-wide _source_file (Q6)
     policy_results: list = field(default_factory=list)   # (table, policy, name, violations)
+    referential_checks: bool = False   # fact keys vs current dimensions (WARNING), as specified for Silver
 
     def path(self, layer: str, name: str) -> str:
         return f"{self.lake_root.rstrip('/')}/{layer}/{name}"
@@ -238,8 +239,17 @@ def check_layer(ctx: RunContext, layer: str) -> list:
     """Run the layer's rule sets, append results to the quality log, return reports."""
     reader = {"bronze": bronze_table, "silver": silver_table, "gold": gold_table}[layer]
     checks = LAYER_CHECKS[layer]
+
+    def checker(set_name: str):
+        chk = build_checker(set_name, ctx.run_id)
+        if ctx.referential_checks and set_name == "silver.fact_sales":
+            for key, dim in (("store_id", "dim_store"), ("customer_id", "dim_customer"),
+                             ("product_id", "dim_product")):
+                chk.expect_referential_integrity(key, current_rows(silver_table(ctx, dim)), key)
+        return chk
+
     reports = _parallel(*[
-        (lambda s=set_name, t=table: build_checker(s, ctx.run_id).run(reader(ctx, t))) for set_name, table in checks
+        (lambda s=set_name, t=table: checker(s).run(reader(ctx, t))) for set_name, table in checks
     ])
     rows = [(set_name, r["rule_name"], r["severity"], r["passed"], r["failed_count"], r["description"], r["details"])
             for (set_name, _), report in zip(checks, reports) for r in report.results]
