@@ -69,7 +69,8 @@ def first_line(spark: SparkSession, path: str) -> str:
 
 def header_groups(spark: SparkSession, files: list[str], sep: str = ",") -> "OrderedDict[tuple, list[str]]":
     """Files grouped by their parsed header (driver reads one line per file)."""
-    with ThreadPoolExecutor(max_workers=16) as pool:
+    # one small read per file, I/O bound: many concurrent requests
+    with ThreadPoolExecutor(max_workers=max(1, min(64, len(files)))) as pool:
         lines = list(pool.map(lambda f: first_line(spark, f), files))
     groups: OrderedDict[tuple, list[str]] = OrderedDict()
     for f, line in zip(files, lines):
