@@ -179,3 +179,17 @@ def test_referential_checks_on_silver(spark, tmp_root):
     assert got == {"ref_integrity:store_id->store_id": ("WARNING", 1),
                    "ref_integrity:customer_id->customer_id": ("WARNING", 0),
                    "ref_integrity:product_id->product_id": ("WARNING", 0)}
+
+
+def test_customer_sketches_roll_up(spark, tmp_root):
+    landing = write_landing(os.path.join(tmp_root, "landing"))
+    ctx = L.RunContext(spark, landing, os.path.join(tmp_root, "lake"), run_id="r1", as_of=AS_OF,
+                       customer_sketches=True)
+    L.run_layers(ctx, halt=False)
+    assert "customer_sketch" in L.gold_table(ctx, "agg_daily_sales").columns
+    monthly = L.gold_table(ctx, "agg_monthly_sales")
+    exact = gold.agg_monthly_sales_exact(L.gold_table(ctx, "obt_sales"))
+    keys = ["store_id", "product_category", "channel"]
+    got = {tuple(r[k] for k in keys): r.approx_distinct_customers for r in monthly.collect()}
+    want = {tuple(r[k] for k in keys): r.distinct_customers for r in exact.collect()}
+    assert got == want          # tiny sets: the sketch is exact

@@ -39,6 +39,7 @@ class RunContext:
     source_file: str = "file"   # "directory" reproduces a directory-wide _source_file (Q6)
     policy_results: list = field(default_factory=list)   # (table, policy, name, violations)
     referential_checks: bool = False   # fact keys vs current dimensions (WARNING), as specified for Silver
+    customer_sketches: bool = False    # HLL customer sketch in the daily table; monthly approx distinct
 
     def path(self, layer: str, name: str) -> str:
         return f"{self.lake_root.rstrip('/')}/{layer}/{name}"
@@ -207,7 +208,8 @@ def run_gold(ctx: RunContext) -> list[dict]:
         obt = gold.build_obt_sales(s["fact_sales"], s["dim_store"], s["dim_customer"], s["dim_product"],
                                    ctx.calendar_start, ctx.calendar_end, ctx.as_of)
         out = [_write(ctx, "gold", "obt_sales", obt, ("year", "month"))]
-        daily = gold.agg_daily_sales(gold_table(ctx, "obt_sales").drop("_gold_loaded_at"), as_of=ctx.as_of)
+        daily = gold.agg_daily_sales(gold_table(ctx, "obt_sales").drop("_gold_loaded_at"), as_of=ctx.as_of,
+                                     customer_sketch=ctx.customer_sketches)
         out.append(_write(ctx, "gold", "agg_daily_sales", daily, ("year", "month")))
         monthly = gold.agg_monthly_sales(gold_table(ctx, "agg_daily_sales").drop("_gold_loaded_at"), ctx.as_of)
         out.append(_write(ctx, "gold", "agg_monthly_sales", monthly, ("year",)))
