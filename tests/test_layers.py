@@ -193,3 +193,18 @@ def test_customer_sketches_roll_up(spark, tmp_root):
     got = {tuple(r[k] for k in keys): r.approx_distinct_customers for r in monthly.collect()}
     want = {tuple(r[k] for k in keys): r.distinct_customers for r in exact.collect()}
     assert got == want          # tiny sets: the sketch is exact
+
+
+def test_dropped_rows_go_to_quarantine(spark, tmp_root):
+    landing = write_landing(os.path.join(tmp_root, "landing"))
+    with open(os.path.join(landing, "sales", "sales_20240101.csv"), "a") as fh:
+        fh.write("TXN-8,ORD-8,2024-01-03 09:00:00,STR-1,CUST-1,PRD-1,1,10.00,110,cash,in_store\n")
+    ctx = L.RunContext(spark, landing, os.path.join(tmp_root, "lake"), run_id="r1", as_of=AS_OF)
+    L.run_layers(ctx, ("bronze", "silver"), halt=False)
+    fact = L.silver_table(ctx, "fact_sales")
+    assert fact.filter("transaction_id = 'TXN-8'").count() == 0 and fact.count() == 5
+    q = spark.read.parquet(ctx.path("quarantine", "silver.fact_sales") + "/snapshot=r1")
+    rows = q.collect()
+    assert [r.transaction_id for r in rows] == ["TXN-8"]
+    assert rows[0]._failed_expectations == ["non_negative_net_amount"]
+    assert not os.path.exists(ctx.path("quarantine", "silver.dim_store"))   # nothing dropped there

@@ -15,7 +15,9 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tierlake.functions.calendar import DEFAULT_CALENDAR_END, DEFAULT_CALENDAR_START
-from tierlake.operators.expectations import QualityError, apply_row_policies, assert_no_critical
+from tierlake.operators.expectations import (
+    QualityError, apply_expectations, apply_row_policies, assert_no_critical,
+)
 from tierlake.operators.scd2 import current_rows, scd2_merge_current
 from tierlake.operators.upsert import rows_to_insert
 from tierlake.plans import gold, runlog, silver
@@ -73,6 +75,11 @@ def _policed(ctx: RunContext, table: str, df: DataFrame):
             metrics = {}
         for policy, name, _ in policies:
             ctx.policy_results.append((table, policy, name, int(metrics.get(name, 0))))
+        dropping = {name: sql for policy, name, sql in policies if policy == "drop" and metrics.get(name, 0)}
+        if dropping:
+            # only when rows were dropped: a second pass picks them out
+            _, quarantine = apply_expectations(df, dropping, "warn")
+            tables.write_snapshot(quarantine, ctx.path("quarantine", table), ctx.run_id)
 
     return kept, finish
 
