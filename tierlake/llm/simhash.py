@@ -16,8 +16,6 @@
 6. A task returns a spanning forest of the links it found, never all pairs.
 """
 
-from itertools import repeat
-
 import numpy as np
 import pandas as pd
 import pyarrow as pa
@@ -30,9 +28,6 @@ from tierlake.llm.common import connected_components, spare, stored
 
 SEED = 42  # fixed value of the fingerprint contract
 
-_BYTE_SLOT = (np.arange(8) * 256).astype(np.int64)  # one histogram of byte values per byte place
-_BITS_OF_BYTE = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1, bitorder="little").astype(np.int64)
-
 
 def fingerprint_bytes(raw: bytes, shingle: int = 3) -> int:
     """Unsigned 64-bit fingerprint of one UTF-8 text (0 when it has no word)."""
@@ -48,13 +43,12 @@ def fingerprint_bytes(raw: bytes, shingle: int = 3) -> int:
     ends = np.cumsum(lens + 1) - 1
     starts = ends - lens
     count = n - shingle + 1
-    shingles = map(joined.__getitem__, map(slice, starts[:count].tolist(), ends[shingle - 1:].tolist()))
-    h = np.fromiter(map(digest, shingles, repeat(SEED)), np.uint64, count)
-    ones = np.zeros((8, 8), np.int64)
+    h = np.array([digest(joined[a:b], SEED) for a, b in zip(starts[:count].tolist(), ends[shingle - 1:].tolist())],
+                 np.uint64)
+    ones = np.zeros(64, np.int64)
     for at in range(0, count, 1 << 15):  # bounded memory for very long texts
-        byte = h[at:at + (1 << 15)].view(np.uint8).reshape(-1, 8) + _BYTE_SLOT
-        ones += np.bincount(byte.ravel(), minlength=2048).reshape(8, 256) @ _BITS_OF_BYTE
-    ones = ones.ravel()
+        bits = np.unpackbits(h[at:at + (1 << 15)].view(np.uint8), bitorder="little")
+        ones += bits.reshape(-1, 64).sum(axis=0, dtype=np.int32)
     on = np.flatnonzero(2 * ones > count)
     return int(np.bitwise_or.reduce(np.uint64(1) << on.astype(np.uint64))) if len(on) else 0
 
