@@ -4,19 +4,28 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tierlake.llm import passages, simhash
+from tierlake.llm import passages, quality, simhash
 from tierlake.llm.common import table
+from tierlake.llm.sql import ORACLE_SQL  # noqa: F401
 
 
 def op2_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_components(table(spark, sf_dir, "documents"))
 
 
+def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
+    return quality.judge(docs, keep_text=False).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
+        *quality.MEASURES)
+
+
 def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return passages.find_passages(table(spark, sf_dir, "documents"))
 
 
 QUERIES = {
     "op2_simhash_near_dedup": op2_simhash_near_dedup,
+    "op5_quality_rules": op5_quality_rules,
     "op9_substring_dedup": op9_substring_dedup,
 }
