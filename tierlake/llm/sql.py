@@ -15,7 +15,7 @@ def _bucket(v: str) -> str:
 def quality_measures(docs: str) -> str:
     """doc rows of ``docs`` (row id rid, doc_id, text, lang, source) with every measure."""
     return f"""
-    w AS (SELECT rid, list_filter(regexp_split_to_array(coalesce(text, ''), '{_SPACE}'), x -> x <> '') AS w FROM {docs}),
+    w AS (SELECT rid, list_filter(regexp_split_to_array(coalesce(text, ''), '{_SPACE}'), lambda x: x <> '') AS w FROM {docs}),
     g AS (SELECT rid, i, list_aggregate(w[i:i + {WINDOW - 1}], 'string_agg', ' ') AS g
           FROM (SELECT rid, w, unnest(range(1, len(w) - {WINDOW - 2})) AS i FROM w WHERE len(w) >= {WINDOW})),
     hit AS (SELECT rid, i FROM g WHERE (rid, g) IN (SELECT (rid, g) FROM g GROUP BY rid, g HAVING count(*) > 1)),
@@ -26,7 +26,7 @@ def quality_measures(docs: str) -> str:
                length(regexp_replace(coalesce(text, ''), '[^#*$%&|<>]+', '', 'g'))::BIGINT AS n_symbols,
                length(regexp_replace(coalesce(text, ''), '[^\\p{{Lu}}]+', '', 'g'))::BIGINT AS n_upper,
                length(regexp_replace(coalesce(text, ''), '[^!]+', '', 'g'))::BIGINT AS n_marks,
-               list_filter(string_split(coalesce(text, ''), chr(10)), x -> regexp_matches(x, '[^\\x20\\x09-\\x0D]')) AS li,
+               list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\\x20\\x09-\\x0D]')) AS li,
                coalesce(cov.n_repeat_words, 0)::BIGINT AS n_repeat_words
              FROM {docs} d JOIN w USING (rid) LEFT JOIN cov USING (rid)),
     measured AS (SELECT *, (len(li) - len(list_distinct(li)))::BIGINT AS n_dup_lines,
