@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tierlake.llm import passages, quality, simhash
+from tierlake.llm import leaks, passages, pieces, quality, simhash
 from tierlake.llm.common import table
 from tierlake.llm.sql import ORACLE_SQL  # noqa: F401
 
@@ -13,6 +14,14 @@ def op2_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_components(table(spark, sf_dir, "documents"))
 
 
+def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    coded = pieces.decode(pieces.encode(docs))
+    return coded.select("doc_id", F.length("text").cast("long").alias("n_chars"),
+                        F.size("ids").cast("long").alias("n_pieces"),
+                        F.col("decoded").eqNullSafe(F.col("text")).alias("lossless"), "ids")
+
+
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
     return quality.judge(docs, keep_text=False).select(
@@ -20,12 +29,18 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         *quality.MEASURES)
 
 
+def op6_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return leaks.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return passages.find_passages(table(spark, sf_dir, "documents"))
 
 
 QUERIES = {
     "op2_simhash_near_dedup": op2_simhash_near_dedup,
+    "op4_sentencepiece": op4_sentencepiece,
     "op5_quality_rules": op5_quality_rules,
+    "op6_benchmark_decontamination": op6_benchmark_decontamination,
     "op9_substring_dedup": op9_substring_dedup,
 }
