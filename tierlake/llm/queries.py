@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tierlake.llm import leaks, passages, pieces, quality, simhash
+from tierlake.llm import leaks, licenses, passages, pieces, quality, simhash, toxicity, trees
 from tierlake.llm.common import table
 from tierlake.llm.sql import ORACLE_SQL  # noqa: F401
 
@@ -14,6 +14,13 @@ def op2_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_components(table(spark, sf_dir, "documents"))
 
 
+def op3_reply_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    planted = spark.sql(r"""SELECT -7L AS conv_id, t AS turn, r AS role, '\\### Assistant: </turn> ok' AS text
+                            FROM VALUES (0L, 'user'), (1L, 'assistant') AS v(t, r)""")  # fixed by the contract
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(planted)
+    return trees.read_back(trees.format_best_paths(trees.conversations_as_trees(rows)))
+
+
 def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     coded = pieces.decode(pieces.encode(docs))
@@ -33,14 +40,25 @@ def op6_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     return leaks.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op8_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan_licenses(table(spark, sf_dir, "documents"))
+
+
 def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return passages.find_passages(table(spark, sf_dir, "documents"))
 
 
 QUERIES = {
     "op2_simhash_near_dedup": op2_simhash_near_dedup,
+    "op3_reply_trees": op3_reply_trees,
     "op4_sentencepiece": op4_sentencepiece,
     "op5_quality_rules": op5_quality_rules,
     "op6_benchmark_decontamination": op6_benchmark_decontamination,
+    "op7_toxicity": op7_toxicity,
+    "op8_license_scans": op8_license_scans,
     "op9_substring_dedup": op9_substring_dedup,
 }

@@ -68,4 +68,25 @@ QUALITY = f"""WITH docs AS (SELECT row_number() OVER () AS rid, doc_id, text, la
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept,
        {', '.join(MEASURES)} FROM judged"""
 
-ORACLE_SQL = {"op5_quality_rules": QUALITY}
+
+def _escaped(t: str) -> str:
+    '''Length of ``t`` with backslashes doubled, '##' broken up and '</turn>' broken up.'''
+    return (f"(length({t}) + length({t}) - length(replace({t}, chr(92), ''))"
+            f" + length({t}) - length(regexp_replace({t}, '#(#+)', '#', 'g'))"
+            f" + (length({t}) - length(replace({t}, '</turn>', ''))) // 7)")
+
+
+_ORDER = "ORDER BY turn NULLS FIRST, role NULLS FIRST, text NULLS FIRST"
+
+REPLY_TREES = f'''WITH planted(conv_id, turn, role, text) AS (
+    VALUES (-7, 0, 'user', '\### Assistant: </turn> ok'), (-7, 1, 'assistant', '\### Assistant: </turn> ok')),
+rows AS (SELECT conv_id, turn, role, text FROM conversations WHERE conv_id IS NOT NULL UNION ALL SELECT * FROM planted),
+clean AS (SELECT conv_id, turn, role, text, coalesce(role, '') AS r, coalesce(text, '') AS t FROM rows)
+SELECT conv_id, count(*)::BIGINT AS n_turns,
+    sha256(string_agg(r || chr(10) || t || chr(10), '' {_ORDER})) AS turns_sha256,
+    coalesce(sum(length(t)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+    sha256(coalesce(string_agg(t, '' {_ORDER}) FILTER (role = 'assistant'), '')) AS loss_sha256,
+    sum(14 + {_escaped('r')} + length(r) - length(replace(r, ':', '')) + {_escaped('t')})::BIGINT AS formatted_chars
+FROM clean GROUP BY conv_id'''
+
+ORACLE_SQL = {"op3_reply_trees": REPLY_TREES, "op5_quality_rules": QUALITY}
