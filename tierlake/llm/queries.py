@@ -5,11 +5,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tierlake.llm import leaks, licenses, passages, pieces, quality, simhash, toxicity, trees
+from tierlake.llm import leaks, licenses, passages, pieces, quality, revisits, sharding, simhash, toxicity, trees
 from tierlake.llm.common import table
 from tierlake.llm.sql import ORACLE_SQL  # noqa: F401
 
 
+def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return sharding.shard(docs).select(
+        "doc_id", sharding.row_bytes(F.col("text")).alias("size"), F.crc32("text").alias("text_crc32"),
+        F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
 def op2_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_components(table(spark, sf_dir, "documents"))
 
@@ -52,7 +59,19 @@ def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return passages.find_passages(table(spark, sf_dir, "documents"))
 
 
+def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    resolved = revisits.resolve_revisits(revisits.captures_of(pages))
+    whole = revisits.with_body(resolved, pages.select(
+        (F.col("page_id") * 8).alias("response_id"), F.col("html").alias("body")))
+    line = F.transform(F.array_sort(F.map_entries("headers")), lambda e: F.concat(e["key"], F.lit(": "), e["value"]))
+    return whole.select("record_id", "canonical", "ts", "status", "response_id",
+                        F.array_join(line, "\n").alias("headers"), F.length("body").cast("long").alias("body_chars"),
+                        F.md5("body").alias("body_md5"))
+
+
 QUERIES = {
+    "op1_sharding": op1_sharding,
     "op2_simhash_near_dedup": op2_simhash_near_dedup,
     "op3_reply_trees": op3_reply_trees,
     "op4_sentencepiece": op4_sentencepiece,
@@ -61,4 +80,5 @@ QUERIES = {
     "op7_toxicity": op7_toxicity,
     "op8_license_scans": op8_license_scans,
     "op9_substring_dedup": op9_substring_dedup,
+    "op10_warc": op10_warc,
 }

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from tierlake.llm.quality import FENCE, MEASURES, MIN_WORDS, MAX_REPEAT_PERCENT, WINDOW
+from tierlake.llm.revisits import VISIT_PARAMS
 
 _SPACE = r"[\x20\x09-\x0D]+"
 
@@ -89,4 +90,49 @@ SELECT conv_id, count(*)::BIGINT AS n_turns,
     sum(14 + {_escaped('r')} + length(r) - length(replace(r, ':', '')) + {_escaped('t')})::BIGINT AS formatted_chars
 FROM clean GROUP BY conv_id'''
 
-ORACLE_SQL = {"op3_reply_trees": REPLY_TREES, "op5_quality_rules": QUALITY}
+
+def _canonical(url: str) -> str:
+    bare = f"regexp_replace(trim({url}), '#.*$', '')"
+    scheme = "^[A-Za-z][A-Za-z0-9+.-]*://"
+    host = (f"regexp_replace(regexp_replace(lower(regexp_extract({bare}, '{scheme}([^/?]*)', 1)), '^www[0-9]*\\.', ''),"
+            " ':(?:80|443)$', '')")
+    rest = f"regexp_replace({bare}, '{scheme}[^/?]*', '')"
+    rest = f"regexp_replace({rest}, '&{VISIT_PARAMS}=[^&]*', '', 'g')"
+    rest = f"regexp_replace({rest}, '\\?{VISIT_PARAMS}=[^&]*&', '?')"
+    rest = f"regexp_replace({rest}, '\\?{VISIT_PARAMS}=[^&]*$', '')"
+    return f"{host} || regexp_replace({rest}, '/+$', '')"
+
+
+WARC = f"""WITH p AS (SELECT *, {_canonical('url')} AS canonical, 1700000000 + (page_id % 997) * 3600 AS t0,
+    '"' || substr(md5(html), 1, 16) || '"' AS tag FROM pages),
+d AS (SELECT *, strftime(make_timestamp((t0 - (page_id % 89) * 60) * 1000000), '%a, %d %b %Y %H:%M:%S GMT') AS lm FROM p),
+resp AS (SELECT canonical, t0 AS ts, max(page_id) AS pid FROM d GROUP BY ALL),
+rev AS (
+  SELECT page_id * 8 + 1 AS record_id, canonical, t0 + 86400 AS ts,
+         CASE WHEN page_id % 2 = 0 THEN 'W/' ELSE '' END || tag AS etag, NULL AS lm, 'max-age=1200' AS cc, NULL AS ex, '0' AS cl FROM d
+  UNION ALL SELECT page_id * 8 + 2, canonical, t0 + 172800, '"stale"', NULL, 'no-cache', NULL, NULL FROM d WHERE page_id % 3 = 0
+  UNION ALL SELECT page_id * 8 + 3, canonical, t0 + 90000, NULL, lm, NULL, '0', NULL FROM d WHERE page_id % 5 = 0
+  UNION ALL SELECT page_id * 8 + 4, canonical, t0 - 31536000, tag, NULL, NULL, NULL, NULL FROM d WHERE page_id % 7 = 0
+  UNION ALL SELECT page_id * 8 + 5, canonical, t0 + 100000, NULL, NULL, 'private', NULL, NULL FROM d WHERE page_id % 11 = 0),
+found AS (SELECT rev.*, resp.pid FROM rev ASOF LEFT JOIN resp ON rev.canonical = resp.canonical AND rev.ts > resp.ts),
+judged AS (SELECT f.*, b.tag AS rtag, b.lm AS rlm, b.html,
+    CASE WHEN pid IS NULL THEN 'orphan'
+         WHEN f.etag IS NOT NULL THEN CASE WHEN regexp_replace(f.etag, '^W/', '') = b.tag THEN 'resolved' ELSE 'changed' END
+         WHEN f.lm IS NOT NULL THEN CASE WHEN f.lm = b.lm THEN 'resolved' ELSE 'changed' END
+         ELSE 'unverified' END AS status
+  FROM found f LEFT JOIN d b ON b.page_id = f.pid),
+merged AS (SELECT *, status = 'resolved' AS ok,
+    strftime(make_timestamp(ts * 1000000), '%a, %d %b %Y %H:%M:%S GMT') AS date FROM judged)
+SELECT record_id, canonical, ts, status, pid * 8 AS response_id,
+    concat_ws(chr(10),
+      'cache-control: ' || coalesce(cc, CASE WHEN ok THEN 'max-age=600' END),
+      'content-length: ' || CASE WHEN ok THEN strlen(html)::VARCHAR ELSE cl END,
+      CASE WHEN ok THEN 'content-type: text/html; charset=utf-8' END,
+      'date: ' || date,
+      'etag: ' || coalesce(etag, CASE WHEN ok THEN rtag END),
+      'expires: ' || ex,
+      'last-modified: ' || coalesce(lm, CASE WHEN ok THEN rlm END)) AS headers,
+    CASE WHEN ok THEN length(html) END::BIGINT AS body_chars, CASE WHEN ok THEN md5(html) END AS body_md5
+FROM merged"""
+
+ORACLE_SQL = {"op3_reply_trees": REPLY_TREES, "op5_quality_rules": QUALITY, "op10_warc": WARC}
