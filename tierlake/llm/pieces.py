@@ -21,16 +21,20 @@ import re
 from array import array
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from tierlake.llm.common import spare
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 ALPHA = 1.0
 SEED = 20240607
 CACHE_NODES = 1_000_000  # lattice positions kept per task; then the cache starts anew
-BATCH_CHARS = 1_000_000  # characters encoded at once in a task
+BATCH_CHARS = 500_000    # characters encoded at once in a task
 SHORT = 48               # longer words are filtered one by one, rescaled as they go
 LOOSE = 1e-6             # weight of the byte pieces of a character without a piece
 TOP = 0.999999999        # a node's summed chances end here, below the next node
@@ -73,12 +77,43 @@ class Vocabulary:
                     state = step[key] = len(ends)
                     ends.append((-1, 0.0))
             ends[state] = hit
-        order = sorted(step)
-        self.keys = np.array(order, np.int64)
-        self.next = np.array([step[k] for k in order], np.int64)
+        # open addressing: 2**20 slots, so that most lookups end at the first
+        keys, states = np.array(list(step), np.int64), np.array(list(step.values()), np.int32)
+        self.slot_key, self.slot_state = np.full(1 << 20, -1, np.int64), np.zeros(1 << 20, np.int32)
+        slot = _slot(keys)
+        while len(keys):
+            free = self.slot_key[slot] < 0
+            at, first = np.unique(slot[free], return_index=True)
+            put = np.flatnonzero(free)[first]
+            self.slot_key[at], self.slot_state[at] = keys[put], states[put]
+            rest = np.ones(len(keys), bool)
+            rest[put] = False
+            keys, states, slot = keys[rest], states[rest], (slot[rest] + 1) & _SLOTS
         self.state_piece = np.array([e[0] for e in ends], np.int64)
         self.state_weight = np.array([e[1] for e in ends])
 
+    def follow(self, key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(places of the keys that have a transition, their next states)."""
+        slot = _slot(key)
+        seen = self.slot_key[slot]
+        state = np.where(seen == key, self.slot_state[slot], -1)
+        open_ = np.flatnonzero((seen != key) & (seen >= 0))
+        while len(open_):
+            slot[open_] = (slot[open_] + 1) & _SLOTS
+            seen = self.slot_key[slot[open_]]
+            hit = seen == key[open_]
+            state[open_[hit]] = self.slot_state[slot[open_[hit]]]
+            open_ = open_[~hit & (seen >= 0)]
+        ok = np.flatnonzero(state >= 0)
+        return ok, state[ok].astype(np.int64)
+
+
+_SLOTS = (1 << 20) - 1
+
+
+def _slot(key: np.ndarray) -> np.ndarray:
+    return ((key.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(44)).astype(np.int64)
+
 
 class Lattices:
     """Forward-filtered words: for each position the last pieces and chances."""
@@ -111,10 +146,8 @@ class Lattices:
         at, state = np.arange(len(codes)), np.zeros(len(codes), np.int64)
         single = np.zeros(len(codes), bool)
         for k in range(v.longest):  # all matches from every position, one more character a turn
-            key = (state << 21) | codes[at + k]
-            j = np.minimum(np.searchsorted(v.keys, key), len(v.keys) - 1)
-            ok = v.keys[j] == key
-            at, state = at[ok], v.next[j[ok]]
+            ok, state = v.follow((state << 21) | codes[at + k])
+            at = at[ok]
             hit = v.state_piece[state] >= 0
             if k == 0:
                 single[at[hit]] = True
@@ -153,7 +186,7 @@ class Lattices:
         run = np.cumsum(share)
         run -= np.repeat(run[first] - share[first], np.diff([*first.tolist(), len(end)]))
         run[np.concatenate((first[1:], [len(end)])) - 1] = 1.0
-        self.chunks.append((self.nodes + end + np.minimum(run, 1.0) * TOP, step, piece))
+        self.chunks.append((self.nodes + end + np.minimum(run, 1.0) * TOP, step.astype(np.int32), piece.astype(np.int32)))
         self.word.update(zip(short, (self.nodes + off + np.arange(len(short))).tolist()))
         self.nodes += len(total)
 
@@ -164,7 +197,7 @@ class Lattices:
         total = [0.0] * (n + 1)
         total[0] = 1.0
         base = self.nodes
-        upto, step, piece = array("d"), array("q"), array("q")
+        upto, step, piece = array("d"), array("i"), array("i")
         for p in range(1, n + 1):
             found = []
             for size in range(1, min(p, longest) + 1):
@@ -211,8 +244,9 @@ def words_of(text: str) -> list[str]:
     return re.findall(r" *[^ \n]+| +|\n", " " + text)
 
 
-def encode_texts(texts: list[str], keys: list, lattices: Lattices, seed: int = SEED) -> list[np.ndarray]:
-    """Sampled piece ids of each text. A row's draws depend on seed, key and text position alone."""
+def encode_texts(texts: list[str], keys: list, lattices: Lattices,
+                 seed: int = SEED) -> tuple[np.ndarray, np.ndarray]:
+    """Sampled piece ids of all texts, and how many each has. A row's draws depend on seed, key and text position alone."""
     v = lattices.v
     if lattices.nodes > CACHE_NODES:
         lattices.clear()
@@ -226,7 +260,7 @@ def encode_texts(texts: list[str], keys: list, lattices: Lattices, seed: int = S
     starts = list(map(lattices.word.__getitem__, words))
     counts = np.array(counts, np.int64)
     if not len(sizes):
-        return [np.empty(0, np.int32) for _ in texts]
+        return np.empty(0, np.int32), np.zeros(len(texts), np.int64)
     upto, step, piece = lattices.arrays()
     size = np.array(sizes, np.int64)
     node = np.array(starts, np.int64)
@@ -263,14 +297,24 @@ def encode_texts(texts: list[str], keys: list, lattices: Lattices, seed: int = S
             for k, b in enumerate(seq):
                 out[places + k] = b
         ids = out
-    return np.split(ids.astype(np.int32), np.cumsum(per_row)[:-1])
-
-
-def decode_ids(ids, vocabulary: Vocabulary) -> str:
-    """Text of a piece sequence; the first space mark was added by the encoder."""
-    spelling = vocabulary.spelling
-    raw = b"".join(map(spelling.__getitem__, ids.tolist()))
-    return raw[1:].decode("utf-8", "surrogatepass")
+    return ids.astype(np.int32), per_row
+
+
+def decode_ids(ids: np.ndarray, counts: np.ndarray, vocabulary: Vocabulary) -> tuple[np.ndarray, np.ndarray]:
+    """UTF-8 bytes of all piece sequences, and how many each has. The first space
+    mark of a sequence was added by the encoder and goes."""
+    blob = np.frombuffer(b"".join(vocabulary.spelling), np.uint8)
+    width = np.array(list(map(len, vocabulary.spelling)), np.int64)
+    first = np.cumsum(width) - width
+    size = width[ids]
+    ends = np.cumsum(size)
+    raw = blob[np.repeat(first[ids] - (ends - size), size) + np.arange(int(size.sum()))]
+    upto = np.concatenate(([0], ends))[np.cumsum(counts)]
+    starts = np.concatenate(([0], upto[:-1]))
+    some = upto > starts
+    keep = np.ones(len(raw), bool)
+    keep[starts[some]] = False
+    return raw[keep], upto - starts - some
 
 
 def _model_bytes(df: DataFrame, model: str) -> bytes:
@@ -289,32 +333,46 @@ def encode(df: DataFrame, key: str = "doc_id", text: str = "text", ids: str = "i
     """
     proto = _model_bytes(df, model)
 
+    # id and text travel under names of their own, whatever else the table holds
+    k, t = spare(df, "key"), spare(df, "text")
+    schema = T.StructType([*df.schema.fields, T.StructField(ids, T.ArrayType(T.IntegerType()))])
+    own = len(df.columns)
+
     def run(batches):
         lattices = Lattices(Vocabulary(proto, alpha))
-        for keys, texts in batches:
-            keys, texts = keys.tolist(), texts.tolist()
-            out, at = [None] * len(texts), 0
-            while at < len(texts):  # bounded number of characters at once
-                end, chars = at, 0
-                while end < len(texts) and (end == at or chars + len(texts[end] or "") <= BATCH_CHARS):
-                    chars += len(texts[end] or "")
-                    end += 1
-                got = encode_texts(texts[at:end], keys[at:end], lattices, seed)
-                out[at:end] = [None if t is None else g for t, g in zip(texts[at:end], got)]
-                at = end
-            yield pd.Series(out)
-
-    sampler = F.pandas_udf(run, "array<int>", F.PandasUDFType.SCALAR_ITER)
-    return df.withColumn(ids, sampler(F.col(key).cast("string"), F.col(text)))
+        for batch in batches:
+            size = pc.fill_null(pc.utf8_length(batch.column(own + 1)), 0).to_numpy(zero_copy_only=False)
+            at = 0
+            while at < batch.num_rows:  # bounded number of characters at once
+                n = max(1, int(np.searchsorted(np.cumsum(size[at:]), BATCH_CHARS, side="right")))
+                part = batch.slice(at, n)
+                texts = part.column(own + 1).to_pylist()
+                flat, counts = encode_texts(texts, part.column(own).to_pylist(), lattices, seed)
+                offsets = np.concatenate(([0], np.cumsum(counts))).astype(np.int32)
+                missing = np.array([x is None for x in texts] + [False])
+                coded = pa.ListArray.from_arrays(pa.array(offsets, mask=missing), pa.array(flat))
+                yield pa.RecordBatch.from_arrays([*part.columns[:own], coded], [f.name for f in schema.fields])
+                at += n
+
+    return df.withColumns({k: F.col(key).cast("string"), t: F.col(text)}).mapInArrow(run, schema)
 
 
 def decode(df: DataFrame, ids: str = "ids", out: str = "decoded", model: str = MODEL) -> DataFrame:
     """Add the text of each piece sequence; null stays null, no pieces give ''."""
     proto = _model_bytes(df, model)
+    schema = T.StructType([*df.schema.fields, T.StructField(out, T.StringType())])
+    at = df.columns.index(ids)
 
     def run(batches):
         vocabulary = Vocabulary(proto)
-        for col in batches:
-            yield pd.Series([None if x is None else decode_ids(x, vocabulary) for x in col])
-
-    return df.withColumn(out, F.pandas_udf(run, "string", F.PandasUDFType.SCALAR_ITER)(F.col(ids)))
+        for batch in batches:
+            col = batch.column(at)
+            counts = pc.fill_null(pc.list_value_length(col), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+            raw, size = decode_ids(pc.list_flatten(col).to_numpy(zero_copy_only=False), counts, vocabulary)
+            offsets = np.concatenate(([0], np.cumsum(size)))
+            text = pa.LargeStringArray.from_buffers(
+                len(col), pa.py_buffer(offsets.astype(np.int64)), pa.py_buffer(raw))
+            text = pc.if_else(pc.is_null(col), None, text).cast(pa.string())
+            yield pa.RecordBatch.from_arrays([*batch.columns, text], [f.name for f in schema.fields])
+
+    return df.mapInArrow(run, schema)
