@@ -33,12 +33,12 @@ from tierlake.llm.common import spare
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 ALPHA = 1.0
 SEED = 20240607
-CACHE_NODES = 1_000_000  # lattice positions kept per task; then the cache starts anew
+CACHE_NODES = 600_000   # lattice positions kept per task; then the cache starts anew
 BATCH_CHARS = 500_000    # characters encoded at once in a task
 SHORT = 48               # longer words are filtered one by one, rescaled as they go
 LOOSE = 1e-6             # weight of the byte pieces of a character without a piece
-TOP = 0.999999999        # a node's summed chances end here, below the next node
 
+_GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 _SPACE = "▁"
 
 
@@ -125,7 +125,8 @@ class Lattices:
     def clear(self):
         self.word = {}   # word -> its first node
         self.nodes = 0
-        self.chunks = []  # edges by end node: node + summed chance, characters, piece
+        self.edges = 0
+        self.chunks = []  # node -> first edge; edge -> summed chance at its node, characters, piece
         self.loose = {}   # character without a piece -> pseudo id
 
     def add_many(self, words: list[str]) -> None:
@@ -170,7 +171,7 @@ class Lattices:
         begin = start + word[start]  # node of a character's start, this call's nodes from 0
         end = begin + step
         place = start - off[word[start]] + step
-        order = np.lexsort((step, end, place))
+        order = np.argsort((place << 50) | (end << 5) | step)  # all keys differ: one order, whatever the batch
         begin, end, step, piece, weight, place = (x[order] for x in (begin, end, step, piece, weight, place))
         total = np.zeros(len(codes) + len(short))
         total[off + np.arange(len(short))] = 1.0
@@ -180,16 +181,24 @@ class Lattices:
             part[a:b] = total[begin[a:b]] * weight[a:b]
             first = np.concatenate(([0], np.flatnonzero(np.diff(end[a:b])) + 1))
             total[end[a:b][first]] = np.add.reduceat(part[a:b], first)
-        order = np.lexsort((step, end))
-        end, step, piece, share = end[order], step[order], piece[order], part[order] / total[end[order]]
-        first = np.concatenate(([0], np.flatnonzero(np.diff(end)) + 1))
-        run = np.cumsum(share)
-        run -= np.repeat(run[first] - share[first], np.diff([*first.tolist(), len(end)]))
-        run[np.concatenate((first[1:], [len(end)])) - 1] = 1.0
-        self.chunks.append((self.nodes + end + np.minimum(run, 1.0) * TOP, step.astype(np.int32), piece.astype(np.int32)))
+        share = part / total[end]
+        # likely pieces first: most draws end at the first edge
+        order = np.argsort((end << 34) | ((1.0 - share) * (1 << 28)).astype(np.int64) << 5 | step)
+        self._put(len(total), end[order], share[order], step[order], piece[order])
         self.word.update(zip(short, (self.nodes + off + np.arange(len(short))).tolist()))
         self.nodes += len(total)
 
+    def _put(self, nodes: int, end: np.ndarray, share: np.ndarray, step: np.ndarray, piece: np.ndarray) -> None:
+        """Append edges, sorted by end node, of ``nodes`` new nodes."""
+        first = np.searchsorted(end, np.arange(nodes))
+        run = np.cumsum(share)
+        heads = np.concatenate(([0], np.flatnonzero(np.diff(end)) + 1))
+        run -= np.repeat(run[heads] - share[heads], np.diff(np.concatenate((heads, [len(end)]))))
+        run[np.concatenate((heads[1:], [len(end)])) - 1] = 1.0
+        self.chunks.append(((first + self.edges).astype(np.int32), run.astype(np.float32), step.astype(np.int8),
+                            piece.astype(np.int32)))
+        self.edges += len(end)
+
     def add(self, word: str) -> int:
         """Node of the word's start; node + p is the position after p characters."""
         edge, longest = self.v.edge, self.v.longest
@@ -197,7 +206,7 @@ class Lattices:
         total = [0.0] * (n + 1)
         total[0] = 1.0
         base = self.nodes
-        upto, step, piece = array("d"), array("i"), array("i")
+        end, share, step, piece = array("q"), array("d"), array("q"), array("q")
         for p in range(1, n + 1):
             found = []
             for size in range(1, min(p, longest) + 1):
@@ -210,17 +219,16 @@ class Lattices:
                 pseudo = self.loose.setdefault(word[p - 1], self.v.size + len(self.loose))
                 found.append((1, pseudo, total[p - 1] * LOOSE))
             whole = sum(f[2] for f in found)
-            run = 0.0
-            for size, i, w in found:
-                run += w
-                upto.append(base + p + min(run / whole, 1.0) * TOP)
+            for size, i, w in sorted(found, key=lambda f: (-f[2], f[0])):
+                end.append(p)
+                share.append(w / whole)
                 step.append(size)
                 piece.append(i)
             total[p] = whole
             if whole < 1e-200:  # keep the window of live totals in range
                 for k in range(max(0, p - longest), p + 1):
                     total[k] *= 1e200
-        self.chunks.append((np.array(upto), np.array(step), np.array(piece)))
+        self._put(n + 1, *map(np.array, (end, share, step, piece)))
         self.nodes += n + 1
         self.word[word] = base
         return base
@@ -261,7 +269,7 @@ def encode_texts(texts: list[str], keys: list, lattices: Lattices,
     counts = np.array(counts, np.int64)
     if not len(sizes):
         return np.empty(0, np.int32), np.zeros(len(texts), np.int64)
-    upto, step, piece = lattices.arrays()
+    first, upto, step, piece = lattices.arrays()
     size = np.array(sizes, np.int64)
     node = np.array(starts, np.int64)
     ends = np.cumsum(size)                       # character position after each word, in the batch
@@ -273,8 +281,12 @@ def encode_texts(texts: list[str], keys: list, lattices: Lattices,
     left, pos, base, who = size.copy(), ends, node, row
     while len(left):
         count = (pos - row_at[who]).astype(np.uint64)
-        u = (_mix(_mix(row_seed[who] + count * np.uint64(0x9E3779B97F4A7C15))) >> np.uint64(11)).astype(np.float64) / 2.0 ** 53
-        e = np.searchsorted(upto, base + left + u * (TOP - 1e-9), side="left")
+        u = ((_mix(row_seed[who] + count * _GOLDEN) >> np.uint64(40)).astype(np.float32) + np.float32(0.5)) / np.float32(1 << 24)
+        e = first[base + left]
+        late = np.flatnonzero(upto[e] < u)
+        while len(late):
+            e[late] += 1
+            late = late[upto[e[late]] < u[late]]
         chosen[pos] = piece[e]
         left = left - step[e]
         pos = pos - step[e]
@@ -324,8 +336,9 @@ def _model_bytes(df: DataFrame, model: str) -> bytes:
 
 
 def encode(df: DataFrame, key: str = "doc_id", text: str = "text", ids: str = "ids", model: str = MODEL,
-           alpha: float = ALPHA, seed: int = SEED) -> DataFrame:
-    """Add the sampled piece ids as array<int>.
+           alpha: float = ALPHA, seed: int = SEED, lossless: str | None = None) -> DataFrame:
+    """Add the sampled piece ids as array<int>; with ``lossless`` also a column of
+    that name: whether decoding them gave back the text (in the same task).
 
     Null text gives null, empty text no pieces. Rows with equal key and text
     get equal segmentations, rows that differ in the key other draws; a null
@@ -335,7 +348,10 @@ def encode(df: DataFrame, key: str = "doc_id", text: str = "text", ids: str = "i
 
     # id and text travel under names of their own, whatever else the table holds
     k, t = spare(df, "key"), spare(df, "text")
-    schema = T.StructType([*df.schema.fields, T.StructField(ids, T.ArrayType(T.IntegerType()))])
+    fields = [*df.schema.fields, T.StructField(ids, T.ArrayType(T.IntegerType()))]
+    if lossless:
+        fields.append(T.StructField(lossless, T.BooleanType()))
+    schema = T.StructType(fields)
     own = len(df.columns)
 
     def run(batches):
@@ -351,7 +367,13 @@ def encode(df: DataFrame, key: str = "doc_id", text: str = "text", ids: str = "i
                 offsets = np.concatenate(([0], np.cumsum(counts))).astype(np.int32)
                 missing = np.array([x is None for x in texts] + [False])
                 coded = pa.ListArray.from_arrays(pa.array(offsets, mask=missing), pa.array(flat))
-                yield pa.RecordBatch.from_arrays([*part.columns[:own], coded], [f.name for f in schema.fields])
+                more = [coded]
+                if lossless:
+                    raw, size_ = decode_ids(flat, counts, lattices.v)
+                    ends = np.cumsum(size_).tolist()
+                    more.append(pa.array([(x or "").encode("utf-8", "surrogatepass") == raw[b - c:b].tobytes()
+                                          for x, b, c in zip(texts, ends, size_.tolist())]))
+                yield pa.RecordBatch.from_arrays([*part.columns[:own], *more], [f.name for f in schema.fields])
                 at += n
 
     return df.withColumns({k: F.col(key).cast("string"), t: F.col(text)}).mapInArrow(run, schema)

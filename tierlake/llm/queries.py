@@ -30,10 +30,9 @@ def op3_reply_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    coded = pieces.decode(pieces.encode(docs))
+    coded = pieces.encode(docs, lossless="lossless")
     return coded.select("doc_id", F.length("text").cast("long").alias("n_chars"),
-                        F.size("ids").cast("long").alias("n_pieces"),
-                        F.col("decoded").eqNullSafe(F.col("text")).alias("lossless"), "ids")
+                        F.size("ids").cast("long").alias("n_pieces"), "lossless", "ids")
 
 
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
