@@ -159,97 +159,6 @@ def regress(rows: pd.DataFrame, ratio: np.ndarray) -> tuple[np.ndarray, float]:
     return w.astype(float) * ratio, float(b)
 
 
-def score(self, text: str | None) -> float:
-        return float(1.0 / (1.0 + np.exp(-np.clip(self.bias + self.weight[self.present(text)].sum(), -500, 500))))
-
-
-def held_out(key: Column) -> Column:
-    return (F.crc32(key.cast("string")) % 3 == 1)
-
-
-def training_labels(labels: DataFrame, key: str = "doc_id", label: str = "toxic") -> DataFrame:
-    """(k, y) of the rows labels may be learnt from; a repeated id is toxic if any of its rows is."""
-    return (labels.where(F.col(key).isNotNull() & F.col(label).isin(0, 1) & ~held_out(F.col(key)))
-            .groupBy(F.col(key).alias("k")).agg(F.max(F.col(label)).cast("int").alias("y")))
-
-
-def _labelled(docs, labels, key, text):
-    y = stored(training_labels(labels), "toxicity-labels")
-    if y.count() <= LABELS_BROADCAST:
-        return y, docs.select(F.col(key).alias("k"), F.col(text).alias("t")).join(F.broadcast(y), "k")
-    return y, docs.select(F.col(key).alias("k"), F.col(text).alias("t")).join(y, "k")
-
-
-def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text") -> Model:
-    """Train on the labelled texts; without both classes the score is the constant 0."""
-    y, texts = _labelled(docs, labels, key, text)
-
-    def count(batches):
-        n = np.zeros((2, 1 << BITS), np.int64)
-        rows = [0, 0]
-        for batch in batches:
-            for label, t in zip(batch.column("y").to_pylist(), batch.column("t")):
-                n[label, np.unique(buckets(t.as_py()))] += 1
-                rows[label] += 1
-        at = np.flatnonzero(n.any(axis=0))
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(np.concatenate((at, [-1]))), pa.array(np.concatenate((n[0, at], [rows[0]]))),
-             pa.array(np.concatenate((n[1, at], [rows[1]])))], ["g", "clean", "toxic"])
-
-    counted = stored(texts.select("t", "y").mapInArrow(count, "g long, clean long, toxic long")
-                     .groupBy("g").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic")), "toxicity-counts")
-    rows = counted.where("g = -1").first()
-    clean, toxic = (rows.clean, rows.toxic) if rows else (0, 0)
-    if not clean or not toxic:
-        return Model(np.empty(0, np.int64), np.empty(0), -np.inf)
-    a, b = F.col("toxic"), F.col("clean")
-    n, seen = F.lit(float(clean + toxic)), a + b
-    odds = n * F.pow(a * (clean - b) - b * (toxic - a), F.lit(2.0)) / (seen * (n - seen + 1e-9) * toxic * clean)
-    best = (counted.where("g >= 0").select("g", "clean", "toxic", odds.alias("chi2"))
-            .orderBy(F.desc("chi2"), "g").limit(FEATURES).collect())  # bounded by FEATURES
-    kept = np.array([r.g for r in best], np.int64)
-    p, q = (np.array([r[c] for r in best], float) + SMOOTH for c in ("toxic", "clean"))
-    ratio = np.log(p / (toxic + 2 * SMOOTH)) - np.log(q / (clean + 2 * SMOOTH))
-
-    chosen = y.orderBy(F.xxhash64("k"), "k").limit(SAMPLE).select("k")
-    empty = cloudpickle.dumps(Model(kept, np.zeros(len(kept)), 0.0))
-
-    def rows_of(batches):
-        model = pickle.loads(empty)
-        for batch in batches:
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("y"), pa.array([model.present(t.as_py()) for t in batch.column("t")],
-                                             pa.list_(pa.int16()))], ["y", "x"])
-
-    sample = texts.join(F.broadcast(chosen), "k", "left_semi").orderBy(F.xxhash64("k"), "k", F.xxhash64("t")) \
-        .limit(SAMPLE).select("t", "y").mapInArrow(rows_of, "y int, x array<smallint>")
-    weight, bias = regress(sample.toPandas(), ratio)  # at most SAMPLE rows of at most FEATURES numbers
-    return Model(kept, weight, bias)
-
-
-def regress(rows: pd.DataFrame, ratio: np.ndarray) -> tuple[np.ndarray, float]:
-    """Weights by accelerated gradient steps from zero (fixed number, no randomness)."""
-    y = rows["y"].to_numpy(float)
-    size = rows["x"].map(len).to_numpy()
-    row = np.repeat(np.arange(len(rows)), size)
-    col = np.concatenate([np.empty(0, np.int64), *rows["x"].tolist()]).astype(np.int64)
-    x = ratio[col]
-    n = len(rows)
-    norm = np.bincount(row, weights=x * x, minlength=n).max(initial=0.0) + 1.0
-    step = 4.0 / (norm + 4 * PENALTY)
-    w, b = np.zeros(len(ratio)), float(np.log(max(y.mean(), 1e-6) / max(1 - y.mean(), 1e-6)))
-    vw, vb, pw, pb = w, b, w, b
-    for k in range(ROUNDS):
-        z = np.bincount(row, weights=x * vw[col], minlength=n) + vb
-        g = (1.0 / (1.0 + np.exp(-np.clip(z, -500, 500))) - y)
-        gw = np.bincount(col, weights=x * g[row], minlength=len(ratio)) / n + PENALTY * vw
-        w, b = vw - step * n / max(n, 1) * gw * 20, vb - step * 20 * g.mean()
-        turn = k / (k + 3.0)
-        vw, vb = w + turn * (w - pw), b + turn * (b - pb)
-        pw, pb = w, b
-    return w * ratio, float(b)
-
-
 def score(docs: DataFrame, model: Model, text: str = "text", out: str = "score") -> DataFrame:
     """Add the score (0 to 1) of every whole text; null and empty texts have the bias alone."""
     sent = cloudpickle.dumps(model)
