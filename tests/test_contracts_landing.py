@@ -11,15 +11,15 @@ from tierlake.sources.specs import CUSTOMERS_CONTRACT, SALES_CONTRACT, load_cont
 def test_missing_required_column_breaks():
     cols = [c for c in SALES_CONTRACT["properties"] if c != "quantity"]
     with pytest.raises(C.SchemaBreak, match="quantity"):
-        C.schema_drift(cols, SALES_CONTRACT, "sales")
+        C.describe_drift(cols, SALES_CONTRACT, "sales")
 
 
 def test_new_and_missing_optional_columns_only_warn():
     cols = [c for c in SALES_CONTRACT["properties"] if c != "store_id"] + ["coupon_code"]
-    msgs = C.schema_drift(cols, SALES_CONTRACT, "sales")
-    assert any("new columns" in m and "coupon_code" in m for m in msgs)
-    assert any("missing optional" in m and "store_id" in m for m in msgs)
-    assert C.schema_drift(list(SALES_CONTRACT["properties"]), SALES_CONTRACT, "sales") == []
+    msgs = C.describe_drift(cols, SALES_CONTRACT, "sales")
+    assert any("added" in m and "coupon_code" in m for m in msgs)
+    assert any("omitted" in m and "store_id" in m for m in msgs)
+    assert C.describe_drift(list(SALES_CONTRACT["properties"]), SALES_CONTRACT, "sales") == []
 
 
 def test_contract_schema_types_follow_header_order():

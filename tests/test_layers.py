@@ -23,7 +23,7 @@ def test_bronze_ingest_is_idempotent_and_keeps_lineage(ctx):
     assert {r["source"]: r["rows_written"] for r in first} == {
         "sales": 5, "customers": 3, "products": 3, "stores": 2, "inventory": 3}
     assert first[0]["rows_read"] == 5 and first[0]["drift_messages"] == []
-    assert any("missing optional" in m for m in first[1]["drift_messages"])
+    assert any("omitted" in m for m in first[1]["drift_messages"])
     again = L.run_bronze(L.RunContext(ctx.spark, ctx.landing_root, ctx.lake_root, run_id="r0002", as_of=AS_OF))
     assert all(r["rows_written"] == 0 for r in again)
     sales = L.bronze_table(ctx, "sales")

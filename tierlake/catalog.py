@@ -144,12 +144,12 @@ GROUP BY year, month, year_month, {tdate}, store_id, store_name, store_region, p
 
 @register("agg_daily_sales", O.with_ctes("obt") + _DAILY_SQL.format(tdate="CAST(transaction_date AS DATE)"))
 def q_daily(spark, sf_dir):
-    return gold.agg_daily_sales(obt_df(spark, sf_dir), grain="day")
+    return gold.agg_daily_sales(obt_df(spark, sf_dir), grain="day", transactions_unique=True)
 
 
 @register("agg_daily_sales_instant", O.with_ctes("obt") + _DAILY_SQL.format(tdate="transaction_date"))
 def q_daily_instant(spark, sf_dir):
-    return gold.agg_daily_sales(obt_df(spark, sf_dir), grain="instant")
+    return gold.agg_daily_sales(obt_df(spark, sf_dir), grain="instant", transactions_unique=True)
 
 
 @register("agg_monthly_sales_reference", O.with_ctes("obt", extra="daily AS (" + _DAILY_SQL.format(
@@ -168,7 +168,7 @@ GROUP BY year, month, year_month, store_id, store_name, store_region, product_ca
 def q_monthly_reference(spark, sf_dir):
     # averages of averages are sums of doubles: rounded to 6 places so the
     # cross-check does not depend on the engines' summation order
-    out = gold.agg_monthly_sales(gold.agg_daily_sales(obt_df(spark, sf_dir)))
+    out = gold.agg_monthly_sales(gold.agg_daily_sales(obt_df(spark, sf_dir), transactions_unique=True))
     return out.withColumn("avg_order_value", F.round("avg_order_value", 6)) \
               .withColumn("avg_margin_pct", F.round("avg_margin_pct", 6))
 
@@ -186,7 +186,7 @@ SELECT year, month, year_month, store_id, store_name, store_region, product_cate
 FROM obt
 GROUP BY year, month, year_month, store_id, store_name, store_region, product_category, channel""")
 def q_monthly_exact(spark, sf_dir):
-    return gold.agg_monthly_sales_exact(obt_df(spark, sf_dir))
+    return gold.agg_monthly_sales_exact(obt_df(spark, sf_dir), transactions_unique=True)
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -993,7 +993,7 @@ def q_lake_run_history(spark, sf_dir):
 @register("landing_layouts", f"""
 SELECT 1 AS layout,
        'o_orderkey,o_custkey,o_orderstatus,o_totalprice,o_orderdate,o_orderpriority' AS header,
-       '[orders] Schema drift detected - missing optional columns: [''o_note'']' AS drift,
+       'orders: columns omitted: o_note' AS drift,
        count(*) AS row_count
 FROM orders WHERE year(o_orderdate) <= 1997
 UNION ALL
@@ -1011,7 +1011,7 @@ def q_landing_layouts(spark, sf_dir):
     files = list_files(spark, f"{root}/orders")
     layouts = []
     for i, (header, group) in enumerate(header_groups(spark, files).items(), start=1):
-        drift = " | ".join(C.schema_drift(header, ORDERS_CONTRACT, "orders"))
+        drift = " | ".join(C.describe_drift(header, ORDERS_CONTRACT, "orders"))
         layouts += [(f, i, ",".join(header), drift) for f in group]
     meta = spark.createDataFrame(layouts, "_source_file string, layout int, header string, drift string")
     rows = read_landing(spark, f"{root}/orders", "csv", ORDERS_CONTRACT).groupBy("_source_file").count()

@@ -10,9 +10,14 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-MONEY = T.DecimalType(12, 2)
+MONEY = T.DecimalType(12, 2)     # whole-cent prices of the derived tables
 PERCENT = T.DecimalType(5, 2)
 RATIO = T.DecimalType(12, 2)
+# Inputs keep six decimals and are rounded to cents once, after multiplying.
+# The widths add up to 38 digits, so no product loses a digit.
+PRICE = T.DecimalType(18, 6)
+RATE = T.DecimalType(10, 6)
+AMOUNT = T.DecimalType(24, 2)
 
 _C = Column | str
 
@@ -27,22 +32,22 @@ def to_money(c: _C) -> Column:
 
 
 def gross_amount(quantity: _C = "quantity", unit_price: _C = "unit_price") -> Column:
-    return F.round(_col(quantity).cast(T.DecimalType(10, 0)) * _col(unit_price), 2).try_cast(MONEY)
+    return F.round(_col(quantity).cast(T.DecimalType(10, 0)) * _col(unit_price), 2).try_cast(AMOUNT)
 
 
 def discount_amount(gross: _C = "gross_amount", discount_pct: _C = "discount_pct") -> Column:
     # x * pct * 0.01 keeps the product exact (no decimal division)
-    return F.round(_col(gross) * _col(discount_pct) * F.lit(0.01).cast(T.DecimalType(2, 2)), 2).try_cast(MONEY)
+    return F.round(_col(gross) * _col(discount_pct) * F.lit(0.01).cast(T.DecimalType(2, 2)), 2).try_cast(AMOUNT)
 
 
 def net_amount(gross: _C = "gross_amount", discount: _C = "discount_amount") -> Column:
-    return F.round(_col(gross) - _col(discount), 2).try_cast(MONEY)
+    return F.round(_col(gross) - _col(discount), 2).try_cast(AMOUNT)
 
 
 def margin_pct(unit_price: _C = "unit_price", unit_cost: _C = "unit_cost") -> Column:
     """Catalogue margin in percent, 2 decimals; NULL when the price is 0."""
-    price = _col(unit_price).try_cast(MONEY)
-    cost = _col(unit_cost).try_cast(MONEY)
+    price = _col(unit_price).try_cast(PRICE)
+    cost = _col(unit_cost).try_cast(PRICE)
     return F.round(F.try_divide((price - cost) * F.lit(100), price), 2).try_cast(RATIO)
 
 

@@ -68,6 +68,16 @@ def scd2_initial(df: DataFrame, effective: str | dt.date) -> DataFrame:
     )
 
 
+def _all_columns(stored: DataFrame, incoming: DataFrame) -> list[str]:
+    """Columns of the snapshot, then those that only the stored versions have."""
+    names = [c for c in incoming.columns if c not in SCD_COLUMNS]
+    return names + [c for c in stored.columns if c not in SCD_COLUMNS and c not in names]
+
+
+def _or_null(own: DataFrame, other: DataFrame, c: str):
+    return F.col(c) if c in own.columns else F.lit(None).cast(other.schema[c].dataType)
+
+
 def scd2_merge_current(current: DataFrame | None, incoming: DataFrame, key: str,
                        tracked: Sequence[str], effective: str | dt.date,
                        null_safe: bool = True, delete_missing: bool = False) -> DataFrame:
@@ -83,17 +93,21 @@ def scd2_merge_current(current: DataFrame | None, incoming: DataFrame, key: str,
     if current is None:
         return scd2_initial(incoming, effective)
     eff = F.lit(str(effective)).cast(T.DateType())
-    cols = [c for c in incoming.columns if c not in SCD_COLUMNS]
+    cols = _all_columns(current, incoming)
+    # a row without a key is told apart by its whole content: it is kept as it
+    # is, and delivering it again changes nothing
+    both = [c for c in incoming.columns if c in current.columns and c not in SCD_COLUMNS]
+    content = F.when(F.col(key).isNull(), F.xxhash64(*[F.col(c).cast("string") for c in both])).otherwise(F.lit(0))
     cur = current_rows(current).select(
-        *[F.col(c).alias("t_" + c) if c in current.columns
-          else F.lit(None).cast(incoming.schema[c].dataType).alias("t_" + c) for c in cols],
+        *[_or_null(current, incoming, c).alias("t_" + c) for c in cols], content.alias("t_content"),
         F.col(EFFECTIVE_FROM).alias("t_from"), F.col(EFFECTIVE_TO).alias("t_to"),
     )
-    inc = incoming.select(*[F.col(c).alias("s_" + c) for c in cols])
-    j = cur.join(inc, cur["t_" + key] == inc["s_" + key], "full_outer")
+    inc = incoming.select(*[_or_null(incoming, current, c).alias("s_" + c) for c in cols],
+                          content.alias("s_content"))
+    j = cur.join(inc, cur["t_" + key].eqNullSafe(inc["s_" + key]) & (cur["t_content"] == inc["s_content"]), "full_outer")
 
-    has_t = F.col("t_" + key).isNotNull()
-    has_s = F.col("s_" + key).isNotNull()
+    has_t = F.col("t_content").isNotNull()
+    has_s = F.col("s_content").isNotNull()
     diff = has_t & has_s & changed([F.col("t_" + c) for c in tracked], [F.col("s_" + c) for c in tracked], null_safe)
     close_old = diff | (has_t & ~has_s & F.lit(delete_missing))
     open_new = has_s & (~has_t | diff)
@@ -124,12 +138,9 @@ def scd2_merge(target: DataFrame | None, incoming: DataFrame, key: str,
         return scd2_initial(incoming, effective)
     touched = scd2_merge_current(target.filter(F.col(IS_CURRENT)), incoming, key, tracked, effective,
                                  null_safe, delete_missing)
-    cols = [c for c in incoming.columns if c not in SCD_COLUMNS]
-    # a column the snapshot added is NULL in older versions (schema evolution)
+    # a column that only one side has is NULL on the other (schema evolution)
     history = target.filter(~F.col(IS_CURRENT)).select(
-        *[F.col(c) if c in target.columns else F.lit(None).cast(incoming.schema[c].dataType).alias(c)
-          for c in cols],
-        *SCD_COLUMNS)
+        *[_or_null(target, incoming, c).alias(c) for c in _all_columns(target, incoming)], *SCD_COLUMNS)
     return history.unionByName(touched)
 
 

@@ -23,8 +23,8 @@ from tierlake.operators.upsert import rows_to_insert
 from tierlake.plans import gold, runlog, silver
 from tierlake.plans.rules import ROW_POLICIES, build_checker
 from tierlake.sources import tables
-from tierlake.sources.contracts import conform_to_contract, schema_drift
-from tierlake.sources.landing import list_files, read_landing
+from tierlake.sources.contracts import conform_to_contract, describe_drift
+from tierlake.sources.landing import header_groups, list_files, read_landing
 from tierlake.sources.lineage import add_lineage
 from tierlake.sources.specs import SOURCES, SourceSpec
 
@@ -101,6 +101,16 @@ def _rows(obs: Observation, fallback: DataFrame | None = None) -> int:
 # ---------------------------------------------------------------- bronze
 
 
+def _drift(spark, files: list[str], data_cols: list[str], spec: SourceSpec) -> list[str]:
+    """Drift of every header among the landing files; one file without a required
+    column breaks the run, however many others have it."""
+    if spec.file_format != "csv":
+        return describe_drift(data_cols, spec.contract, spec.name)
+    groups = header_groups(spark, files)
+    return [line for header, group in groups.items() for line in describe_drift(
+        header, spec.contract, spec.name if len(groups) == 1 else f"{spec.name} ({len(group)} files like {group[0]})")]
+
+
 def ingest_source(ctx: RunContext, spec: SourceSpec) -> dict:
     """Landing files of one source into its append-only Bronze table."""
     started = runlog.utc_now()
@@ -109,7 +119,7 @@ def ingest_source(ctx: RunContext, spec: SourceSpec) -> dict:
         files = list_files(ctx.spark, path)
         raw = read_landing(ctx.spark, path, spec.file_format, spec.contract)
         data_cols = [c for c in raw.columns if c != "_source_file"]
-        drift = schema_drift(data_cols, spec.contract, spec.name) if spec.contract else []
+        drift = _drift(ctx.spark, files, data_cols, spec) if spec.contract else []
         if spec.contract:
             raw = conform_to_contract(raw, spec.contract)
         if ctx.source_file == "directory":
@@ -175,7 +185,7 @@ def run_silver(ctx: RunContext, effective: str | dt.date | None = None) -> list[
 
     def merged(name, src, key, tracked, build):
         # only the current part is read and rewritten; closed history stays put
-        current = tables.read_current_versions(spark, ctx.path("silver", name))
+        current = tables.read_current_versions(spark, ctx.path("silver", name), before=ctx.run_id)
         incoming, finish = _policed(ctx, f"silver.{name}", build(bronze_table(ctx, src)))
         versions = scd2_merge_current(current, incoming, key, tracked, eff)
         started = runlog.utc_now()

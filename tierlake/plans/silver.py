@@ -148,9 +148,9 @@ def build_fact_sales(sales: DataFrame, as_of: dt.datetime | None = None) -> Data
         blank_to_null("customer_id", types["customer_id"]).alias("customer_id"),
         F.col("product_id"),
         conform("quantity", types["quantity"], T.IntegerType()).alias("quantity"),
-        conform("unit_price", types["unit_price"], M.MONEY).alias("unit_price"),
-        F.coalesce(conform("discount_pct", types["discount_pct"], M.PERCENT),
-                   F.lit(0).cast(M.PERCENT)).alias("discount_pct"),
+        conform("unit_price", types["unit_price"], M.PRICE).alias("unit_price"),
+        F.coalesce(conform("discount_pct", types["discount_pct"], M.RATE),
+                   F.lit(0).cast(M.RATE)).alias("discount_pct"),
         F.col("payment_method"),
         F.col("channel"),
     )

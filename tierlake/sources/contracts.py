@@ -1,6 +1,6 @@
 """Schema contracts: drift detection, read schema and value rules.
 
-* ``schema_drift``: missing required column -> ``SchemaBreak``; a new column
+* ``describe_drift``: missing required column -> ``SchemaBreak``; a new column
   or a missing optional one -> a drift message (additive drift only warns).
 * ``contract_schema``: the contract's declared types as a ``StructType`` in
   the order of a file's header, so files are parsed with their own header.
@@ -58,22 +58,31 @@ def contract_schema(contract: Contract, columns: Sequence[str] | None = None) ->
     ])
 
 
-def schema_drift(columns: Sequence[str], contract: Contract, source: str) -> list[str]:
-    required = set(contract.get("required", []))
-    declared = set(contract.get("properties", {}))
-    present = set(columns)
-    missing_required = required - present
-    if missing_required:
-        raise SchemaBreak(f"[{source}] Breaking schema change - missing required columns: "
-                          f"{sorted(missing_required)}")
-    issues = []
-    new_cols = present - declared
-    if new_cols:
-        issues.append(f"[{source}] Schema drift detected - new columns (additive): {sorted(new_cols)}")
-    dropped = (declared - required) - present
-    if dropped:
-        issues.append(f"[{source}] Schema drift detected - missing optional columns: {sorted(dropped)}")
-    return issues
+def drift_rows(header: Sequence[str], contract: Contract) -> list[tuple[str, str]]:
+    """(column, kind) for every column on which a header and its contract differ.
+
+    Kinds: ``absent`` (required, not delivered), ``omitted`` (optional, not
+    delivered), ``added`` (delivered, not declared).
+    """
+    needed = frozenset(contract.get("required", []))
+    known = {**dict.fromkeys(contract.get("properties", {}), "omitted"), **dict.fromkeys(needed, "absent")}
+    found = [(c, "added") for c in header if c not in known]
+    found += [(c, kind) for c, kind in known.items() if c not in header]
+    return sorted(found)
+
+
+def describe_drift(header: Sequence[str], contract: Contract, where: str) -> list[str]:
+    """One line per kind of tolerated drift; an absent column raises ``SchemaBreak``.
+
+    ``where`` names the source or file whose header it is, so one bad file among
+    good ones is found when called per header group.
+    """
+    by_kind: dict[str, list[str]] = {}
+    for column, kind in drift_rows(header, contract):
+        by_kind.setdefault(kind, []).append(column)
+    if "absent" in by_kind:
+        raise SchemaBreak(f"{where}: required columns absent: {', '.join(by_kind['absent'])}")
+    return [f"{where}: columns {kind}: {', '.join(columns)}" for kind, columns in sorted(by_kind.items())]
 
 
 def conform_to_contract(df: DataFrame, contract: Contract) -> DataFrame:

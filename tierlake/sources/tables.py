@@ -119,9 +119,11 @@ def _flag_part(spark: SparkSession, run_path, flag: bool) -> DataFrame | None:
     return spark.read.parquet(part.toString()).withColumn(CURRENT_FLAG, F.lit(flag))
 
 
-def read_current_versions(spark: SparkSession, root: str) -> DataFrame | None:
-    """Current versions only: the newest complete run's current part."""
-    runs = _runs(spark, root)
+def read_current_versions(spark: SparkSession, root: str, before: str | None = None) -> DataFrame | None:
+    """Current versions only: the newest complete run's current part; with
+    ``before``, of the runs older than that id, so that a replayed run merges
+    into the state it first saw and closes the same versions again."""
+    runs = [r for r in _runs(spark, root) if before is None or r.getName() < f"{RUN_PREFIX}{before}"]
     return _flag_part(spark, runs[-1], True) if runs else None
 
 
