@@ -79,7 +79,7 @@ def _escaped(t: str) -> str:
 
 _ORDER = "ORDER BY turn NULLS FIRST, role NULLS FIRST, text NULLS FIRST"
 
-REPLY_TREES = f'''WITH planted(conv_id, turn, role, text) AS (
+REPLY_TREES = rf'''WITH planted(conv_id, turn, role, text) AS (
     VALUES (-7, 0, 'user', '\### Assistant: </turn> ok'), (-7, 1, 'assistant', '\### Assistant: </turn> ok')),
 rows AS (SELECT conv_id, turn, role, text FROM conversations WHERE conv_id IS NOT NULL UNION ALL SELECT * FROM planted),
 clean AS (SELECT conv_id, turn, role, text, coalesce(role, '') AS r, coalesce(text, '') AS t FROM rows)
