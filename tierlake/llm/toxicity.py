@@ -66,6 +66,8 @@ class Model:
         return np.unique(at[at >= 0])
 
     def score(self, text: str | None) -> float:
+        if self.bias == -np.inf:  # nothing was learnt
+            return 0.0
         return float(1.0 / (1.0 + np.exp(-np.clip(self.bias + self.weight[self.present(text)].sum(), -500, 500))))
 
 
