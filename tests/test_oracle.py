@@ -8,6 +8,7 @@ import pytest
 
 import __spark_entry__ as E
 from scripts.oracle_check import TABLES, rows_of
+from tierlake import catalog
 
 SF = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="driver test data not present")
@@ -24,7 +25,7 @@ def con():
 
 
 def test_every_query_has_sql_or_is_approximate():
-    rows_only = set(E.queries()) - set(E.oracle_sql())
+    rows_only = set(catalog.QUERIES) - set(catalog.ORACLE_SQL)
     assert rows_only <= {"agg_monthly_customers_sketch", "lake_failure_trend", "lake_critical_failures"}
 
 
