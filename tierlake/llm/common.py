@@ -26,6 +26,19 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+# Bounds of one batch sent to a Python worker. Texts may be long and an executor
+# runs several workers; by rows alone a batch could hold many times its share.
+BATCH_BOUNDS = {"spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
+                "spark.sql.execution.arrow.maxBytesPerBatch": str(8 << 20)}
+
+
+def bounded_batches(spark: SparkSession) -> None:
+    """Bound the batches of Python workers, where the session sets no bounds itself."""
+    for name, value in BATCH_BOUNDS.items():
+        if spark.conf.get(name, None) is None:
+            spark.conf.set(name, value)
+
+
 def spare(df: DataFrame, stem: str) -> str:
     """A column name that ``df`` does not have (input columns may clash)."""
     taken = {c.lower() for c in df.columns}

@@ -20,6 +20,7 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tierlake.llm.common import bounded_batches
 from tierlake.llm.ngram_index import Codes, Places, windows, words
 
 N = 3                      # words per seed
@@ -109,6 +110,7 @@ class Items:
 
 def _blocks(benchmark: DataFrame, key: str, text: str) -> list[Items]:
     """Items in blocks of bounded size, by their own order of id."""
+    bounded_batches(benchmark.sparkSession)
     rows = benchmark.where(F.col(key).isNotNull() & F.col(text).isNotNull()).select(
         F.col(key).cast("long").alias("i"), F.col(text).alias("t"))
     size = rows.agg(F.sum(F.octet_length("t"))).first()[0] or 0

@@ -16,6 +16,7 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tierlake.llm.common import bounded_batches
 from tierlake.llm.ngram_index import WORD, Codes, Places, windows, words
 
 N = 3
@@ -155,6 +156,7 @@ def scan_licenses(docs: DataFrame, templates=None, key: str = "doc_id", text: st
     repeat their finds, an empty table gives an empty result; other columns are
     not read. ``templates`` (name, text) is a bounded list given by the caller.
     """
+    bounded_batches(docs.sparkSession)
     sent = docs.sparkSession.sparkContext.broadcast(cloudpickle.dumps(Templates(TEMPLATES if templates is None else templates)))
     names = ["doc_id", "license", "template", "coverage", "matched_words", "span_start", "span_end",
              "template_start", "template_end"]

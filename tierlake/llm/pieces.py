@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tierlake.llm.common import spare
+from tierlake.llm.common import bounded_batches, spare
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 ALPHA = 1.0
@@ -344,6 +344,7 @@ def encode(df: DataFrame, key: str = "doc_id", text: str = "text", ids: str = "i
     get equal segmentations, rows that differ in the key other draws; a null
     key is a key of its own. Any other column is kept untouched.
     """
+    bounded_batches(df.sparkSession)
     proto = _model_bytes(df, model)
 
     # id and text travel under names of their own, whatever else the table holds
@@ -381,6 +382,7 @@ def encode(df: DataFrame, key: str = "doc_id", text: str = "text", ids: str = "i
 
 def decode(df: DataFrame, ids: str = "ids", out: str = "decoded", model: str = MODEL) -> DataFrame:
     """Add the text of each piece sequence; null stays null, no pieces give ''."""
+    bounded_batches(df.sparkSession)
     proto = _model_bytes(df, model)
     schema = T.StructType([*df.schema.fields, T.StructField(out, T.StringType())])
     at = df.columns.index(ids)

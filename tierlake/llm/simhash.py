@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tierlake.llm.common import connected_components, spare, stored
+from tierlake.llm.common import bounded_batches, connected_components, spare, stored
 
 SEED = 42  # fixed value of the fingerprint contract
 
@@ -55,6 +55,8 @@ def fingerprint_bytes(raw: bytes, shingle: int = 3) -> int:
 
 def fingerprints(df: DataFrame, text: str = "text", shingle: int = 3, out: str = "fp") -> DataFrame:
     """Add the fingerprint as a signed long (same 64 bits). Null text: 0."""
+    bounded_batches(df.sparkSession)
+
     @F.pandas_udf(T.LongType())
     def fp(col: pd.Series) -> pd.Series:
         v = np.fromiter((fingerprint_bytes(t.encode("utf-8", "surrogatepass") if t is not None else b"", shingle)
@@ -181,6 +183,7 @@ def _signed(x: int) -> int:
 
 def links_between(distinct: DataFrame, max_bits: int, split_rows: int = 2048) -> DataFrame:
     """Distinct fingerprints (column fp) -> spanning links (src, dst)."""
+    bounded_batches(distinct.sparkSession)
     masks = block_pairs(max_bits)
     dealt = distinct.select("fp", F.explode(F.array(*[
         F.struct(F.lit(i).alias("part"), F.col("fp").bitwiseAND(F.lit(_signed(m))).alias("key"))

@@ -20,7 +20,7 @@ from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tierlake.llm.common import spare, stored
+from tierlake.llm.common import bounded_batches, spare, stored
 
 SIZES = (3, 4, 5, 6, 7)  # characters per n-gram, of words set apart by one space
 BITS = 20              # hashed n-grams
@@ -90,6 +90,7 @@ def _labelled(docs, labels, key, text):
 
 def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text") -> Model:
     """Train on the labelled texts; without both classes the score is the constant 0."""
+    bounded_batches(docs.sparkSession)
     y, texts = _labelled(docs, labels, key, text)
 
     def count(batches):
@@ -163,6 +164,7 @@ def regress(rows: pd.DataFrame, ratio: np.ndarray) -> tuple[np.ndarray, float]:
 
 def score(docs: DataFrame, model: Model, text: str = "text", out: str = "score") -> DataFrame:
     """Add the score (0 to 1) of every whole text; null and empty texts have the bias alone."""
+    bounded_batches(docs.sparkSession)
     sent = cloudpickle.dumps(model)
 
     def run(batches):

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tierlake.llm.common import stored
+from tierlake.llm.common import bounded_batches, stored
 
 # Template: header, escaped text, end mark, newline; one turn after another.
 HEAD, SEP, END = "### ", ": ", "</turn>\n"
@@ -93,6 +93,8 @@ def format_paths(turns: DataFrame) -> DataFrame:
     characters, more rows of it beyond, cut between turns. Null role and text
     count as empty.
     """
+    bounded_batches(turns.sparkSession)
+
     def run(batches):
         conv, chunk, text, size, spans = None, 0, [], 0, []
         out = []
@@ -146,6 +148,8 @@ def parse(formatted: str) -> list[tuple[str, str]]:
 
 def read_back(formatted: DataFrame) -> DataFrame:
     """Digests of formatted conversations, from the output alone."""
+    bounded_batches(formatted.sparkSession)
+
     def run(batches):
         conv, state, out = None, None, []
 
