@@ -33,8 +33,8 @@ from tierlake.llm.common import bounded_batches, spare
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 ALPHA = 1.0
 SEED = 20240607
-CACHE_NODES = 600_000   # lattice positions kept per task; then the cache starts anew
-BATCH_CHARS = 500_000    # characters encoded at once in a task
+CACHE_NODES = 300_000   # lattice positions kept per task; then the cache starts anew
+BATCH_CHARS = 125_000    # characters encoded at once in a task
 SHORT = 48               # longer words are filtered one by one, rescaled as they go
 LOOSE = 1e-6             # weight of the byte pieces of a character without a piece
 
