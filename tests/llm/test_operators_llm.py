@@ -271,6 +271,31 @@ def test_leaks_are_found_when_edited_and_frequent(spark, odd, empty):
     assert leaks.find_leaks(odd, bench.where("false")).count() == 0
 
 
+@pytest.mark.parametrize("copies", [1, 3, 1000])
+@pytest.mark.parametrize("kept", ["edited", "half"])
+def test_leaks_are_found_where_every_copy_is_the_same_edited_one(spark, copies, kept):
+    item = [f"i{i}" for i in range(20)]
+    leak = [w if i % 5 else f"e{i}" for i, w in enumerate(item, 1)] if kept == "edited" else item[:10]
+    texts = [" ".join([f"a{n}", *leak, f"b{n}"]) for n in range(copies)]
+    bench = spark.createDataFrame([(1, " ".join(item))], "item_id long, text string")
+    got = leaks.find_leaks(table(spark, texts), bench).collect()
+    # words 5, 10 and 15 of 20 replaced inside the best alignment, the last one left off; or ten words verbatim
+    assert sorted(r.doc_id for r in got) == list(range(copies))
+    assert {r.score for r in got} == {(16 - 3) / 20 if kept == "edited" else 0.5}
+    assert leaks.drop_leaked(table(spark, texts), bench).count() == 0
+
+
+def test_stretches_passed_over_hold_no_leak():
+    rng = np.random.default_rng(7)
+    passed = 0
+    for _ in range(2000):
+        item, text = rng.integers(0, 6, rng.integers(3, 12)), rng.integers(-1, 9, rng.integers(1, 40))
+        if not leaks.reachable(item, text, 0.5 * len(item)):
+            passed += 1
+            assert leaks.smith_waterman(item, text)[0] < 0.5 * len(item)
+    assert passed > 100
+
+
 # -------------------------------------------------------------------- toxicity
 
 def test_toxicity_learns_and_holds_out(spark, odd, empty):

@@ -1,11 +1,10 @@
-"""Benchmark decontamination: rare n-gram seeds, then Smith-Waterman.
+"""Benchmark decontamination: n-gram seeds, then Smith-Waterman.
 
-The corpus is counted first: in how many documents each 3-gram of the test
-items occurs. The rare ones of an item are its seeds (rare against the item's
-own median, so an item that leaked a thousand times keeps its seeds, and at
-least half of every item's 3-grams are seeds). Every stretch of a document
-around a seed is aligned with the item's words; the score is that of the best
-local alignment as a share of the item's length.
+Every 3-gram of a test item is a seed, however many documents hold it, so an
+item that leaked a thousand times is found in all of them. Every stretch of a
+document around a seed is aligned with the item's words; the score is that of
+the best local alignment as a share of the item's length. A stretch is passed
+over only where its words cannot reach the least score (see ``reachable``).
 
 The test items are a stated query set. They travel to the tasks in blocks of at
 most ``BLOCK_BYTES`` of text; more items mean more passes, never fewer items.
@@ -24,7 +23,6 @@ from tierlake.llm.common import bounded_batches
 from tierlake.llm.ngram_index import Codes, Places, windows, words
 
 N = 3                      # words per seed
-RARE_FACTOR, RARE_FLOOR = 4, 2
 MATCH, MISMATCH, GAP = 1, -1, -1
 MIN_SCORE = 0.5            # of the item's words
 BLOCK_BYTES = 16 << 20
@@ -57,6 +55,23 @@ def smith_waterman(item: np.ndarray, text: np.ndarray) -> tuple[int, int, int, i
     return score, i, end_i, j, end_j, hit
 
 
+def reachable(item: np.ndarray, text: np.ndarray, least: float) -> bool:
+    """Whether an alignment of ``text`` may score ``least``; False is proven.
+
+    A score of ``least`` takes that many matches, each item word as often as the
+    item has it, and at most len(item) - least edits: it lies in a stretch of at
+    most 2 * len(item) - least words.
+    """
+    own, many = np.unique(item, return_counts=True)
+    at = np.minimum(np.searchsorted(own, text), len(own) - 1)
+    mine = own[at] == text
+    if np.minimum(np.bincount(at[mine], minlength=len(own)), many).sum() < least:
+        return False
+    span = max(1, int(2 * len(item) - least))
+    total = np.concatenate(([0], np.cumsum(mine)))
+    return bool((total[min(span, len(text)):] - total[:len(total) - min(span, len(text))]).max() >= least)
+
+
 class Items:
     """One block of test items with its 3-gram index."""
 
@@ -67,27 +82,10 @@ class Items:
         self.codes = Codes([w for _, w in kept])
         self.words = [self.codes.encode(w) for _, w in kept]
         grams = [self.codes.grams(w, n) for w in self.words]
-        self.keys = np.concatenate([np.empty(0, np.int64), *grams])
-        self.passage = np.repeat(np.arange(len(kept)), [len(g) for g in grams]).astype(np.int64)
-        self.position = np.concatenate([np.empty(0, np.int64), *[np.arange(len(g)) for g in grams]]).astype(np.int64)
-        self.distinct = np.unique(self.keys)
-
-    def present(self, text: str) -> np.ndarray:
-        """Places in ``distinct`` of the 3-grams that the text holds."""
-        g = self.codes.grams(self.codes.encode(words(text)), self.n)
-        g = np.unique(g[g >= 0])
-        at = np.searchsorted(self.distinct, g)
-        at = np.minimum(at, max(len(self.distinct) - 1, 0))
-        return at[self.distinct[at] == g] if len(self.distinct) else at[:0]
-
-    def seed(self, df: np.ndarray) -> None:
-        """Keep the rare 3-grams of each item; df counts documents per ``distinct``."""
-        count = df[np.searchsorted(self.distinct, self.keys)] if len(self.keys) else self.keys
-        rare = np.zeros(len(self.keys), bool)
-        edges = np.searchsorted(self.passage, np.arange(len(self.ids) + 1))
-        for a, b in zip(edges[:-1], edges[1:]):
-            rare[a:b] = count[a:b] <= RARE_FACTOR * np.median(count[a:b]) + RARE_FLOOR
-        self.places = Places(self.keys[rare], self.passage[rare], self.position[rare])
+        self.places = Places(
+            np.concatenate([np.empty(0, np.int64), *grams]),
+            np.repeat(np.arange(len(kept)), [len(g) for g in grams]).astype(np.int64),
+            np.concatenate([np.empty(0, np.int64), *[np.arange(len(g)) for g in grams]]).astype(np.int64))
 
     def leaks(self, text: str, min_score: float) -> list[tuple]:
         """(item id, score, text start, text end, item start, item end, matches), best per item."""
@@ -98,12 +96,14 @@ class Items:
         for p in np.unique(passage).tolist():
             mine = passage == p
             item = self.words[p]
-            best = None
+            best = (0,)
             for lo, hi, _ in windows(at[mine], position[mine], len(item), len(ws)):
+                if not reachable(item, codes[lo:hi], min_score * len(item)):
+                    continue
                 score, i, ie, j, je, hit = smith_waterman(item, codes[lo:hi])
-                if best is None or score > best[0]:
+                if score > best[0]:
                     best = (score, lo + j, lo + je, i, ie, hit)
-            if best[0] >= min_score * len(item):
+            if best[0] and best[0] >= min_score * len(item):
                 out.append((self.ids[p], best[0] / len(item), *best[1:]))
         return out
 
@@ -119,27 +119,9 @@ def _blocks(benchmark: DataFrame, key: str, text: str) -> list[Items]:
             for b in range(n)]
 
 
-def _seeded(docs: DataFrame, text: str, items: Items):
-    """The block with its seeds chosen from counts over the whole corpus; broadcast."""
-    sc = docs.sparkSession.sparkContext
-    raw = sc.broadcast(cloudpickle.dumps(items))  # by value: executors need no copy of this package
-
-    def count(batches):
-        block = pickle.loads(raw.value)
-        df = np.zeros(len(block.distinct), np.int64)
-        for batch in batches:
-            for t in batch.column("t"):
-                df[block.present(t.as_py())] += 1
-        at = np.flatnonzero(df)
-        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(df[at])], ["g", "n"])
-
-    counted = (docs.select(F.col(text).alias("t")).where("t is not null").mapInArrow(count, "g long, n long")
-               .groupBy("g").agg(F.sum("n").alias("n")))
-    df = np.zeros(len(items.distinct), np.int64)
-    for r in counted.collect():  # one row per 3-gram of the block
-        df[r.g] = r.n
-    items.seed(df)
-    return sc.broadcast(cloudpickle.dumps(items))
+def _sent(docs: DataFrame, items: Items):
+    """The block, broadcast by value: executors need no copy of this package."""
+    return docs.sparkSession.sparkContext.broadcast(cloudpickle.dumps(items))
 
 
 def find_leaks(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text",
@@ -155,7 +137,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text:
     """
     out = None
     for items in _blocks(benchmark, item_key, item_text):
-        block = _seeded(docs, text, items)
+        block = _sent(docs, items)
         part = docs.select(F.col(key).cast("long").alias("d"), F.col(text).alias("t")).where(
             "d is not null and t is not null").mapInArrow(
             _search(block, min_score), "doc_id long, item_id long, score double, doc_start long, doc_end long, item_start long, "
@@ -183,7 +165,7 @@ def drop_leaked(docs: DataFrame, benchmark: DataFrame, text: str = "text", item_
                 item_text: str = "text", min_score: float = MIN_SCORE) -> DataFrame:
     """``docs`` without the rows that hold a leaked item; no shuffle, no join."""
     for items in _blocks(benchmark, item_key, item_text):
-        block = _seeded(docs, text, items)
+        block = _sent(docs, items)
 
         docs = docs.where(~_leaked(block, min_score)(F.col(text)))
     return docs
