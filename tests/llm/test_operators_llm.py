@@ -373,6 +373,25 @@ def test_passages_exact_fuzzy_and_copied(spark, odd, empty):
     assert passages.cut_passages(odd).where("doc_id is null").count() == 1
 
 
+def fresh_words(rng, n):
+    return [f"v{rng.randrange(10**9)}" for _ in range(n)]
+
+
+def test_passages_go_on_past_the_words_first_fetched(spark):
+    rng = random.Random(12)
+    line, p = fresh_words(rng, 7), fresh_words(rng, 5000)
+    texts = [fresh_words(rng, 40) + line * 100 + fresh_words(rng, 40), fresh_words(rng, 60) + line * 100 + fresh_words(rng, 60),
+             fresh_words(rng, 9) + p + fresh_words(rng, 9), p + fresh_words(rng, 9)]
+    # an early document owns every seed but those of 13 words in the middle of the long passage
+    texts = [w for i in range(0, 5000, 20) for w in [p[i:i + 20] + fresh_words(rng, 30)] if i != 2500] + texts
+    n = len(texts)
+    got = {(r.doc_id, r.source_doc_id): r for r in passages.find_passages(table(spark, [" ".join(t) for t in texts])).collect()}
+    row = got[n - 3, n - 4]
+    assert (row.start_word, row.end_word, row.source_start, row.source_end) == (60, 760, 40, 740)
+    row = got[n - 1, n - 2]
+    assert (row.start_word, row.end_word, row.source_start, row.source_end) == (0, 5000, 9, 5009)
+
+
 # -------------------------------------------------------------------- revisits
 
 def test_revisits_equal_brute_force(spark):
