@@ -377,6 +377,18 @@ def fresh_words(rng, n):
     return [f"v{rng.randrange(10**9)}" for _ in range(n)]
 
 
+def test_fuzzy_passages_of_one_short_exact_run_are_aligned(spark):
+    rng = random.Random(11)
+    texts, planted = [], set()
+    for n in range(40):
+        p = fresh_words(rng, 60)
+        copy = [w if 22 <= i < 38 or i % 6 else "edit" for i, w in enumerate(p)]  # 16 words exact, the rest one in six
+        texts += [fresh_words(rng, 30) + p + fresh_words(rng, 30), fresh_words(rng, 20) + copy + fresh_words(rng, 40)]
+        planted.add(2 * n + 1)
+    got = passages.find_passages(table(spark, [" ".join(t) for t in texts])).collect()
+    assert {r.doc_id for r in got} == planted and min(r.identity for r in got) >= 0.8
+
+
 def test_passages_go_on_past_the_words_first_fetched(spark):
     rng = random.Random(12)
     line, p = fresh_words(rng, 7), fresh_words(rng, 5000)
