@@ -389,6 +389,17 @@ def test_fuzzy_passages_of_one_short_exact_run_are_aligned(spark):
     assert {r.doc_id for r in got} == planted and min(r.identity for r in got) >= 0.8
 
 
+def test_passages_whose_seeds_have_scattered_owners_are_linked(spark):
+    rng = random.Random(13)
+    texts, planted = [], []
+    for _ in range(20):
+        p = fresh_words(rng, 50)
+        planted.append(len(texts) + 3)
+        texts += [p[:25] + fresh_words(rng, 40), fresh_words(rng, 40) + p[25:], fresh_words(rng, 20) + p, p + fresh_words(rng, 20)]
+    got = passages.find_passages(table(spark, [" ".join(t) for t in texts])).collect()
+    assert {(r.doc_id, r.source_doc_id) for r in got} == {(d, d - 1) for d in planted}
+
+
 def test_passages_go_on_past_the_words_first_fetched(spark):
     rng = random.Random(12)
     line, p = fresh_words(rng, 7), fresh_words(rng, 5000)
