@@ -296,6 +296,19 @@ def test_stretches_passed_over_hold_no_leak():
     assert passed > 100
 
 
+def test_items_are_read_one_block_at_a_time(spark, monkeypatch):
+    monkeypatch.setattr(leaks, "BLOCK_BYTES", 100)
+    items = [" ".join(f"i{n}w{i}" for i in range(12)) for n in range(6)]
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    built = []
+    monkeypatch.setattr(leaks, "Items", lambda rows, make=leaks.Items: built.append(1) or make(rows))
+    blocks = iter(leaks._blocks(bench, "item_id", "text"))
+    next(blocks)
+    assert len(built) == 1
+    assert sum(len(b.ids) for b in blocks) <= 6 and len(built) > 2
+    assert {(r.doc_id, r.item_id) for r in leaks.find_leaks(table(spark, items), bench).collect()} == {(i, i) for i in range(6)}
+
+
 # -------------------------------------------------------------------- toxicity
 
 def test_toxicity_learns_and_holds_out(spark, odd, empty):

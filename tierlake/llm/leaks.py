@@ -11,6 +11,7 @@ most ``BLOCK_BYTES`` of text; more items mean more passes, never fewer items.
 """
 
 import pickle
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
@@ -108,15 +109,15 @@ class Items:
         return out
 
 
-def _blocks(benchmark: DataFrame, key: str, text: str) -> list[Items]:
-    """Items in blocks of bounded size, by their own order of id."""
+def _blocks(benchmark: DataFrame, key: str, text: str) -> Iterator[Items]:
+    """Items in blocks of bounded size, by a hash of their id; one is held at a time."""
     bounded_batches(benchmark.sparkSession)
     rows = benchmark.where(F.col(key).isNotNull() & F.col(text).isNotNull()).select(
         F.col(key).cast("long").alias("i"), F.col(text).alias("t"))
     size = rows.agg(F.sum(F.octet_length("t"))).first()[0] or 0
     n = int(size // BLOCK_BYTES) + 1
-    return [Items(sorted({(r.i, r.t) for r in rows.where(F.pmod(F.xxhash64("i"), F.lit(n)) == b).collect()}))
-            for b in range(n)]
+    for b in range(n):
+        yield Items(sorted({(r.i, r.t) for r in rows.where(F.pmod(F.xxhash64("i"), F.lit(n)) == b).collect()}))
 
 
 def _sent(docs: DataFrame, items: Items):
