@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from tierlake.llm import (leaks, licenses, passages, pieces, quality, revisits, sharding, simhash, toxicity, trees)
-from tierlake.llm.common import connected_components
+from tierlake.llm.common import connected_components, in_order
 from tierlake.llm.ngram_index import words
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long, _h string, fp string, c int"
@@ -167,6 +167,35 @@ def test_conversations_come_back(spark):
     assert trees.format_best_paths(trees.conversations_as_trees(df.where("false"))).count() == 0
 
 
+def test_a_long_conversation_keeps_its_order_and_a_small_plan(spark):
+    rows = [(c, t, "assistant" if t % 2 else "user", f"turn {t} of {c}") for c, n in ((1, 9000), (2, 3)) for t in range(n)]
+    random.Random(3).shuffle(rows)
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").repartition(6)
+    coded = trees.format_best_paths(trees.conversations_as_trees(df))
+    assert coded.where("conv = 1").count() >= 3  # blocks of turns, formatted by different tasks
+    out = {r.conv_id: r for r in trees.read_back(coded).collect()}
+    turns = "".join(f"{'assistant' if t % 2 else 'user'}\nturn {t} of 1\n" for t in range(9000))
+    assert out[1].n_turns == 9000 and out[1].turns_sha256 == hashlib.sha256(turns.encode()).hexdigest()
+    assert out[2].n_turns == 3
+    chain = spark.range(1, 3001).selectExpr("1L AS tree", "id", "nullif(id - 1, 0) AS parent", "0.0D AS score")
+    found = trees.paths(chain)
+    assert found.count() == 3000 and found._jdf.queryExecution().optimizedPlan().toString().count("Join") <= 2
+
+
+def test_rows_in_order_over_many_ranges(spark):
+    rows = [(g, i % 7 if i % 5 else None, i) for g, n in ((None, 30), (1, 400), (2, 1), (3, 55)) for i in range(n)]
+    df = spark.createDataFrame(rows, "g int, a int, b int").repartition(5)
+    got = collections.defaultdict(list)
+    for r in in_order(df.where("g is not null"), "g", ["a", "b"]).collect():
+        got[r.g].append(r)
+    for g, found in got.items():
+        found.sort(key=lambda r: r.nth)
+        want = sorted(((a is not None, a or 0, b) for h, a, b in rows if h == g))
+        assert [(r.a is not None, r.a or 0, r.b) for r in found] == want
+        assert [r.nth for r in found] == list(range(1, len(want) + 1))
+        assert [r.before for r in found] == [None, *(r.row for r in found[:-1])]
+
+
 # -------------------------------------------------------------- SentencePiece
 
 @pytest.fixture(scope="module")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tierlake.session import scratch_path
@@ -48,6 +48,33 @@ def spare(df: DataFrame, stem: str) -> str:
     return name
 
 
+def in_order(df: DataFrame, group: str, order: list[str]) -> DataFrame:
+    """``df`` (stored) with its rows ordered by ``order``, nulls first, in each ``group``.
+
+    Adds long columns: row (unique, rising in the order), before (row of the
+    group's row before, null for its first) and nth (place in the group, from 1).
+    Rows are dealt to tasks by ranges of (group, order), so a group of any size
+    is spread over tasks; only the sizes of the groups cut by a border between
+    two tasks are added up, at most two rows a task.
+    """
+    ranged = (df.repartitionByRange(group, *order).sortWithinPartitions(group, *order)
+              .withColumn("row", F.monotonically_increasing_id()))
+    ranged = stored(ranged, "in-order")
+    part = F.shiftright("row", 33)
+    runs = ranged.groupBy(group, part.alias("part")).agg(
+        F.min("row").alias("first"), F.max("row").alias("last"), F.count(F.lit(1)).alias("n"))
+    # a group seen by one task needs nothing from others; those of several tasks are few (at most two a task)
+    several = runs.withColumn("parts", F.count(F.lit(1)).over(Window.partitionBy(group))).where("parts > 1")
+    ahead = Window.partitionBy(group).orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    carry = several.select("first", F.max("last").over(ahead).alias("tail"),
+                           F.coalesce(F.sum("n").over(ahead), F.lit(0)).alias("ahead"))
+    starts = runs.select(group, "part", "first").join(carry, "first", "left").select(
+        F.col(group).alias("_g"), F.col("part").alias("_p"), "first", "tail", F.coalesce("ahead", F.lit(0)).alias("ahead"))
+    out = ranged.join(starts, (F.col(group) == F.col("_g")) & (part == F.col("_p")))
+    return out.select(*df.columns, "row", F.when(F.col("row") == F.col("first"), F.col("tail")).otherwise(
+        F.col("row") - 1).alias("before"), (F.col("row") - F.col("first") + 1 + F.col("ahead")).alias("nth"))
+
+
 def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     """(src, dst) links -> (node, component = smallest reachable node).
 

@@ -16,11 +16,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tierlake.llm.common import bounded_batches, stored
+from tierlake.llm.common import bounded_batches, in_order, stored
 
 # Template: header, escaped text, end mark, newline; one turn after another.
 HEAD, SEP, END = "### ", ": ", "</turn>\n"
 CHUNK_CHARS = 1 << 20  # a conversation beyond this goes on in another row
+BLOCK_TURNS = 4096     # and so it does behind so many turns: a long conversation is formatted by many tasks
 
 _ESCAPE = re.compile(r"\\|(?<=#)#|(?<=<)/(?=turn>)")
 _UNESCAPE = re.compile(r"\\(.)", re.S)
@@ -79,9 +80,8 @@ def paths(messages: DataFrame, top: int = 1, max_rounds: int = 40) -> DataFrame:
         up = jumps[k]
         moved = out.join(up, ["tree", "id"]).select(
             "tree", "leaf", "rank", F.col("up").alias("id"), (F.col("place") - (1 << k)).alias("place"))
-        out = out.union(moved)
-        if k % 8 == 0 and k:
-            out = stored(out, "tree-paths")
+        # ``out`` stands twice in its union: unstored, the plan would double with every level
+        out = stored(out.union(moved), "tree-paths")
     return out
 
 
@@ -90,20 +90,20 @@ def format_paths(turns: DataFrame) -> DataFrame:
 
     Rows: conv, chunk, formatted, spans (start, end of the assistant texts in
     ``formatted``, escaped). One row per conversation up to ``CHUNK_CHARS``
-    characters, more rows of it beyond, cut between turns. Null role and text
-    count as empty.
+    characters and ``BLOCK_TURNS`` turns, more rows of it beyond, cut between
+    turns; chunk is the place of a row's first turn. Null role and text count as
+    empty.
     """
     bounded_batches(turns.sparkSession)
 
     def run(batches):
-        conv, chunk, text, size, spans = None, 0, [], 0, []
+        at, chunk, text, size, spans = None, 0, [], 0, []
         out = []
 
         def flush():
-            nonlocal text, size, spans, chunk
+            nonlocal text, size, spans
             if text:
-                out.append((conv, chunk, "".join(text), spans))
-                chunk += 1
+                out.append((at[0], chunk, "".join(text), spans))
             text, size, spans = [], 0, []
 
         def drain():
@@ -117,10 +117,9 @@ def format_paths(turns: DataFrame) -> DataFrame:
 
         for batch in batches:
             for row in batch.to_pylist():
-                if row["conv"] != conv or size >= CHUNK_CHARS:
+                if (row["conv"], row["block"]) != at or size >= CHUNK_CHARS:
                     flush()
-                if row["conv"] != conv:
-                    conv, chunk = row["conv"], 0
+                    at, chunk = (row["conv"], row["block"]), row["place"]
                 head = HEAD + _role_out(row["role"] or "") + SEP
                 body = escape(row["text"] or "")
                 if row["role"] == "assistant":
@@ -133,8 +132,9 @@ def format_paths(turns: DataFrame) -> DataFrame:
         if out:
             yield drain()
 
-    return (turns.select(F.col("conv").cast("long").alias("conv"), "place", "role", "text")
-            .repartition("conv").sortWithinPartitions("conv", "place")
+    return (turns.select(F.col("conv").cast("long").alias("conv"), "place", "role", "text",
+                         F.floor(F.col("place") / BLOCK_TURNS).alias("block"))
+            .repartition("conv", "block").sortWithinPartitions("conv", "place")
             .mapInArrow(run, "conv long, chunk long, formatted string, spans array<struct<s:long,e:long>>"))
 
 
@@ -193,15 +193,15 @@ def conversations_as_trees(rows: DataFrame, conv: str = "conv_id", turn: str = "
                            text: str = "text") -> DataFrame:
     """Rows by turn as reply trees: each turn answers the turn before it.
 
-    Turns are numbered anew in the order (turn, role, text), nulls first, so gaps,
-    ties and repeated rows keep all rows in one chain. Rows without a
-    conversation id belong to none and are left out.
+    Turns follow the order (turn, role, text), nulls first, so gaps, ties and
+    repeated rows keep all rows in one chain. Rows without a conversation id
+    belong to none and are left out. A conversation of any length is spread over
+    the ranges of the sort; see ``in_order``.
     """
-    place = F.row_number().over(Window.partitionBy("tree").orderBy("t", "role", "text"))
     named = rows.where(F.col(conv).isNotNull()).select(
         F.col(conv).alias("tree"), F.col(turn).alias("t"), F.col(role).alias("role"), F.col(text).alias("text"))
-    return named.withColumn("id", place.cast("long")).withColumn("parent", F.when(F.col("id") > 1, F.col("id") - 1)) \
-        .withColumn("score", F.lit(0.0))
+    return in_order(named, "tree", ["t", "role", "text"]).select(
+        "tree", "t", "role", "text", F.col("row").alias("id"), F.col("before").alias("parent"), F.lit(0.0).alias("score"))
 
 
 def format_best_paths(messages: DataFrame) -> DataFrame:
