@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tierlake.llm import leaks, licenses, passages, pieces, quality, revisits, sharding, simhash, toxicity, trees
+from tierlake.llm import (leaks, licenses, passages, pieces, prefixes, quality, revisits, sharding, simhash, toxicity,
+                          trees)
 from tierlake.llm.common import table
 from tierlake.llm.sql import ORACLE_SQL  # noqa: F401
 
@@ -69,6 +70,11 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.md5("body").alias("body_md5"))
 
 
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns, convs = prefixes.rebuilt(prefixes.marked_turns(table(spark, sf_dir, "conversations")))
+    return prefixes.prefix_trie(turns, convs)
+
+
 QUERIES = {
     "op1_sharding": op1_sharding,
     "op2_simhash_near_dedup": op2_simhash_near_dedup,
@@ -80,4 +86,5 @@ QUERIES = {
     "op8_license_scans": op8_license_scans,
     "op9_substring_dedup": op9_substring_dedup,
     "op10_warc": op10_warc,
+    "op13_prefix_trie": op13_prefix_trie,
 }

@@ -135,4 +135,31 @@ SELECT record_id, canonical, ts, status, pid * 8 AS response_id,
     CASE WHEN ok THEN length(html) END::BIGINT AS body_chars, CASE WHEN ok THEN md5(html) END AS body_md5
 FROM merged"""
 
-ORACLE_SQL = {"op3_reply_trees": REPLY_TREES, "op5_quality_rules": QUALITY, "op10_warc": WARC}
+# CRC-32 of a string of digits, bit by bit (reflected, polynomial 0xEDB88320)
+_BITS = "lambda c, i: xor(c >> 1, (c & 1) * 3988292384)"
+_CRC = (f"xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(conv_id::VARCHAR, ''), lambda x: ascii(x)::BIGINT)), "
+        f"lambda crc, b: list_reduce([xor(crc, b), 0, 0, 0, 0, 0, 0, 0, 0], {_BITS})), 4294967295)")
+
+PREFIX_TRIE = rf"""WITH t AS (SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text, row_number() OVER
+    (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS nth
+    FROM conversations WHERE conv_id IS NOT NULL),
+own AS (SELECT conv_id, {_CRC} % 4 AS h, list(struct_pack(r := role, t := text) ORDER BY nth) AS turns FROM t GROUP BY conv_id),
+seq AS (SELECT o.conv_id, coalesce(b.turns[:o.h], []) || o.turns[o.h + 1:] AS s
+        FROM own o LEFT JOIN own b ON b.conv_id = o.conv_id - o.conv_id % 20),
+p AS (SELECT conv_id, s, d, s[:d] AS prefix FROM (SELECT conv_id, s, unnest(range(0, len(s) + 1)) AS d FROM seq)),
+node AS (SELECT d, prefix, min(conv_id) AS conv_id, count(*) AS n_convs,
+    sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (len(s) = d), '')) AS ends_sha256,
+    bool_and(len(s) = d) AS leaf,
+    (count(*) - 1) * CASE WHEN d > 0 THEN len(regexp_extract_all(any_value(s[d].t), '[^ 	-]+')) ELSE 0 END AS saved
+    FROM p GROUP BY d, prefix),
+up AS (SELECT DISTINCT a.d AS ad, a.prefix AS ap, b.d, b.prefix FROM node b, unnest(range(0, b.d + 1)) AS r(k)
+       JOIN node a ON a.d = k AND a.prefix = b.prefix[:k]),
+tree AS (SELECT ad, ap, count(*) FILTER (n.leaf) AS n_leaves, sum(n.saved) AS saved_tokens,
+         count(*) FILTER (n.d = ad + 1) AS n_children
+         FROM up JOIN node n ON n.d = up.d AND n.prefix = up.prefix GROUP BY ad, ap)
+SELECT n.conv_id::BIGINT AS conv_id, n.d::BIGINT AS depth, m.conv_id::BIGINT AS parent_conv_id, n.n_convs::BIGINT AS n_convs,
+    n_children::BIGINT AS n_children, n_leaves::BIGINT AS n_leaves, saved_tokens::BIGINT AS saved_tokens, n.ends_sha256
+FROM node n JOIN tree ON ad = n.d AND ap = n.prefix LEFT JOIN node m ON m.d = n.d - 1 AND m.prefix = n.prefix[:n.d - 1]"""
+
+ORACLE_SQL = {"op3_reply_trees": REPLY_TREES, "op5_quality_rules": QUALITY, "op10_warc": WARC,
+              "op13_prefix_trie": PREFIX_TRIE}
