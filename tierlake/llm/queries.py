@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tierlake.llm import (leaks, licenses, passages, pieces, prefixes, quality, revisits, sharding, simhash, toxicity,
-                          trees)
+from tierlake.llm import (crosswalk, leaks, licenses, passages, pieces, prefixes, quality, revisits, sharding, simhash,
+                          toxicity, trees)
 from tierlake.llm.common import table
 from tierlake.llm.sql import ORACLE_SQL  # noqa: F401
 
@@ -70,6 +70,10 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.md5("body").alias("body_md5"))
 
 
+def op12_cross_tokenizer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return crosswalk.align(table(spark, sf_dir, "documents"))
+
+
 def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns, convs = prefixes.rebuilt(prefixes.marked_turns(table(spark, sf_dir, "conversations")))
     return prefixes.prefix_trie(turns, convs)
@@ -86,5 +90,6 @@ QUERIES = {
     "op8_license_scans": op8_license_scans,
     "op9_substring_dedup": op9_substring_dedup,
     "op10_warc": op10_warc,
+    "op12_cross_tokenizer": op12_cross_tokenizer,
     "op13_prefix_trie": op13_prefix_trie,
 }

@@ -53,19 +53,20 @@ def paths(messages: DataFrame, top: int = 1, max_rounds: int = 40) -> DataFrame:
                            F.coalesce(F.col("score").cast("double"), F.lit(0.0)).alias("score"))
     base = base.join(known.withColumn("up", F.col("p")), ["tree", "p"], "left").select("tree", "id", "up", "score")
     state = stored(base.select("tree", "id", "up", "score", F.lit(1).cast("long").alias("length")), "tree-jumps")
-    jumps = []
-    while not state.where("up is not null").isEmpty():
+    # only messages that have not reached their root go on; the others wait as they are
+    settled, going, jumps = state.where("up is null"), state.where("up is not null"), []
+    while not going.isEmpty():
         if len(jumps) >= max_rounds:
             break  # only a cycle is that long: its messages have no root
-        jumps.append(state.where("up is not null").select("tree", "id", "up"))
-        above = state.select("tree", F.col("id").alias("up"), F.col("up").alias("up2"), F.col("score").alias("s2"),
-                             F.col("length").alias("l2"))
-        state = stored(state.join(above, ["tree", "up"], "left").select(
-            "tree", "id", F.col("up2").alias("up"),
-            (F.col("score") + F.coalesce("s2", F.lit(0.0))).alias("score"),
-            (F.col("length") + F.coalesce("l2", F.lit(0))).alias("length")), "tree-jumps")
+        jumps.append(going.select("tree", "id", "up"))
+        above = settled.union(going).select("tree", F.col("id").alias("up"), F.col("up").alias("up2"),
+                                            F.col("score").alias("s2"), F.col("length").alias("l2"))
+        moved = stored(going.join(above, ["tree", "up"]).select(
+            "tree", "id", F.col("up2").alias("up"), (F.col("score") + F.col("s2")).alias("score"),
+            (F.col("length") + F.col("l2")).alias("length")), "tree-jumps")
+        settled, going = settled.union(moved.where("up is null")), moved.where("up is not null")
     parents = base.where("up is not null").select("tree", F.col("up").alias("id")).distinct()
-    leaves = state.where("up is null").join(parents, ["tree", "id"], "left_anti")
+    leaves = settled.join(parents, ["tree", "id"], "left_anti")
     # the best leaf of a tree is a grouped maximum (combined map-side); more need a window over leaves
     if top == 1:
         best = leaves.groupBy("tree").agg(F.min(F.struct((-F.col("score")).alias("s"), "id", "length")).alias("b")).select(
