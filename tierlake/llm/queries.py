@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tierlake.llm import (crosswalk, leaks, licenses, passages, pieces, prefixes, quality, revisits, sharding, simhash,
-                          toxicity, trees)
+from tierlake.llm import (crosswalk, curves, leaks, licenses, passages, pieces, prefixes, quality, revisits, sharding,
+                          simhash, toxicity, trees)
 from tierlake.llm.common import table
 from tierlake.llm.sql import ORACLE_SQL  # noqa: F401
 
@@ -70,6 +70,10 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.md5("body").alias("body_md5"))
 
 
+def op11_hilbert_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return curves.nearest(table(spark, sf_dir, "embeddings"), F.col("id") % 100 == 0)
+
+
 def op12_cross_tokenizer(spark: SparkSession, sf_dir: str) -> DataFrame:
     return crosswalk.align(table(spark, sf_dir, "documents"))
 
@@ -90,6 +94,7 @@ QUERIES = {
     "op8_license_scans": op8_license_scans,
     "op9_substring_dedup": op9_substring_dedup,
     "op10_warc": op10_warc,
+    "op11_hilbert_ann": op11_hilbert_ann,
     "op12_cross_tokenizer": op12_cross_tokenizer,
     "op13_prefix_trie": op13_prefix_trie,
 }
