@@ -24,9 +24,9 @@ from tierlake.plans import gold, kpis as K, layers as L, runlog as R, silver
 from tierlake.plans.rules import RULE_SETS, build_checker
 from tierlake.session import scratch_path
 from tierlake.sources import contracts as C, retail_view as RV
-from tierlake.sources.landing import read_landing
+from tierlake.sources.landing import list_files, read_files, read_landing
 from tierlake.sources.lineage import add_lineage
-from tierlake.sources.specs import CUSTOMERS_CONTRACT
+from tierlake.sources.specs import CUSTOMERS_CONTRACT, SourceSpec
 from tierlake.streaming import ingest as S
 from tierlake.streaming.scd2_stream import BUCKET, read_versioned, start_scd2_stream
 
@@ -699,6 +699,84 @@ def q_parquet_read(spark, sf_dir):
     return _round_trip_out(read_landing(spark, f"{root}/orders", "parquet"))
 
 
+@register("csv_rescued", """
+SELECT o_orderkey, CASE WHEN o_orderkey % 10 <> 0 THEN o_custkey END AS o_custkey,
+       CASE WHEN o_orderkey % 10 = 0 THEN 'o_custkey' END AS rescued_column,
+       CASE WHEN o_orderkey % 10 = 0 THEN CAST(o_custkey AS VARCHAR) || 'x' END AS rescued_raw
+FROM orders""")
+def q_csv_rescued(spark, sf_dir):
+    """Text that does not convert stays beside its NULL, under its column's name."""
+    rows = _bad_customers_landed(spark, sf_dir)
+    lost = F.element_at("_rescued", 1)   # one column at most is broken here
+    return rows.select("o_orderkey", "o_custkey", lost["column"].alias("rescued_column"), lost["raw"].alias("rescued_raw"))
+
+
+def _bad_customers_landed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders landed as CSV, the customer of every tenth key spoilt; read by contract."""
+    root = scratch_path(spark, "landing-rescued")
+    o = RV.table(spark, sf_dir, "orders").select(*_ORDER_COLS)
+    spoilt = F.concat(F.col("o_custkey").cast("string"), F.when(F.col("o_orderkey") % 10 == 0, "x").otherwise(""))
+    o.withColumn("o_custkey", spoilt).write.option("header", "true").csv(f"{root}/orders")
+    return read_landing(spark, f"{root}/orders", "csv", ORDERS_CONTRACT)
+
+
+@register("contract_violations_rescued", """
+SELECT 'type:o_custkey' AS rule, count_if(o_orderkey % 10 = 0) AS violations FROM orders
+UNION ALL SELECT 'required:o_custkey', count_if(o_custkey IS NULL) FROM orders
+UNION ALL SELECT 'type:o_orderkey', 0 FROM (SELECT count(*) FROM orders)
+UNION ALL SELECT 'type:o_totalprice', 0 FROM (SELECT count(*) FROM orders)""")
+def q_contract_rescued(spark, sf_dir):
+    """A typed read reports spoilt text as a broken type, not as a missing value."""
+    found = C.contract_violations(_bad_customers_landed(spark, sf_dir), ORDERS_CONTRACT)
+    return found.where(F.col("rule").startswith("type:o_") & (F.col("rule") != "type:o_orderdate")
+                       | (F.col("rule") == "required:o_custkey"))
+
+
+@register("json_drift", """
+SELECT CAST(o_orderdate AS DATE) > DATE '1997-12-31' AS late, count(*) AS row_count,
+       count_if(CAST(o_orderdate AS DATE) > DATE '1997-12-31') AS with_extra,
+       'orders: columns added: o_extra | orders: columns omitted: o_note' AS late_drift,
+       min(CASE WHEN CAST(o_orderdate AS DATE) > DATE '1997-12-31' THEN o_orderpriority END) AS first_extra
+FROM orders GROUP BY 1""")
+def q_json_drift(spark, sf_dir):
+    """JSON lines whose files differ: a column outside the contract is found per file,
+    reported and kept (S2, C1-C3)."""
+    root = scratch_path(spark, "landing-json-drift")
+    o = RV.table(spark, sf_dir, "orders").withColumn("o_orderdate", F.col("o_orderdate").cast("timestamp"))
+    late = F.year("o_orderdate") > 1997
+    o.where(~late).select(*_ORDER_COLS).write.json(f"{root}/orders/a")
+    o.where(late).select(*_ORDER_COLS, F.col("o_orderpriority").alias("o_extra")).write.json(f"{root}/orders/b")
+    rows = read_landing(spark, f"{root}/orders", "json", ORDERS_CONTRACT)
+    _, drift = read_files(spark, list_files(spark, f"{root}/orders/b"), "json", ORDERS_CONTRACT, "orders")
+    return rows.groupBy((F.year("o_orderdate") > 1997).alias("late")).agg(
+        F.count(F.lit(1)).alias("row_count"), F.count("o_extra").alias("with_extra"),
+        F.lit(" | ".join(drift)).alias("late_drift"), F.min("o_extra").alias("first_extra"))
+
+
+@register("ingest_ledger", """
+SELECT 'r1' AS run_id, count(*) AS rows_read, count(*) AS rows_written, count(*) AS rows_in_bronze
+FROM orders WHERE year(o_orderdate) <= 1995
+UNION ALL
+SELECT 'r2', count(*), count(*), (SELECT count(*) FROM orders) FROM orders WHERE year(o_orderdate) > 1995
+UNION ALL
+SELECT 'r3', 0, 0, count(*) FROM orders""")
+def q_ingest_ledger(spark, sf_dir):
+    """Orders delivered in two parts, ingested three times: a run opens only files that
+    the ledger does not know, the third opens none (S13, S14)."""
+    root = scratch_path(spark, "ingest-ledger")
+    o = RV.table(spark, sf_dir, "orders").select(*_ORDER_COLS).withColumn(
+        "o_orderdate", F.col("o_orderdate").cast("timestamp"))
+    spec = SourceSpec("orders", "orders", "csv", "o_orderkey", (), ORDERS_CONTRACT)
+    out = []
+    for run, part in (("r1", F.year("o_orderdate") <= 1995), ("r2", F.year("o_orderdate") > 1995), ("r3", None)):
+        if part is not None:
+            o.where(part).write.mode("append").option("header", "true").csv(f"{root}/landing/orders")
+        ctx = L.RunContext(spark, f"{root}/landing", f"{root}/lake", run_id=run, as_of=_dt.datetime(2024, 1, 1, 6, 0))
+        done = L.ingest_source(ctx, spec)
+        out.append((run, done["rows_read"], done["rows_written"], L.bronze_table(ctx, "orders").count()))
+    return spark.createDataFrame(out, "run_id string, rows_read long, rows_written long, rows_in_bronze long")
+
+
 # ---------------------------------------------------------------- whole layered run
 
 
@@ -1003,7 +1081,7 @@ def q_landing_layouts(spark, sf_dir):
     """Header layouts found in a landing folder, their drift against the contract
     and the rows read with each (S1, C1-C3): headers are file metadata, rows are
     counted by Spark over the whole files."""
-    from tierlake.sources.landing import header_groups, list_files
+    from tierlake.sources.landing import header_groups
     root = scratch_path(spark, "landing-layouts")
     early, late = _orders_two_layouts(spark, sf_dir)
     early.write.option("header", "true").csv(f"{root}/orders/layout=1")

@@ -23,8 +23,9 @@ from tierlake.operators.upsert import rows_to_insert
 from tierlake.plans import gold, runlog, silver
 from tierlake.plans.rules import ROW_POLICIES, build_checker
 from tierlake.sources import tables
-from tierlake.sources.contracts import conform_to_contract, describe_drift
-from tierlake.sources.landing import header_groups, list_files, read_landing
+from tierlake.sources.contracts import conform_to_contract
+from tierlake.sources.landing import landing_files, read_files
+from tierlake.sources.ledger import FileLedger
 from tierlake.sources.lineage import add_lineage
 from tierlake.sources.specs import SOURCES, SourceSpec
 
@@ -101,40 +102,45 @@ def _rows(obs: Observation, fallback: DataFrame | None = None) -> int:
 # ---------------------------------------------------------------- bronze
 
 
-def _drift(spark, files: list[str], data_cols: list[str], spec: SourceSpec) -> list[str]:
-    """Drift of every header among the landing files; one file without a required
-    column breaks the run, however many others have it."""
-    if spec.file_format != "csv":
-        return describe_drift(data_cols, spec.contract, spec.name)
-    groups = header_groups(spark, files)
-    return [line for header, group in groups.items() for line in describe_drift(
-        header, spec.contract, spec.name if len(groups) == 1 else f"{spec.name} ({len(group)} files like {group[0]})")]
-
-
 def ingest_source(ctx: RunContext, spec: SourceSpec) -> dict:
-    """Landing files of one source into its append-only Bronze table."""
+    """Landing files of one source into its append-only Bronze table.
+
+    Only files that the ledger does not know as done are opened. Bronze itself is
+    read only where rows of those files may be there already (an interrupted run,
+    a file delivered again, a table older than its ledger).
+    """
     started = runlog.utc_now()
     path = f"{ctx.landing_root.rstrip('/')}/{spec.subpath}"
     try:
-        files = list_files(ctx.spark, path)
-        raw = read_landing(ctx.spark, path, spec.file_format, spec.contract)
-        data_cols = [c for c in raw.columns if c != "_source_file"]
-        drift = _drift(ctx.spark, files, data_cols, spec) if spec.contract else []
+        ledger = FileLedger(ctx.spark, ctx.lake_root, spec.name)
+        listed = landing_files(ctx.spark, path)
+        pending = ledger.pending(listed).collect()   # one row per file to be read
+        if not pending:
+            if listed.isEmpty():
+                raise FileNotFoundError(f"no landing files under {path}")
+            return runlog.run_record(ctx.run_id, "bronze", spec.name, "success", started, 0, 0, [])
+        files = ctx.spark.createDataFrame(
+            pending, "path string, file string, length long, modified timestamp, seen boolean")
+        target_root = ctx.path("bronze", spec.name)
+        fresh = not ledger.noted().isEmpty() and not any(r["seen"] for r in pending)
+        raw, drift = read_files(ctx.spark, sorted(r["path"] for r in pending), spec.file_format, spec.contract, spec.name)
         if spec.contract:
             raw = conform_to_contract(raw, spec.contract)
-        if ctx.source_file == "directory":
-            sf, target_filter = F.lit(path), F.col("_source_file") == F.lit(path)
-        else:
-            sf, target_filter = F.col("_source_file"), F.col("_source_file").isin(files)
+        directory = ctx.source_file == "directory"
+        sf = F.lit(path) if directory else F.col("_source_file")
         plain = add_lineage(raw, spec.name, ctx.run_id, ctx.as_of, source_file=sf)
         enriched, read_obs = _observed(plain, f"read_{spec.name}_{ctx.run_id}")
         enriched, finish = _policed(ctx, f"bronze.{spec.name}", enriched)
-        target_root = ctx.path("bronze", spec.name)
-        target = tables.read_appended(ctx.spark, target_root)
-        new_rows = rows_to_insert(target, enriched, [spec.primary_key, "_source_file"], target_filter)
+        target = None if fresh and not directory else tables.read_appended(ctx.spark, target_root)
+        if target is not None:
+            target = (target.where(F.col("_source_file") == F.lit(path)) if directory
+                      else target.join(files.select(F.col("file").alias("_source_file")), "_source_file", "left_semi"))
+        new_rows = rows_to_insert(target, enriched, [spec.primary_key, "_source_file"])
         new_rows, write_obs = _observed(new_rows, f"write_{spec.name}_{ctx.run_id}")
+        ledger.note(files, ctx.run_id, "reading")
         tables.append(new_rows, target_root, spec.partition_cols)
         finish()
+        ledger.note(files, ctx.run_id, "done")
         return runlog.run_record(ctx.run_id, "bronze", spec.name, "success", started,
                                  _rows(read_obs, plain), _rows(write_obs), drift)
     except Exception as exc:

@@ -29,6 +29,10 @@ _JSON_TYPES: dict[str, T.DataType] = {
 _FORMAT_TYPES: dict[str, T.DataType] = {"date": T.DateType(), "date-time": T.TimestampType()}
 
 
+# Column of the landing readers: array of (column, raw) for text that did not convert.
+RESCUED = "_rescued"
+
+
 class SchemaBreak(RuntimeError):
     """A breaking schema change: a required column is missing."""
 
@@ -97,14 +101,19 @@ def conform_to_contract(df: DataFrame, contract: Contract) -> DataFrame:
 
 def _typed(c: str, dtype: T.DataType, prop: dict) -> Column:
     """The value as the contract's type (NULL when it cannot be converted)."""
-    want = field_type(prop)
-    if dtype == want:
+    if dtype == field_type(prop):
         return F.col(c)
+    return typed_text(c, prop)
+
+
+def typed_text(c: str | Column, prop: dict) -> Column:
+    """The text of column ``c`` as the declared type (NULL when it cannot be converted)."""
+    want, text = field_type(prop), F.col(c) if isinstance(c, str) else c
     if isinstance(want, T.TimestampType):
-        return F.try_to_timestamp(F.col(c).cast("string"))
+        return F.try_to_timestamp(text.cast("string"))
     if isinstance(want, T.DateType):
-        return F.try_to_date(F.col(c).cast("string"))
-    return F.col(c).try_cast(want)
+        return F.try_to_date(text.cast("string"))
+    return text.try_cast(want)
 
 
 def value_rules(df: DataFrame, contract: Contract) -> dict[str, Column]:
@@ -112,9 +121,16 @@ def value_rules(df: DataFrame, contract: Contract) -> dict[str, Column]:
     props = contract.get("properties", {})
     dtypes = {f.name: f.dataType for f in df.schema.fields}
     rules: dict[str, Column] = {}
+
+    def lost(c: str) -> Column:
+        """The value was there, but its text did not convert: a broken type, not a missing value."""
+        if RESCUED not in dtypes:
+            return F.lit(False)
+        return F.coalesce(F.exists(RESCUED, lambda x: x["column"] == c), F.lit(False))
+
     for c in contract.get("required", []):
         if c in dtypes:
-            rules[f"required:{c}"] = F.col(c).isNotNull()
+            rules[f"required:{c}"] = F.col(c).isNotNull() | lost(c)
     for c, prop in props.items():
         if c not in dtypes:
             continue
@@ -122,8 +138,10 @@ def value_rules(df: DataFrame, contract: Contract) -> dict[str, Column]:
         typed = _typed(c, dtypes[c], prop)
         if not isinstance(dtypes[c], type(field_type(prop))):
             rules[f"type:{c}"] = v.isNull() | typed.isNotNull()
+        elif RESCUED in dtypes and not isinstance(dtypes[c], T.StringType):
+            rules[f"type:{c}"] = ~lost(c)
         if not nullable(prop) and c not in contract.get("required", []):
-            rules[f"not_null:{c}"] = v.isNotNull()
+            rules[f"not_null:{c}"] = v.isNotNull() | lost(c)
         if "pattern" in prop:
             rules[f"pattern:{c}"] = v.isNull() | v.cast("string").rlike(prop["pattern"])
         fmt = prop.get("format")
