@@ -15,12 +15,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as _T
 
 from tierlake import oracle as O
-from tierlake.operators import expectations as X
+from tierlake.operators import bitmaps as B, expectations as X
 from tierlake.operators.changes import snapshot_changes
 from tierlake.operators.dedupe import dedupe_latest
+from tierlake.operators.point_in_time import lookup_valid
 from tierlake.operators.scd2 import current_rows, scd2_from_feed, scd2_initial, scd2_merge
 from tierlake.operators.upsert import upsert_insert_only
 from tierlake.plans import gold, kpis as K, layers as L, runlog as R, silver
+from tierlake.plans.incremental import refresh_rollup, touched_groups
 from tierlake.plans.rules import RULE_SETS, build_checker
 from tierlake.session import scratch_path
 from tierlake.sources import contracts as C, retail_view as RV
@@ -60,9 +62,10 @@ def current_dims(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame
     )
 
 
-def obt_df(spark: SparkSession, sf_dir: str) -> DataFrame:
+def obt_df(spark: SparkSession, sf_dir: str, whole: bool = False) -> DataFrame:
+    """The wide table; queries over it carry only the dimensions they use, unless it is wanted ``whole``."""
     store, customer, product = current_dims(spark, sf_dir)
-    return gold.build_obt_sales(fact_sales_df(spark, sf_dir), store, customer, product)
+    return gold.build_obt_sales(fact_sales_df(spark, sf_dir), store, customer, product, spread_nulls=whole)
 
 
 @register("fact_sales", O.with_ctes("fact") + "SELECT * FROM fact")
@@ -124,7 +127,7 @@ def q_gold_fact(spark, sf_dir):
 
 @register("obt_sales", O.with_ctes("obt") + "SELECT * FROM obt")
 def q_obt(spark, sf_dir):
-    return obt_df(spark, sf_dir)
+    return obt_df(spark, sf_dir, whole=True)
 
 
 _DAILY_SQL = """
@@ -876,13 +879,13 @@ EVENTS_SCHEMA = _T.StructType([
 ])
 
 
-def _land_events(spark: SparkSession, sf_dir: str, root: str, files: int = 12) -> str:
+def _land_events(spark: SparkSession, sf_dir: str, root: str, files: int = 12, mode: str = "error") -> str:
     """Events as CSV files, spread evenly (round robin) over at least ``files``
     files, so each micro-batch holds events from all over the period."""
     path = f"{root}/landing/events"
     n = max(files, spark.sparkContext.defaultParallelism)
     (RV.events(spark, sf_dir).withColumn("ts", F.col("ts").cast("timestamp"))
-     .repartition(n).write.option("header", "true")
+     .repartition(n).write.mode(mode).option("header", "true")
      .option("timestampFormat", S.TIMESTAMP_FORMAT).csv(path))
     return path
 
@@ -988,6 +991,97 @@ def q_contract_valid(spark, sf_dir):
     return valid
 
 
+@register("agg_customers_exact_bitmaps", O.with_ctes("fact") + """
+SELECT 'month' AS grain, CAST(date_trunc('month', transaction_date) AS DATE) AS period, channel,
+       count(DISTINCT customer_id) AS distinct_customers
+FROM fact WHERE customer_id IS NOT NULL GROUP BY ALL
+UNION ALL
+SELECT 'year', CAST(date_trunc('year', transaction_date) AS DATE), channel, count(DISTINCT customer_id)
+FROM fact WHERE customer_id IS NOT NULL GROUP BY ALL""")
+def q_customers_bitmaps(spark, sf_dir):
+    """Exact distinct customers per month and year, merged from daily bitmaps (A3)."""
+    fact = fact_sales_df(spark, sf_dir).select("transaction_date", "channel", "customer_id")
+    numbers = B.number_values(RV.customers(spark, sf_dir), "customer_id")
+    path = scratch_path(spark, "daily-bitmaps")
+    B.value_bitmaps(fact, [F.to_date("transaction_date").alias("day"), "channel"], "customer_id", numbers).write.parquet(path)
+    daily = spark.read.parquet(path)
+    out = [B.count_bitmaps(daily.withColumn("period", F.trunc("day", grain)), ["period", "channel"], "distinct_customers")
+           .select(F.lit(grain).alias("grain"), "period", "channel", "distinct_customers") for grain in ("month", "year")]
+    return out[0].unionByName(out[1])
+
+
+def _point_in_time_sql() -> str:
+    merged = _merge_sql(True).replace(RUN_DATE, "1996-01-01").replace(MERGE_DATE, "1998-06-01")
+    ctes = O.with_ctes("fact", "dim_customer", "dim_customer2")
+    return ctes.rstrip() + ", versions AS (" + merged[len(O.with_ctes("dim_customer", "dim_customer2")):] + """)
+SELECT f.transaction_id, f.customer_id, v.loyalty_tier, v.loyalty_points, v.scd_effective_from
+FROM fact f LEFT JOIN versions v ON f.customer_id = v.customer_id
+ AND f.transaction_date >= v.scd_effective_from AND f.transaction_date < v.scd_effective_to"""
+
+
+@register("fact_point_in_time", _point_in_time_sql())
+def q_point_in_time(spark, sf_dir):
+    """Sales with the customer version valid at the sale date, not the current one (answers Q5)."""
+    from tierlake.plans.silver import CUSTOMER_TRACKED
+    first = scd2_initial(silver.build_dim_customer(RV.customers(spark, sf_dir)), "1996-01-01")
+    second = silver.build_dim_customer(RV.customer_snapshot_2(spark, sf_dir))
+    versions = scd2_merge(first, second, "customer_id", CUSTOMER_TRACKED, "1998-06-01")
+    versions = versions.withColumn("valid_to", F.when(~F.col("scd_is_current"), F.col("scd_effective_to")))
+    facts = fact_sales_df(spark, sf_dir).select("transaction_id", "customer_id", "transaction_date")
+    return lookup_valid(facts, versions, "customer_id", "transaction_date", "scd_effective_from", "valid_to",
+                        ["loyalty_tier", "loyalty_points", "scd_effective_from"]).drop("transaction_date")
+
+
+@register("agg_daily_after_changes", O.with_ctes("fact", extra="""
+final AS (
+  SELECT * REPLACE (CASE WHEN transaction_id % 13 = 0 THEN CAST(net_amount + 1 AS DECIMAL(24,2)) ELSE net_amount END AS net_amount,
+                    CASE WHEN transaction_id % 17 = 0 THEN NULL ELSE store_id END AS store_id)
+  FROM fact WHERE NOT (transaction_id % 11 = 0 AND channel = 'R'))""") + """
+SELECT CAST(transaction_date AS DATE) AS day, store_id, channel, count(*) AS num_transactions,
+       count(DISTINCT customer_id) AS num_customers, CAST(sum(quantity) AS BIGINT) AS total_units,
+       CAST(sum(net_amount) AS DECIMAL(34,2)) AS total_net_revenue
+FROM final GROUP BY ALL""")
+def q_daily_after_changes(spark, sf_dir):
+    """A daily roll-up carried through two change sets: new sales and returns, then corrected
+    amounts and stores; equals the roll-up of the final rows (S17 -> A1)."""
+    group = ["day", "store_id", "channel"]
+    final = fact_sales_df(spark, sf_dir).withColumn("day", F.to_date("transaction_date")).select(
+        "transaction_id", *group, "customer_id", "quantity", "net_amount")
+    one = final.where(F.col("transaction_id") % 7 != 0)                                  # the first load
+    two = final.where(~((F.col("transaction_id") % 11 == 0) & (F.col("channel") == "R")))   # late sales come, returns go
+    three = two.withColumn("net_amount", F.when(F.col("transaction_id") % 13 == 0, (F.col("net_amount") + 1).cast(
+        "decimal(24,2)")).otherwise(F.col("net_amount"))).withColumn(
+        "store_id", F.when(F.col("transaction_id") % 17 != 0, F.col("store_id")))
+
+    def daily(rows):
+        return rows.groupBy(*group).agg(
+            F.count(F.lit(1)).alias("num_transactions"), F.count_distinct("customer_id").alias("num_customers"),
+            F.sum("quantity").alias("total_units"), F.sum("net_amount").alias("total_net_revenue"))
+
+    root, states = scratch_path(spark, "daily-changes"), []
+    for i, rows in enumerate((one, two, three)):
+        rows.write.parquet(f"{root}/rows{i}")
+        states.append(spark.read.parquet(f"{root}/rows{i}"))
+    rollup = daily(states[0])
+    for i, (old, new) in enumerate(zip(states, states[1:])):
+        rollup.write.parquet(f"{root}/rollup{i}")
+        rollup = refresh_rollup(spark.read.parquet(f"{root}/rollup{i}"), new,
+                                touched_groups(old, new, "transaction_id", group), group, daily)
+    return rollup
+
+
+@register("stream_dedupe", "SELECT * FROM events")
+def q_stream_dedupe(spark, sf_dir):
+    """Every event delivered twice, in different files and micro-batches: each is kept once (P8 in a stream)."""
+    root = scratch_path(spark, "stream-dedupe")
+    landing = _land_events(spark, sf_dir, root, files=8)
+    _land_events(spark, sf_dir, root, files=8, mode="append")
+    stream = S.landing_stream(spark, landing, EVENTS_SCHEMA, max_files_per_trigger=4)
+    once = S.drop_redelivered(stream, ["event_id"], "ts", "366 days")
+    S.start_file_sink(once, f"{root}/bronze/events", f"{root}/_checkpoints/events", partition_by=()).awaitTermination()
+    return _ntz(spark.read.parquet(f"{root}/bronze/events"), "ts")
+
+
 @register("agg_monthly_customers_sketch")
 def q_customers_sketch(spark, sf_dir):
     """Approximate distinct customers per month from mergeable daily HLL sketches (A3)."""

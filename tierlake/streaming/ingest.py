@@ -66,6 +66,16 @@ def with_expectations(df: DataFrame, expectations: Mapping[str, str], policy: st
     return kept
 
 
+def drop_redelivered(df: DataFrame, keys: Sequence[str], event_time: str, delay: str) -> DataFrame:
+    """Rows delivered again are dropped, across micro-batches (P8 in a stream).
+
+    The state holds the keys seen, one entry each, until the watermark (latest
+    ``event_time`` less ``delay``) has passed them; a copy that comes later than that
+    is late data. ``delay`` must cover how far apart deliveries of one row may be.
+    """
+    return df.withWatermark(event_time, delay).dropDuplicatesWithinWatermark(list(keys))
+
+
 def start_file_sink(df: DataFrame, path: str, checkpoint: str, trigger: str = "availableNow",
                     partition_by: Sequence[str] = ("ingestion_date",), query_name: str | None = None
                     ) -> StreamingQuery:
