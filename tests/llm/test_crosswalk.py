@@ -60,8 +60,9 @@ def brute(texts, both):
 def odd_texts():
     rng = random.Random(2)
     texts = [None, "", " ", "  a", "\n", "one", "x" * 3000, "▁ mark", "a ▁b", "<s> </s> <|endoftext|>", "\x00 nul", "é à ÿ 😀 日本語 ", LONG,
-             "a b c", "trailing  ", "tab\tand\r\nline", "don't we'll 've"]
-    alphabet = "abc  \n.,éß日😀1A'"
+             "a b c", "trailing  ", "tab\tand\r\nline", "don't we'll 've",
+             "a  \n b", "x \u00a0y \u180ez \u2003 w", "  \u3000 a", "a \x1c b", "\u0085 a \u200b b", "ﬁ ﬀ ① Å", "e\u0301 a \u0301"]
+    alphabet = "abc  \n.,éß日😀1A'\t\u00a0"
     texts += ["".join(rng.choices(alphabet, k=rng.randint(0, 200))) for _ in range(150)]
     return texts + texts[:40]
 
@@ -69,7 +70,8 @@ def odd_texts():
 def test_alignment_equals_brute_force(spark, both, monkeypatch):
     monkeypatch.setattr(crosswalk, "LANE", 64)
     monkeypatch.setattr(crosswalk, "BATCH_CHARS", 5000)
-    monkeypatch.setattr(crosswalk, "ENCODE_CHARS", 20_000)
+    monkeypatch.setattr(crosswalk, "ENCODE_CHARS", 2_000)
+    monkeypatch.setattr(crosswalk, "CACHE", 20)
     texts = odd_texts()
     df = spark.createDataFrame([(i, t, "x", 3, "p", 9) for i, t in enumerate(texts)], DOCS).repartition(4)
     got = {r.doc_id: r for r in crosswalk.align(df, spell=True).collect()}

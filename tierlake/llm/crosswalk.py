@@ -17,13 +17,17 @@ document falls into groups.
 4. The counts go back to each batch as one list, and its documents are settled
    against it, a batch at a time.
 
-Texts are cut for the tokenizers only where both certainly start a new token;
-a text of any length is encoded whole, piece by piece.
+Texts are cut for the tokenizers only where both certainly start a new token: at
+a space behind anything but a space and before anything but white space. A task
+encodes each distinct stretch once, as long as its cache holds it, and lays the
+documents out from there; texts of any length are whole.
 """
 
 import hashlib
-import json
 import re
+import sys
+from array import array
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -38,11 +42,12 @@ from tierlake.llm.common import bounded_batches, stored
 A_FILE = "/opt/tokenizers/byte_bpe_50k.json"
 B_FILE = "/opt/tokenizers/piece_bpe_32k.model"
 LANE = 512               # A tokens of a document that one lane walks
-BATCH_CHARS = 4_000_000  # of the documents merged at once; a longer one is a batch of its own
-ENCODE_CHARS = 200_000   # given to a tokenizer at once
+BATCH_CHARS = 1_000_000  # of the documents merged at once; a longer one is a batch of its own
+ENCODE_CHARS = 100_000   # given to a tokenizer at once
+CACHE = 200_000          # distinct stretches a task remembers; then it starts anew
+CACHE_CHARS = 4_000_000  # and so it does beyond that many characters of them
 
-# a space between an ASCII word and the next: both tokenizers start a token at it
-_SAFE = re.compile(r"(?<=[A-Za-z0-9.,]) (?=[A-Za-z])")
+_BLANK = re.compile(r" (?:\s|$)")
 
 
 class Tokenizers:
@@ -55,11 +60,8 @@ class Tokenizers:
         self.a.encode_special_tokens = True
         self.b = sentencepiece.SentencePieceProcessor(model_proto=b)
         char = _byte_characters()
-        vocabulary = json.loads(a)["model"]["vocab"]
-        self.bytes_a = [b""] * (max(vocabulary.values()) + 1)
-        for piece, i in vocabulary.items():
-            if all(c in char for c in piece):
-                self.bytes_a[i] = bytes(char[c] for c in piece)
+        pieces = map(self.a.id_to_token, range(self.a.get_vocab_size()))
+        self.bytes_a = [bytes(char.get(c, 0) for c in piece or "") for piece in pieces]
         self.bytes_b, joins = [], False
         for i in range(self.b.get_piece_size()):
             piece = self.b.id_to_piece(i)
@@ -68,49 +70,93 @@ class Tokenizers:
             else:
                 self.bytes_b.append(piece.replace("▁", " ").encode())
                 joins |= "▁" in piece.lstrip("▁")
-        self.cuts = not joins  # no piece goes on behind a word, so words can be encoded apart
+        if joins:
+            raise ValueError("a piece of B goes on behind a space; texts can't be cut there")
         self.size_a = np.array(list(map(len, self.bytes_a)), np.int64)
         self.size_b = np.array(list(map(len, self.bytes_b)), np.int64)
+        self.spell_a = np.array([f"{i}{s}" for i in range(len(self.bytes_a)) for s in ",|"], object)
+        self.spell_b = np.array([f"{i}{s}" for i in range(len(self.bytes_b)) for s in ",;"], object)
 
-    def encode(self, texts: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
-        """(A ids, B ids) of every text behind one space; none where bytes are lost."""
-        out, held, size = [], [], 0
+        self.clear()
+
+    def clear(self):
+        self.place, self.chars = {}, 0
+        self.ids_a, self.ids_b = array("i"), array("i")
+        self.count_a, self.count_b, self.whole = array("i"), array("i"), array("b")
+
+    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """(A ids, B ids, A ids per text, B ids per text) of all texts, each behind one space.
+
+        A text whose token bytes are not its own has none.
+        """
+        if len(self.place) > CACHE or self.chars > CACHE_CHARS:
+            self.clear()
+        flat, per_text = [], []
         for t in texts:
-            held.append(self._stretches(" " + t) if t else [])
-            size += len(t or "")
+            own = stretches(" " + t) if t else []
+            flat += own
+            per_text.append(len(own))
+        held, size = [], 0
+        for s in set(flat).difference(self.place):
+            held.append(s)
+            size += len(s)
             if size >= ENCODE_CHARS:
-                out.extend(self._encode(held))
+                self._learn(held)
                 held, size = [], 0
-        return out + self._encode(held)
-
-    def _stretches(self, text: str) -> list[str]:
-        found, at = [], 0
-        while self.cuts and len(text) - at > ENCODE_CHARS:
-            hit = _SAFE.search(text, at + ENCODE_CHARS // 2)
-            if not hit:
-                break
-            found.append(text[at:hit.start()])
-            at = hit.start()
-        return [*found, text[at:]]
-
-    def _encode(self, held: list[list[str]]) -> list[tuple[np.ndarray, np.ndarray]]:
-        flat = [s for own in held for s in own]
-        coded_a, coded_b, step = [], [], 256
-        for at in range(0, len(flat), step):  # a long text's stretches are encoded a few at a time
-            part = flat[at:at + step]
-            coded_a += [e.ids for e in self.a.encode_batch_fast(part, add_special_tokens=False)]
-            coded_b += self.b.encode([s[1:] for s in part], num_threads=1) if part else []
-        out, at = [], 0
-        none = np.empty(0, np.int32)
-        for own in held:
-            a = [i for x in coded_a[at:at + len(own)] for i in x] if len(own) != 1 else coded_a[at]
-            b = [i for x in coded_b[at:at + len(own)] for i in x] if len(own) != 1 else coded_b[at]
-            at += len(own)
-            raw = "".join(own).encode("utf-8", "surrogatepass")
-            same = (raw and b"".join(map(self.bytes_a.__getitem__, a)) == raw
-                    and b"".join(map(self.bytes_b.__getitem__, b)) == raw)
-            out.append((np.array(a, np.int32), np.array(b, np.int32)) if same else (none, none))
-        return out
+        if held:
+            self._learn(held)
+        place = np.fromiter(map(self.place.__getitem__, flat), np.int64, len(flat))
+        text = np.repeat(np.arange(len(texts)), per_text)
+        lost = np.zeros(len(texts), bool)
+        lost[text[np.array(self.whole, np.int8)[place] == 0]] = True
+        if lost.any():
+            place, text = place[~lost[text]], text[~lost[text]]
+        (a, n_a), (b, n_b) = (_gathered(ids, counts, place, text, len(texts)) for ids, counts in
+                              ((self.ids_a, self.count_a), (self.ids_b, self.count_b)))
+        return a, b, n_a, n_b
+
+    def _learn(self, held: list[str]) -> None:
+        raws = [s.encode("utf-8", "surrogatepass") for s in held]
+        raw_size, raw = list(map(len, raws)), b"".join(raws)
+        whole = np.ones(len(held), bool)
+        for coded, ids, counts, size, spelled in (
+                ([e.ids for e in self.a.encode_batch_fast(held, add_special_tokens=False)],
+                 self.ids_a, self.count_a, self.size_a, self.bytes_a),
+                (self.b.encode([s[1:] for s in held], num_threads=1), self.ids_b, self.count_b, self.size_b, self.bytes_b)):
+            flat, count = list(chain.from_iterable(coded)), list(map(len, coded))
+            byte_size = np.bincount(np.repeat(np.arange(len(held)), count), weights=size[flat], minlength=len(held))
+            if (byte_size != raw_size).any() or b"".join(map(spelled.__getitem__, flat)) != raw:
+                whole &= [b"".join(map(spelled.__getitem__, x)) == r for x, r in zip(coded, raws)]
+            ids.extend(flat)
+            counts.extend(count)
+        self.place.update(zip(held, range(len(self.whole), len(self.whole) + len(held))))
+        self.whole.frombytes(whole.astype(np.int8).tobytes())
+        self.chars += sum(map(len, held))
+
+
+def stretches(text: str) -> list[str]:
+    """``text``, which starts with a space, cut at every space that both tokenizers start a token at."""
+    parts = text.split(" ")[1:]
+    if not _BLANK.search(text):
+        return [" " + p for p in parts]
+    out = []
+    for i, p in enumerate(parts):
+        if i and parts[i - 1] and p and not p[0].isspace():
+            out.append(" " + p)
+        elif out:
+            out[-1] += " " + p
+        else:
+            out.append(" " + p)
+    return out
+
+
+def _gathered(ids: array, counts: array, place: np.ndarray, text: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """The remembered ids at the places, in order, and how many each text has."""
+    count = np.array(counts, np.int64)
+    first = np.cumsum(count) - count
+    size = count[place]
+    at = np.repeat(first[place] - (np.cumsum(size) - size), size) + np.arange(int(size.sum()))
+    return np.array(ids, np.int32)[at], np.bincount(text, weights=size, minlength=n).astype(np.int64)
 
 
 def _byte_characters() -> dict[str, int]:
@@ -149,10 +195,9 @@ def lockstep(ends_a: np.ndarray, ends_b: np.ndarray, first_a: np.ndarray, first_
 class Merged:
     """A batch of encoded documents, linked and cut."""
 
-    def __init__(self, coded: list[tuple[np.ndarray, np.ndarray]], tokenizers: Tokenizers):
-        self.n = len(coded)
-        self.n_a, self.n_b = (np.array([len(x[k]) for x in coded], np.int64) for k in (0, 1))
-        self.a, self.b = (np.concatenate([x[k] for x in coded]) if coded else np.empty(0, np.int32) for k in (0, 1))
+    def __init__(self, texts: list[str], tokenizers: Tokenizers):
+        self.n = len(texts)
+        self.a, self.b, self.n_a, self.n_b = tokenizers.encode(texts)
         ends_a, ends_b = np.cumsum(tokenizers.size_a[self.a]), np.cumsum(tokenizers.size_b[self.b])
         last = np.cumsum(self.n_a)
         lanes = -(-self.n_a // LANE)
@@ -207,6 +252,16 @@ def _wide(raw: bytes, n: int) -> np.ndarray:
         if n else np.empty(0, np.int64)
 
 
+def _loaded(a: bytes, b: bytes) -> Tokenizers:
+    """The tokenizers of this Python worker: loaded once, used by all its tasks."""
+    kept = sys.__dict__.setdefault("_crosswalk_tokenizers", {})
+    name = hashlib.sha256(a).digest() + hashlib.sha256(b).digest()
+    if name not in kept:
+        kept.clear()
+        kept[name] = Tokenizers(a, b)
+    return kept[name]
+
+
 def _file_bytes(df: DataFrame, path: str) -> bytes:
     """A tokenizer's file: a few MB, fixed by its vocabulary. A path without a scheme is read by the driver alone."""
     if "://" not in path:
@@ -240,9 +295,8 @@ def link_documents(df: DataFrame, key: str = "doc_id", text: str = "text", a_fil
         T.StructField("pairs", T.ArrayType(T.LongType())), T.StructField("docs", T.ArrayType(T.LongType()))])
 
     def run(batches):
-        tokenizers = Tokenizers(a, b)
-        spell_a = np.array([f"{i}{s}" for i in range(len(tokenizers.bytes_a)) for s in ",|"], object)
-        spell_b = np.array([f"{i}{s}" for i in range(len(tokenizers.bytes_b)) for s in ",;"], object)
+        tokenizers = _loaded(a, b)
+        spell_a, spell_b = tokenizers.spell_a, tokenizers.spell_b
         name = TaskContext.get().partitionId() << 32
         for batch in batches:
             size = pc.fill_null(pc.utf8_length(batch.column(1)), 0).to_numpy(zero_copy_only=False)
@@ -251,7 +305,7 @@ def link_documents(df: DataFrame, key: str = "doc_id", text: str = "text", a_fil
                 n = max(1, int(np.searchsorted(np.cumsum(size[at:]), BATCH_CHARS, side="right")))
                 part = batch.slice(at, n)
                 at += n
-                m = Merged(tokenizers.encode(part.column(1).to_pylist()), tokenizers)
+                m = Merged(part.column(1).to_pylist(), tokenizers)
                 groups = m.groups(spell_a, spell_b)
                 distinct, docs, place, times, per_doc = m.pairs()
                 edge = np.cumsum(per_doc)
