@@ -199,3 +199,11 @@ def test_custom_sql_rule_and_bad_sql(spark):
     by = {r["rule_name"]: r for r in rep.results}
     assert by["positive_qty"]["failed_count"] == 1
     assert not by["broken"]["passed"] and by["broken"]["details"]
+
+
+def test_a_predicate_that_raises_fails_alone(spark):
+    df = spark.createDataFrame([("1", 5), ("x", -1)], "a string, b int")
+    report = (X.Expectations("t").expect("number", "CAST(a AS INT) > 0").expect_column_min("b", 0).expect("short", "length(a) < 2")).run(df)
+    got = {r["rule_name"]: (r["passed"], r["failed_count"], r["details"]) for r in report.results}
+    assert got["number"][:2] == (False, 0) and "CAST_INVALID_INPUT" in got["number"][2]
+    assert got["short"][:2] == (True, 0) and [v[:2] for k, v in got.items() if k.startswith("min_value")] == [(False, 1)]

@@ -208,3 +208,28 @@ def test_dropped_rows_go_to_quarantine(spark, tmp_root):
     assert [r.transaction_id for r in rows] == ["TXN-8"]
     assert rows[0]._failed_expectations == ["non_negative_net_amount"]
     assert not os.path.exists(ctx.path("quarantine", "silver.dim_store"))   # nothing dropped there
+
+
+def test_a_failed_step_is_logged_with_those_before_it(spark, tmp_root):
+    landing = write_landing(os.path.join(tmp_root, "landing"))
+    with open(os.path.join(landing, "products", "products_20240102.csv"), "w") as fh:
+        fh.write("product_id,product_name\nPRD-9,Half a header\n")   # required columns are gone
+    ctx = L.RunContext(spark, landing, os.path.join(tmp_root, "lake"), run_id="r1", as_of=AS_OF)
+    with pytest.raises(RuntimeError, match="products"):
+        L.run_layers(ctx, halt=False)
+    runs = spark.read.parquet(f"{ctx.lake_root}/{runlog.PIPELINE_RUNS}").collect()
+    got = {r.source: (r.status, r.rows_written) for r in runs}
+    assert got == {"sales": ("success", 5), "customers": ("success", 3), "products": ("failed", None)}
+    assert "unit_price" in next(r.error for r in runs if r.source == "products")
+
+
+def test_only_empty_input_counts_as_no_violations(spark):
+    from pyspark.sql import Observation
+    none = spark.range(10).where("id > 100").join(spark.range(5), "id")
+    obs = Observation("t_none")
+    none.observe(obs, F.count(F.lit(1)).alias("rows")).join(spark.range(3), "id").collect()
+    assert L._metrics(obs, none.isEmpty) == {} and L._rows(obs, none.count) == 0
+    lost = Observation("t_lost")
+    none.observe(lost, F.count(F.lit(1)).alias("rows")).join(spark.range(3), "id").collect()
+    with pytest.raises(RuntimeError, match="no metrics"):
+        L._metrics(lost, lambda: False)

@@ -8,9 +8,11 @@ roll-ups read the stored table, not a rebuilt join.
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -43,6 +45,7 @@ class RunContext:
     policy_results: list = field(default_factory=list)   # (table, policy, name, violations)
     referential_checks: bool = False   # fact keys vs current dimensions (WARNING), as specified for Silver
     customer_sketches: bool = False    # HLL customer sketch in the daily table; monthly approx distinct
+    records: list = field(default_factory=list)          # run records of all steps so far, failed ones too
 
     def path(self, layer: str, name: str) -> str:
         return f"{self.lake_root.rstrip('/')}/{layer}/{name}"
@@ -70,10 +73,7 @@ def _policed(ctx: RunContext, table: str, df: DataFrame):
     kept, obs = apply_row_policies(df, policies, f"policies_{table}_{ctx.run_id}")
 
     def finish() -> None:
-        try:
-            metrics = obs.get
-        except Exception:  # the input was empty and pruned by AQE: no violations
-            metrics = {}
+        metrics = _metrics(obs, lambda: df.isEmpty())
         for policy, name, _ in policies:
             ctx.policy_results.append((table, policy, name, int(metrics.get(name, 0))))
         dropping = {name: sql for policy, name, sql in policies if policy == "drop" and metrics.get(name, 0)}
@@ -85,18 +85,43 @@ def _policed(ctx: RunContext, table: str, df: DataFrame):
     return kept, finish
 
 
-def _rows(obs: Observation, fallback: DataFrame | None = None) -> int:
-    """Observed row count of a finished action.
+def _metrics(obs: Observation, nothing: Callable[[], bool]) -> dict:
+    """Observed metrics of a finished action; {} where there was nothing to observe.
 
-    When a stage turns out empty at run time, AQE replaces that part of the
-    plan by an empty relation and its observed metrics are not reported. For
-    an observed write that means nothing was written (0); an observed input
-    upstream of an empty join is counted once instead (rare: a replay).
+    When a stage turns out empty at run time, AQE replaces that part of the plan by
+    an empty relation and its metrics are not reported. Only that case counts as
+    no rows, and ``nothing`` has to confirm it; any other error is raised.
     """
+    try:
+        return obs.get
+    except Py4JJavaError as exc:
+        if nothing():
+            return {}
+        raise RuntimeError("no metrics were reported for rows that are there") from exc
+
+
+def _rows(obs: Observation, count: Callable[[], int]) -> int:
+    """Observed row count of a finished action; counted by ``count`` where it was not reported."""
     try:
         return int(obs.get["rows"])
-    except Exception:
-        return int(fallback.count()) if fallback is not None else 0
+    except Py4JJavaError:
+        return int(count())
+
+
+def _step(ctx: RunContext, layer: str, name: str, work: Callable[[], tuple]) -> dict:
+    """Run one step; its record is kept whether it succeeds or fails.
+
+    ``work`` returns (rows read, rows written, drift messages).
+    """
+    started = runlog.utc_now()
+    try:
+        read, written, drift = work()
+    except Exception as exc:
+        ctx.records.append(runlog.run_record(ctx.run_id, layer, name, "failed", started, error=str(exc)[:2000]))
+        raise
+    record = runlog.run_record(ctx.run_id, layer, name, "success", started, read, written, drift)
+    ctx.records.append(record)
+    return record
 
 
 # ---------------------------------------------------------------- bronze
@@ -109,44 +134,51 @@ def ingest_source(ctx: RunContext, spec: SourceSpec) -> dict:
     read only where rows of those files may be there already (an interrupted run,
     a file delivered again, a table older than its ledger).
     """
-    started = runlog.utc_now()
     path = f"{ctx.landing_root.rstrip('/')}/{spec.subpath}"
     try:
-        ledger = FileLedger(ctx.spark, ctx.lake_root, spec.name)
-        listed = landing_files(ctx.spark, path)
-        pending = ledger.pending(listed).collect()   # one row per file to be read
-        if not pending:
-            if listed.isEmpty():
-                raise FileNotFoundError(f"no landing files under {path}")
-            return runlog.run_record(ctx.run_id, "bronze", spec.name, "success", started, 0, 0, [])
-        files = ctx.spark.createDataFrame(
-            pending, "path string, file string, length long, modified timestamp, seen boolean")
-        target_root = ctx.path("bronze", spec.name)
-        fresh = not ledger.noted().isEmpty() and not any(r["seen"] for r in pending)
-        raw, drift = read_files(ctx.spark, sorted(r["path"] for r in pending), spec.file_format, spec.contract, spec.name)
-        if spec.contract:
-            raw = conform_to_contract(raw, spec.contract)
-        directory = ctx.source_file == "directory"
-        sf = F.lit(path) if directory else F.col("_source_file")
-        plain = add_lineage(raw, spec.name, ctx.run_id, ctx.as_of, source_file=sf)
-        enriched, read_obs = _observed(plain, f"read_{spec.name}_{ctx.run_id}")
-        enriched, finish = _policed(ctx, f"bronze.{spec.name}", enriched)
-        target = None if fresh and not directory else tables.read_appended(ctx.spark, target_root)
-        if target is not None:
-            target = (target.where(F.col("_source_file") == F.lit(path)) if directory
-                      else target.join(files.select(F.col("file").alias("_source_file")), "_source_file", "left_semi"))
-        new_rows = rows_to_insert(target, enriched, [spec.primary_key, "_source_file"])
-        new_rows, write_obs = _observed(new_rows, f"write_{spec.name}_{ctx.run_id}")
-        ledger.note(files, ctx.run_id, "reading")
-        tables.append(new_rows, target_root, spec.partition_cols)
-        finish()
-        ledger.note(files, ctx.run_id, "done")
-        return runlog.run_record(ctx.run_id, "bronze", spec.name, "success", started,
-                                 _rows(read_obs, plain), _rows(write_obs), drift)
+        return _step(ctx, "bronze", spec.name, lambda: _ingest(ctx, spec, path))
     except Exception as exc:
         raise RuntimeError(f"Bronze ingestion failed for source '{spec.name}': {exc}") from exc
 
 
+def _ingest(ctx: RunContext, spec: SourceSpec, path: str) -> tuple:
+    ledger = FileLedger(ctx.spark, ctx.lake_root, spec.name)
+    listed = landing_files(ctx.spark, path)
+    pending = ledger.pending(listed).collect()   # one row per file to be read
+    if not pending:
+        if listed.isEmpty():
+            raise FileNotFoundError(f"no landing files under {path}")
+        return 0, 0, []
+    files = ctx.spark.createDataFrame(
+        pending, "path string, file string, length long, modified timestamp, seen boolean")
+    target_root = ctx.path("bronze", spec.name)
+    fresh = not ledger.noted().isEmpty() and not any(r["seen"] for r in pending)
+    raw, drift = read_files(ctx.spark, sorted(r["path"] for r in pending), spec.file_format, spec.contract, spec.name)
+    if spec.contract:
+        raw = conform_to_contract(raw, spec.contract)
+    directory = ctx.source_file == "directory"
+    sf = F.lit(path) if directory else F.col("_source_file")
+    plain = add_lineage(raw, spec.name, ctx.run_id, ctx.as_of, source_file=sf)
+    enriched, read_obs = _observed(plain, f"read_{spec.name}_{ctx.run_id}")
+    enriched, finish = _policed(ctx, f"bronze.{spec.name}", enriched)
+    target = None if fresh and not directory else tables.read_appended(ctx.spark, target_root)
+    if target is not None:
+        target = (target.where(F.col("_source_file") == F.lit(path)) if directory
+                  else target.join(files.select(F.col("file").alias("_source_file")), "_source_file", "left_semi"))
+    new_rows = rows_to_insert(target, enriched, [spec.primary_key, "_source_file"])
+    new_rows, write_obs = _observed(new_rows, f"write_{spec.name}_{ctx.run_id}")
+    ledger.note(files, ctx.run_id, "reading")
+    tables.append(new_rows, target_root, spec.partition_cols)
+    finish()
+    ledger.note(files, ctx.run_id, "done")
+
+    def written() -> int:
+        now = tables.read_appended(ctx.spark, target_root)
+        return 0 if now is None else now.where(F.col("_batch_id") == ctx.run_id).count()
+
+    return _rows(read_obs, plain.count), _rows(write_obs, written), drift
+
+
 def run_bronze(ctx: RunContext, sources: dict[str, SourceSpec] = SOURCES) -> list[dict]:
     """All sources in order; the first failure aborts."""
     return [ingest_source(ctx, spec) for spec in sources.values()]
@@ -163,12 +195,14 @@ def bronze_table(ctx: RunContext, name: str) -> DataFrame:
 
 
 def _write(ctx: RunContext, layer: str, name: str, df: DataFrame, partition_by=()) -> dict:
-    started = runlog.utc_now()
-    df, finish = _policed(ctx, f"{layer}.{name}", df)
-    df, obs = _observed(df, f"{layer}_{name}_{ctx.run_id}")
-    tables.write_snapshot(df, ctx.path(layer, name), ctx.run_id, partition_by)
-    finish()
-    return runlog.run_record(ctx.run_id, layer, name, "success", started, None, _rows(obs))
+    def work() -> tuple:
+        kept, finish = _policed(ctx, f"{layer}.{name}", df)
+        kept, obs = _observed(kept, f"{layer}_{name}_{ctx.run_id}")
+        path = tables.write_snapshot(kept, ctx.path(layer, name), ctx.run_id, partition_by)
+        finish()
+        return None, _rows(obs, lambda: ctx.spark.read.schema(kept.schema).parquet(path).count()), []
+
+    return _step(ctx, layer, name, work)
 
 
 VERSIONED = ("dim_customer", "dim_product")
@@ -190,15 +224,17 @@ def run_silver(ctx: RunContext, effective: str | dt.date | None = None) -> list[
     spark, eff = ctx.spark, effective or ctx.as_of.date()
 
     def merged(name, src, key, tracked, build):
-        # only the current part is read and rewritten; closed history stays put
-        current = tables.read_current_versions(spark, ctx.path("silver", name), before=ctx.run_id)
-        incoming, finish = _policed(ctx, f"silver.{name}", build(bronze_table(ctx, src)))
-        versions = scd2_merge_current(current, incoming, key, tracked, eff)
-        started = runlog.utc_now()
-        versions, obs = _observed(versions, f"silver_{name}_{ctx.run_id}")
-        tables.write_versions_run(versions, ctx.path("silver", name), ctx.run_id)
-        finish()
-        return runlog.run_record(ctx.run_id, "silver", name, "success", started, None, _rows(obs))
+        def work() -> tuple:
+            # only the current part is read and rewritten; closed history stays put
+            current = tables.read_current_versions(spark, ctx.path("silver", name), before=ctx.run_id)
+            incoming, finish = _policed(ctx, f"silver.{name}", build(bronze_table(ctx, src)))
+            versions = scd2_merge_current(current, incoming, key, tracked, eff)
+            versions, obs = _observed(versions, f"silver_{name}_{ctx.run_id}")
+            path = tables.write_versions_run(versions, ctx.path("silver", name), ctx.run_id)
+            finish()
+            return None, _rows(obs, lambda: spark.read.schema(versions.schema).parquet(path).count()), []
+
+        return _step(ctx, "silver", name, work)
 
     return _parallel(
         lambda: _write(ctx, "silver", "dim_date", silver.build_dim_date(spark, ctx.calendar_start, ctx.calendar_end)),
@@ -304,10 +340,10 @@ def run_layers(ctx: RunContext, layers=("bronze", "silver", "gold"), halt: bool
     behaviour); ``halt=False`` logs it and goes on (what the reference did, Q14).
     """
     steps = {"bronze": run_bronze, "silver": run_silver, "gold": run_gold}
-    records: list[dict] = []
+    earlier = len(ctx.records)
     try:
         for layer in layers:
-            records += steps[layer](ctx)
+            steps[layer](ctx)
             for report in check_layer(ctx, layer):
                 try:
                     assert_no_critical(report)
@@ -315,6 +351,7 @@ def run_layers(ctx: RunContext, layers=("bronze", "silver", "gold"), halt: bool
                     if halt:
                         raise
     finally:
+        records = ctx.records[earlier:]   # a failed step is logged like any other
         if records:
             runlog.append_runs(ctx.spark, ctx.lake_root, records)
     return records
