@@ -5,8 +5,10 @@ sketch of every measure, that is, row counts per value bucket. Buckets are
 exact below 64 and at most 1/32 wide above, so a quantile read from a sketch is
 within 1/32 of the true one; merging is addition, so partial sketches combine
 before the shuffle, in any order, with one result. Thresholds are fences above
-and below the quartiles of a group; they replace fixed cutoffs and move with
-the language and the source. The thresholds are joined back and filter the rows.
+and below the quartiles of a group: as far out as a multiple of the quartiles'
+distance, or as what a few occurrences more are in the group's median text, by
+the sketches of the lengths. They replace fixed cutoffs and move with the
+language and the source. The thresholds are joined back and filter the rows.
 """
 
 from __future__ import annotations
@@ -22,17 +24,18 @@ WINDOW = 5            # words per window of the repeat measure
 MIN_WORDS = 10
 MAX_REPEAT_PERCENT = 20
 
-# measure -> (least distance of the upper fence from the third quartile,
-# least distance of the lower fence from the first; None: no lower fence).
-# Values are thousandths. A group whose texts are all alike still allows these.
+# measure -> (occurrences, the length they are counted over, lower fence too). Where the texts
+# of a group are alike in a measure (no symbols, no repeated lines), its quartiles say nothing
+# about spread; then the fence leaves room for so many occurrences in the group's median text.
 MEASURES = {
-    "symbol_rate": (250, None),      # symbols per word
-    "dup_line_rate": (500, None),    # repeated lines per line with a word
-    "upper_rate": (250, None),       # upper-case letters per character of words
-    "mark_rate": (500, None),        # exclamation marks per word
-    "mean_word": (6000, 2500),       # characters per word
+    "symbol_rate": (40, "n_words", False),      # symbols per 1000 words
+    "dup_line_rate": (10, "n_lines", False),    # repeated lines per 1000 lines with a word
+    "upper_rate": (200, "word_chars", False),   # upper-case letters per 1000 characters of words
+    "mark_rate": (40, "n_words", False),        # exclamation marks per 1000 words
+    "mean_word": (1500, "n_words", True),       # thousandths of a character per word
 }
-FENCE = 4  # interquartile ranges beyond the quartiles
+LENGTHS = ("n_words", "n_lines", "word_chars")
+FENCE = 6  # interquartile ranges beyond the quartiles
 
 
 def _length_of(text: Column, others: str) -> Column:
@@ -41,7 +44,7 @@ def _length_of(text: Column, others: str) -> Column:
 
 
 def text_measures(df: DataFrame, text: str = "text", prefix: str = "") -> DataFrame:
-    """Add n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words (long)
+    """Add n_words, n_lines, word_chars, n_symbols, n_dup_lines, n_repeat_words (long)
     and the rates of ``MEASURES``. Null text counts as empty."""
     t = F.coalesce(F.col(text), F.lit(""))
     w, li, g = spare(df, "w"), spare(df, "lines"), spare(df, "grams")
@@ -77,17 +80,17 @@ def text_measures(df: DataFrame, text: str = "text", prefix: str = "") -> DataFr
         p("n_symbols"): _length_of(t, f"[^{SYMBOLS}]+"),
         p("n_dup_lines"): (F.size(li) - F.size(F.array_distinct(li))).cast("long"),
         p("n_repeat_words"): F.coalesce(covered, F.lit(0)).cast("long"),
-        p("_n_lines"): F.size(li).cast("long"),
+        p("n_lines"): F.size(li).cast("long"),
         p("_n_upper"): _length_of(t, r"[^\p{Lu}]+"),
         p("_n_marks"): _length_of(t, "[^!]+"),
     })
     rate = lambda a, b: F.floor(F.lit(1000) * F.col(p(a)) / F.greatest(F.col(p(b)), F.lit(1))).cast("long")
     df = df.withColumns({
-        p("symbol_rate"): rate("n_symbols", "n_words"), p("dup_line_rate"): rate("n_dup_lines", "_n_lines"),
+        p("symbol_rate"): rate("n_symbols", "n_words"), p("dup_line_rate"): rate("n_dup_lines", "n_lines"),
         p("upper_rate"): rate("_n_upper", "word_chars"), p("mark_rate"): rate("_n_marks", "n_words"),
         p("mean_word"): rate("word_chars", "n_words"),
     })
-    return df.drop(w, li, g, p("_placed"), p("_hits"), p("_n_lines"), p("_n_upper"), p("_n_marks"))
+    return df.drop(w, li, g, p("_placed"), p("_hits"), p("_n_upper"), p("_n_marks"))
 
 
 def base_failed(prefix: str = "") -> Column:
@@ -109,24 +112,24 @@ def sketch(df: DataFrame, groups: list[str], measures: list[str]) -> DataFrame:
 
 
 def quartiles(sketched: DataFrame, groups: list[str]) -> DataFrame:
-    """(groups, measure, q1, q3): least bucket that holds a quarter, three quarters."""
+    """(groups, measure, q1, q2, q3): least bucket that holds one, two, three quarters."""
     over = Window.partitionBy(*groups, "measure").orderBy("value")
     whole = Window.partitionBy(*groups, "measure")
     ranked = sketched.withColumn("upto", F.sum("rows").over(over)).withColumn("all", F.sum("rows").over(whole))
-    return ranked.groupBy(*groups, "measure").agg(
-        F.min(F.when(4 * F.col("upto") >= F.col("all"), F.col("value"))).alias("q1"),
-        F.min(F.when(4 * F.col("upto") >= 3 * F.col("all"), F.col("value"))).alias("q3"))
+    return ranked.groupBy(*groups, "measure").agg(*[
+        F.min(F.when(4 * F.col("upto") >= k * F.col("all"), F.col("value"))).alias(f"q{k}") for k in (1, 2, 3)])
 
 
 def thresholds(quart: DataFrame, groups: list[str]) -> DataFrame:
     """One row per group: <measure>_hi and <measure>_lo."""
-    spread = F.col("q3") - F.col("q1")
+    at = lambda m, q: F.max(F.when(F.col("measure") == m, F.col(q)))
     out = []
-    for m, (up, down) in MEASURES.items():
-        here = F.col("measure") == m
-        out.append(F.max(F.when(here, F.col("q3") + F.greatest(FENCE * spread, F.lit(up)))).alias(f"{m}_hi"))
-        if down is not None:
-            out.append(F.min(F.when(here, F.col("q1") - F.greatest(FENCE * spread, F.lit(down)))).alias(f"{m}_lo"))
+    for m, (occurrences, length, below) in MEASURES.items():
+        room = F.greatest(FENCE * (at(m, "q3") - at(m, "q1")),
+                          F.floor(F.lit(1000 * occurrences) / F.greatest(at(length, "q2"), F.lit(1))).cast("long"))
+        out.append((at(m, "q3") + room).alias(f"{m}_hi"))
+        if below:
+            out.append((at(m, "q1") - room).alias(f"{m}_lo"))
     return quart.groupBy(*groups).agg(*out)
 
 
@@ -150,16 +153,17 @@ def judge(docs: DataFrame, text: str = "text", lang: str = "lang", source: str =
     measured = stored(measured.withColumn(p("base_failed"), base_failed(prefix)), "quality-measures")
     g = [p("_lang"), p("_source")]
     grouped = measured.where(~F.col(p("base_failed"))).select(
-        F.col(lang).alias(g[0]), F.col(source).alias(g[1]), *[F.col(p(m)).alias(m) for m in MEASURES])
-    limits = stored(thresholds(quartiles(sketch(grouped, g, [(m, m) for m in MEASURES]), g), g), "quality-thresholds")
+        F.col(lang).alias(g[0]), F.col(source).alias(g[1]), *[F.col(p(m)).alias(m) for m in (*MEASURES, *LENGTHS)])
+    sketched = sketch(grouped, g, [(m, m) for m in (*MEASURES, *LENGTHS)])
+    limits = stored(thresholds(quartiles(sketched, g), g), "quality-thresholds")
     limits = limits.select(*g, *[F.col(c).alias(p("_" + c)) for c in limits.columns if c not in g])
     if limits.count() <= broadcast_rows:  # checked size: two names and six longs a row
         limits = F.broadcast(limits)
     joined = measured.join(limits, F.col(lang).eqNullSafe(F.col(g[0])) & F.col(source).eqNullSafe(F.col(g[1])), "left")
     fine = ~F.col(p("base_failed"))
-    for m, (_, down) in MEASURES.items():
+    for m, (_, _, below) in MEASURES.items():
         fine = fine & (F.col(p(m)) <= F.col(p(f"_{m}_hi")))
-        if down is not None:
+        if below:
             fine = fine & (F.col(p(m)) >= F.col(p(f"_{m}_lo")))
     out = joined.withColumn(p("kept"), F.coalesce(fine, F.lit(False)))
     return out.drop(*[c for c in limits.columns])

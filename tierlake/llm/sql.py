@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tierlake.llm.quality import FENCE, MEASURES, MIN_WORDS, MAX_REPEAT_PERCENT, WINDOW
+from tierlake.llm.quality import FENCE, LENGTHS, MEASURES, MIN_WORDS, MAX_REPEAT_PERCENT, WINDOW
 from tierlake.llm.revisits import VISIT_PARAMS
 
 _SPACE = r"[\x20\x09-\x0D]+"
@@ -31,7 +31,7 @@ def quality_measures(docs: str) -> str:
                coalesce(cov.n_repeat_words, 0)::BIGINT AS n_repeat_words
              FROM {docs} d JOIN w USING (rid) LEFT JOIN cov USING (rid)),
     measured AS (SELECT *, (len(li) - len(list_distinct(li)))::BIGINT AS n_dup_lines,
-               (n_words < {MIN_WORDS} OR 100 * n_repeat_words > {MAX_REPEAT_PERCENT} * n_words) AS base_failed,
+               (n_words < {MIN_WORDS} OR 100 * n_repeat_words > {MAX_REPEAT_PERCENT} * n_words) AS base_failed, len(li)::BIGINT AS n_lines,
                (1000 * n_symbols) // greatest(n_words, 1) AS symbol_rate,
                (1000 * (len(li) - len(list_distinct(li)))) // greatest(len(li), 1) AS dup_line_rate,
                (1000 * n_upper) // greatest(word_chars, 1) AS upper_rate,
@@ -43,13 +43,16 @@ def quality_verdict() -> str:
     """CTEs from ``measured`` on; ends with ``judged``."""
     stacked = " UNION ALL ".join(
         f"SELECT lang, source, '{m}' AS measure, {_bucket(m)} AS value FROM measured WHERE NOT base_failed"
-        for m in MEASURES)
+        for m in (*MEASURES, *LENGTHS))
     limits, tests = [], []
-    for m, (up, down) in MEASURES.items():
-        limits.append(f"max(CASE WHEN measure = '{m}' THEN q3 + greatest({FENCE} * (q3 - q1), {up}) END) AS {m}_hi")
+    at = lambda m, q: f"max(CASE WHEN measure = '{m}' THEN {q} END)"
+    for m, (occurrences, length, below) in MEASURES.items():
+        room = (f"greatest({FENCE} * ({at(m, 'q3')} - {at(m, 'q1')}), "
+                f"{1000 * occurrences} // greatest({at(length, 'q2')}, 1))")
+        limits.append(f"{at(m, 'q3')} + {room} AS {m}_hi")
         tests.append(f"{m} <= {m}_hi")
-        if down is not None:
-            limits.append(f"min(CASE WHEN measure = '{m}' THEN q1 - greatest({FENCE} * (q3 - q1), {down}) END) AS {m}_lo")
+        if below:
+            limits.append(f"{at(m, 'q1')} - {room} AS {m}_lo")
             tests.append(f"{m} >= {m}_lo")
     return f"""
     stacked AS ({stacked}),
@@ -57,6 +60,7 @@ def quality_verdict() -> str:
     ranked AS (SELECT *, sum(n) OVER (PARTITION BY lang, source, measure ORDER BY value) AS upto,
                       sum(n) OVER (PARTITION BY lang, source, measure) AS total FROM counted),
     quart AS (SELECT lang, source, measure, min(CASE WHEN 4 * upto >= total THEN value END) AS q1,
+                     min(CASE WHEN 4 * upto >= 2 * total THEN value END) AS q2,
                      min(CASE WHEN 4 * upto >= 3 * total THEN value END) AS q3 FROM ranked GROUP BY ALL),
     limits AS (SELECT lang, source, {', '.join(limits)} FROM quart GROUP BY ALL),
     judged AS (SELECT m.*, coalesce(NOT base_failed AND {' AND '.join(tests)}, FALSE) AS kept
@@ -150,7 +154,8 @@ p AS (SELECT conv_id, s, d, s[:d] AS prefix FROM (SELECT conv_id, s, unnest(rang
 node AS (SELECT d, prefix, min(conv_id) AS conv_id, count(*) AS n_convs,
     sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (len(s) = d), '')) AS ends_sha256,
     bool_and(len(s) = d) AS leaf,
-    (count(*) - 1) * CASE WHEN d > 0 THEN len(regexp_extract_all(any_value(s[d].t), '[^ 	-]+')) ELSE 0 END AS saved
+    (count(*) - 1) * CASE WHEN d > 0 THEN len(regexp_extract_all(any_value(s[d].t), '[^ 	-
+]+')) ELSE 0 END AS saved
     FROM p GROUP BY d, prefix),
 up AS (SELECT DISTINCT a.d AS ad, a.prefix AS ap, b.d, b.prefix FROM node b, unnest(range(0, b.d + 1)) AS r(k)
        JOIN node a ON a.d = k AND a.prefix = b.prefix[:k]),
