@@ -125,6 +125,12 @@ def test_simhash_of_odd_and_empty_tables(odd, empty):
     assert simhash.keep_one_per_component(empty).count() == 0
 
 
+def test_a_key_with_two_texts_keeps_only_what_nothing_repeats(spark):
+    a, b = "one two three four five six", "quite another text of seven words here"
+    out = simhash.keep_one_per_component(table(spark, [a, a, b, b], [3, 5, 5, 9])).collect()
+    assert sorted((r.doc_id, r.text) for r in out) == [(3, a), (5, b)]
+
+
 # ---------------------------------------------------------------- reply trees
 
 def test_paths_equal_brute_force(spark):

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -23,7 +25,36 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     """
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out._scratch = path
+    return out
+
+
+def stored_by(df: DataFrame, name: str, key: str) -> DataFrame:
+    """Like ``stored``, dealt by ``key`` once: joins on it move only the other side.
+
+    The files are a bucketed table, as many buckets as shuffle partitions.
+    """
+    spark = df.sparkSession
+    path, buckets = scratch_path(spark, name), int(spark.conf.get("spark.sql.shuffle.partitions"))
+    held = f"scratch_{uuid.uuid4().hex}"
+    df.repartition(buckets, key).write.bucketBy(buckets, key).option("path", path).saveAsTable(held)
+    out = spark.table(held)
+    out._scratch, out._table = path, held
+    return out
+
+
+def drop_stored(*frames: DataFrame) -> None:
+    """Delete scratch tables that nothing reads any more: all that came from them is stored itself."""
+    for df in frames:
+        path = getattr(df, "_scratch", None)
+        if path is None:
+            continue
+        if getattr(df, "_table", None):
+            df.sparkSession.sql(f"DROP TABLE IF EXISTS {df._table}")
+        jvm = df.sparkSession.sparkContext._jvm
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(df.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
 
 # Bounds of one batch sent to a Python worker. Texts may be long and an executor

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tierlake.llm.common import bounded_batches, connected_components, spare, stored
+from tierlake.llm.common import bounded_batches, connected_components, drop_stored, spare, stored
 
 SEED = 42  # fixed value of the fingerprint contract
 
@@ -309,6 +309,11 @@ def simhash_components(docs: DataFrame, key: str = "doc_id", text: str = "text",
     then component_id is null. Repeated rows stay repeated. An empty table
     gives an empty result. Columns other than the two named are not read.
     """
+    return _components(docs, key, text, shingle, max_bits)[0]
+
+
+def _components(docs: DataFrame, key: str, text: str, shingle: int, max_bits: int) -> tuple[DataFrame, list[DataFrame]]:
+    """The classes of all rows, and the scratch tables that they are read from."""
     own = stored(fingerprints(docs.select(F.col(key).alias("k"), F.col(text).alias("t")), "t", shingle)
                  .select("k", "fp"), "simhash-fp")
     distinct = stored(own.groupBy("fp").agg(F.min("k").alias("least")), "simhash-distinct")
@@ -318,20 +323,33 @@ def simhash_components(docs: DataFrame, key: str = "doc_id", text: str = "text",
     least = named.groupBy("component").agg(F.min("least").alias("component_id"))
     labels = named.join(least, "component").select("fp", "component_id")
     return own.join(labels, "fp").select(
-        F.col("k").alias(key), F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+        F.col("k").alias(key), F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id"), [own, distinct]
 
 
 def keep_one_per_component(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = 3,
                            max_bits: int = 3) -> DataFrame:
-    """The rows of ``docs`` whose key is the smallest of their component.
+    """One row of each component: the one whose key is the smallest.
 
-    Rows repeating one (key, text) are reduced to one. A component without any
-    key keeps one row per fingerprint. All columns are returned.
+    Rows repeating one (key, text) are reduced to one. Where a key has several
+    texts, each is judged by its own component. A component without any key keeps
+    one row per fingerprint. All columns are returned.
     """
     fp = spare(docs, "fp")
-    comp = stored(simhash_components(docs, key, text, shingle, max_bits), "simhash-components")
-    chosen = comp.where(F.col(key) == F.col("component_id")).select(key)
-    out = docs.join(chosen.distinct(), key, "left_semi")
+    lazy, held = _components(docs, key, text, shingle, max_bits)
+    comp = stored(lazy, "simhash-components")
+    drop_stored(*held)
+    first = comp.where(F.col(key) == F.col("component_id"))
+    chosen = first.select(key)
+    several = comp.groupBy(key).agg(F.count_distinct("fingerprint").alias("n")).where("n > 1").select(key)
+    if several.isEmpty():
+        out = docs.join(chosen.distinct(), key, "left_semi")
+    else:   # the key alone does not tell which of its texts stays
+        apart = fingerprints(docs.join(several, key, "left_semi"), text, shingle, fp).withColumn(
+            fp, F.lpad(F.lower(F.hex(fp)), 16, "0"))
+        kept = first.select(F.col(key).alias("_k"), F.col("fingerprint").alias("_f"))
+        apart = apart.join(kept, (apart[key] == F.col("_k")) & (apart[fp] == F.col("_f")), "left_semi").drop(fp)
+        out = docs.join(several, key, "left_anti").join(chosen.distinct(), key, "left_semi").select(*docs.columns).union(
+            apart.select(*docs.columns))
     if not chosen.groupBy(key).count().where("count > 1").isEmpty():
         out = out.dropDuplicates([key, text])
     lone = comp.where(F.col("component_id").isNull()).select("fingerprint").distinct()
