@@ -81,3 +81,48 @@ def test_unused_dimensions_are_not_joined(spark):
     from tierlake import catalog
     plan = catalog.QUERIES["kpi_clv"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
     assert "supplier" not in plan and "part.parquet" not in plan and plan.count("Join ") == 1   # lines with their orders
+
+
+def test_rule_states_merge_to_the_direct_result(spark, tmp_root):
+    from tierlake.operators import expectations as X
+    from tierlake.operators.rule_states import evaluate_new, results_of, rule_state
+    rows = [(i % 40 if i % 9 else None, i % 7 - 1, "ab"[i % 2]) for i in range(300)]
+    df = spark.createDataFrame(rows, "a int, b int, c string")
+    chk = (X.Expectations("t").expect_no_nulls("a").expect_unique("a").expect_column_min("b", 0)
+           .expect_row_count_min(1000).expect_values_in_set("c", ["a"]))
+    want = {r.rule_name: r.failed_count for r in chk.results(df).collect()}
+    assert {r.rule_name: r.failed_count for r in results_of(rule_state(df, chk.rules), chk.rules).collect()} == want
+    parts = {str(k): df.where(f"coalesce(a, 0) % 3 = {k}") for k in range(3)}
+    evaluate_new(spark, tmp_root + "/s", {"0": parts["0"]}, chk.rules)
+    parts["0"] = df.where("raise_error('read again') IS NULL")   # a stored state is not evaluated again
+    got = {r.rule_name: r.failed_count for r in evaluate_new(spark, tmp_root + "/s", parts, chk.rules).collect()}
+    assert got == want
+    none = results_of(rule_state(df.where("false"), chk.rules), chk.rules).collect()
+    assert {r.rule_name: r.failed_count for r in none}["row_count_min:1000"] == 1000
+
+
+def test_a_stream_remembers_its_schemas(spark, tmp_root):
+    import pytest
+    from tierlake.sources.specs import SourceSpec
+    from tierlake.streaming.drifting import SchemaLog, read_drifting, start_drifting_stream
+    contract = {"required": ["id"], "properties": {"id": {"type": "string"}, "n": {"type": ["integer", "null"]}}}
+    spec = SourceSpec("s", "s", "csv", "id", (), contract)
+    land, out, log = (os.path.join(tmp_root, x) for x in ("in", "out", "schemas"))
+    os.makedirs(land)
+
+    def deliver(name, text):
+        with open(os.path.join(land, name), "w") as fh:
+            fh.write(text)
+        start_drifting_stream(spark, land, spec, out, log, f"{tmp_root}/cp").awaitTermination()
+
+    deliver("a.csv", "id,n\nx,1\n")
+    deliver("b.csv", "extra,id\nmore,y\n")        # an optional column gone, another one new
+    deliver("c.csv", "id,n,extra\nz,7q,\n")
+    rows = {r.id: (r.n, r.extra, r._rescued) for r in read_drifting(spark, out, log).collect()}
+    assert rows["x"] == (1, None, None) and rows["y"][:2] == (None, "more")
+    assert rows["z"][0] is None and tuple(rows["z"][2][0]) == ("n", "7q")
+    known = {r.version: r.ddl for r in SchemaLog(spark, log).versions().collect()}
+    assert sorted(known) == [1, 2] and "extra" not in known[1] and "extra" in known[2]
+    with pytest.raises(Exception, match="absent: id"):
+        deliver("d.csv", "n\n5\n")
+    assert read_drifting(spark, out, log).count() == 3
