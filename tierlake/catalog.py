@@ -834,7 +834,9 @@ def run_lake(spark: SparkSession, sf_dir: str) -> L.RunContext:
         return _LAKE_RUNS[key]
     root = scratch_path(spark, "lake")
     RV.write_landing(spark, sf_dir, f"{root}/landing")
-    ctx = L.RunContext(spark, f"{root}/landing", f"{root}/lake", as_of=_dt.datetime(2024, 1, 1, 6, 0),
+    last = RV.table(spark, sf_dir, "orders").agg(F.max("o_orderdate").alias("d")).first()["d"]   # one row
+    as_of = _dt.datetime(last.year, last.month, last.day, 6) + _dt.timedelta(days=1)   # the morning after the last sale
+    ctx = L.RunContext(spark, f"{root}/landing", f"{root}/lake", as_of=as_of,
                        calendar_start=LAKE_CALENDAR[0], calendar_end=LAKE_CALENDAR[1])
     L.run_layers(ctx, halt=False)
     _LAKE_RUNS[key] = ctx
@@ -1148,9 +1150,11 @@ def q_lake_run_log(spark, sf_dir):
     return runs.select("layer", "source", "status", "rows_read", "rows_written")
 
 
-@register("lake_freshness", "SELECT * FROM (VALUES " + ", ".join(
-    f"('gold.{t}', TIMESTAMP '2024-01-01 06:00:00')" for t in LAKE_TABLES["gold"]
-) + ") AS t(table_name, last_loaded_at)")
+_LOADED = "date_trunc('day', max(o_orderdate)) + INTERVAL 30 HOUR"
+
+
+@register("lake_freshness", "\nUNION ALL\n".join(
+    f"SELECT 'gold.{t}' AS table_name, CAST({_LOADED} AS TIMESTAMP) AS last_loaded_at FROM orders" for t in LAKE_TABLES["gold"]))
 def q_lake_freshness(spark, sf_dir):
     """Last load time per Gold table (K9)."""
     ctx = run_lake(spark, sf_dir)
@@ -1158,14 +1162,30 @@ def q_lake_freshness(spark, sf_dir):
     return out.withColumn("last_loaded_at", F.col("last_loaded_at").cast("timestamp_ntz"))
 
 
-@register("lake_failure_trend")
+def _lake_rules_sql() -> str:
+    """Rule results of a lake run: the rule sets over the driver's tables, sales without copies of a line."""
+    swap = {"sales": "fl_latest", "fact": "fact_lake", "obt": "obt_lake"}
+    daily = RULE_INPUTS["gold.agg_daily_sales"][3].replace("FROM obt\n", "FROM obt_lake\n")
+    ctes = dict.fromkeys(["fact_lake", "obt_lake", *(c for s in RULE_SETS for c in RULE_INPUTS[s][2] if c not in swap)])
+    sets = [f"SELECT '{s}' AS source, '{layer}' AS layer, * FROM ("
+            + O.rule_set_sql(swap.get(RULE_INPUTS[s][1], RULE_INPUTS[s][1]), rules) + ")"
+            for s, (layer, rules) in RULE_SETS.items()]
+    return O.with_ctes(*ctes, extra=daily).rstrip() + ", results AS (" + "\nUNION ALL\n".join(sets) + ")"
+
+
+@register("lake_failure_trend", _lake_rules_sql() + """
+SELECT (SELECT CAST(date_trunc('day', max(o_orderdate)) + INTERVAL 30 HOUR AS DATE) FROM orders) AS day, layer, count(*) AS rules, count_if(NOT passed) AS failed,
+       count_if(NOT passed) / count(*) AS failure_rate
+FROM results GROUP BY layer""")
 def q_lake_failure_trend(spark, sf_dir):
     """Failed-rule share per day and layer from the quality log."""
     ctx = run_lake(spark, sf_dir)
-    return K.failure_rate_trend(spark.read.parquet(f"{ctx.lake_root}/{R.QUALITY_LOG}"))
+    log = spark.read.parquet(f"{ctx.lake_root}/{R.QUALITY_LOG}")
+    return K.failure_rate_trend(log.where("description <> 'row policy'"))
 
 
-@register("lake_critical_failures")
+@register("lake_critical_failures", _lake_rules_sql() + """
+SELECT layer, source, rule_name, failed_count FROM results WHERE NOT passed AND severity = 'CRITICAL'""")
 def q_lake_critical(spark, sf_dir):
     """The CRITICAL failure feed of the quality log."""
     ctx = run_lake(spark, sf_dir)
