@@ -502,3 +502,43 @@ def test_pipeline_stages_take_odd_tables(spark, odd, empty):
 
 def test_words_ignore_case_and_marks():
     assert words("A b,C—d") == ["a", "b", "c", "d"] and words(None) == []
+
+
+def test_leaks_equal_all_pairs(spark):
+    """Every (document, item) with a 3-gram in common, aligned in full by the plain recurrence."""
+    rng = random.Random(12)
+    vocabulary = [f"w{i}" for i in range(500)]
+    items = [rng.choices(vocabulary, k=rng.randint(3, 40)) for _ in range(25)]
+    docs = []
+    for _ in range(60):
+        body = rng.choices(vocabulary, k=rng.randint(0, 120))
+        for item in rng.sample(items, rng.choice((0, 1, 2))):
+            copy = [w for w in item if rng.random() > 0.1]
+            copy = [w if rng.random() > rng.choice((0, 0.1, 0.3)) else "other" for w in copy]
+            at = rng.randint(0, len(body))
+            body = body[:at] + copy + body[at:]
+        docs.append(" ".join(body))
+    docs += docs[:5]
+
+    def best(item, text):
+        h, top = [[0] * (len(text) + 1) for _ in range(len(item) + 1)], 0
+        for i in range(1, len(item) + 1):
+            for j in range(1, len(text) + 1):
+                h[i][j] = max(0, h[i - 1][j - 1] + (1 if item[i - 1] == text[j - 1] else -1), h[i - 1][j] - 1, h[i][j - 1] - 1)
+                top = max(top, h[i][j])
+        return top
+
+    def grams(ws):
+        return {tuple(ws[i:i + 3]) for i in range(len(ws) - 2)}
+
+    want = {}
+    for d, text in enumerate(docs):
+        ws = text.split()
+        for k, item in enumerate(items):
+            if grams(item) & grams(ws) and 2 * best(item, ws) >= len(item):
+                want[d, k] = best(item, ws) / len(item)
+    bench = spark.createDataFrame([(k, " ".join(item)) for k, item in enumerate(items)], "item_id long, text string")
+    got = {(r.doc_id, r.item_id): r.score for r in leaks.find_leaks(table(spark, docs), bench).collect()}
+    assert len(want) > 30 and got == pytest.approx(want)
+    kept = {r.doc_id for r in leaks.drop_leaked(table(spark, docs), bench).collect()}
+    assert kept == set(range(len(docs))) - {d for d, _ in want}
