@@ -35,3 +35,25 @@ def test_versions_table_parts(spark, tmp_root):
     plan = tables.read_versions(spark, root).filter("scd_is_current")._jdf.queryExecution() \
         .optimizedPlan().toString()
     assert "scd_is_current=false" not in plan
+
+
+def test_an_appended_table_is_read_by_its_kept_schema(spark, tmp_root):
+    root = tmp_root + "/t"
+    tables.append(spark.createDataFrame([(1, "a", "x")], "i int, s string, p string"), root, ["p"])
+    tables.append(spark.createDataFrame([(2, 5.0, "y")], "i int, d double, p string"), root, ["p"])
+    got = tables.read_appended(spark, root)
+    assert {tuple(r[c] for c in ("i", "s", "d", "p")) for r in got.collect()} == {(1, "a", None, "x"), (2, None, 5.0, "y")}
+    assert tables.known_schema(spark, root).names == ["i", "s", "p", "d"]
+    old = tmp_root + "/old"   # written before schemas were kept
+    spark.createDataFrame([(1, "a")], "i int, s string").write.parquet(old)
+    tables.append(spark.createDataFrame([(2, 7)], "i int, n int"), old)
+    assert {(r.i, r.s, r.n) for r in tables.read_appended(spark, old).collect()} == {(1, "a", None), (2, None, 7)}
+
+
+def test_old_snapshots_expire(spark, tmp_root):
+    root = tmp_root + "/s"
+    for run in ("r1", "r2", "r3"):
+        tables.write_snapshot(spark.range(3), root, run)
+    gone = tables.expire_snapshots(spark, root, keep=2)
+    assert [g.rsplit("=", 1)[1] for g in gone] == ["r1"] and len(tables.snapshots(spark, root)) == 2
+    assert tables.read_snapshot(spark, root).count() == 3

@@ -14,9 +14,11 @@ bounds both file count and file size (the reference's optimize-write hints).
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 SNAPSHOT_PREFIX = "snapshot="
 
@@ -70,7 +72,61 @@ def read_snapshot(spark: SparkSession, root: str) -> DataFrame | None:
     return spark.read.parquet(snaps[-1]) if snaps else None
 
 
+def expire_snapshots(spark: SparkSession, root: str, keep: int = 2) -> list[str]:
+    """Delete all but the ``keep`` newest complete snapshots; the deleted folders.
+
+    Folders of unfinished runs are left alone: a run may be writing them.
+    """
+    if keep < 1:
+        raise ValueError("the newest snapshot is the table")
+    old = snapshots(spark, root)[:-keep]
+    for path in old:
+        fs, p, _ = _fs(spark, path)
+        fs.delete(p, True)
+    return old
+
+
+# An append-only table keeps its schema beside its files, so that a read opens no footers to
+# merge them. One small file per version; a version is written when a column is new.
+SCHEMAS = "_schemas"
+
+
+def known_schema(spark: SparkSession, root: str) -> T.StructType | None:
+    fs, p, jvm = _fs(spark, f"{root.rstrip('/')}/{SCHEMAS}")
+    if not fs.exists(p):
+        return None
+    newest = max(fs.listStatus(p), key=lambda st: st.getPath().getName())
+    stream = fs.open(newest.getPath())
+    try:
+        text = jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+    return T.StructType.fromJson(json.loads(text))
+
+
+def remember_schema(spark: SparkSession, root: str, schema: T.StructType) -> T.StructType:
+    """The known schema with the columns of ``schema`` that it lacks, written if there are any."""
+    known = known_schema(spark, root)
+    merged = T.StructType(list(known.fields) if known else [])
+    for f in schema.fields:
+        if f.name not in merged.names:
+            merged = merged.add(f.name, f.dataType, True)
+    if known is None or len(merged) > len(known):
+        fs, p, _ = _fs(spark, f"{root.rstrip('/')}/{SCHEMAS}/columns={len(merged):06d}.json")
+        out = fs.create(p, True)
+        try:
+            out.write(bytearray(merged.json().encode()))
+        finally:
+            out.close()
+    return merged
+
+
 def append(df: DataFrame, root: str, partition_by: Sequence[str] = ()) -> None:
+    spark = df.sparkSession
+    # a table from before its schema was kept: what it has comes first
+    if known_schema(spark, root) is None and (held := read_appended(spark, root)) is not None:
+        remember_schema(spark, root, held.schema)
+    remember_schema(spark, root, df.schema)   # first: a column without rows yet does no harm, rows without it would
     w = _rebalanced(df, partition_by).write.mode("append")
     if partition_by:
         w = w.partitionBy(*partition_by)
@@ -82,6 +138,9 @@ def read_appended(spark: SparkSession, root: str) -> DataFrame | None:
     fs, p, _ = _fs(spark, root)
     if not fs.exists(p) or len(fs.listStatus(p)) == 0:
         return None
+    known = known_schema(spark, root)
+    if known is not None:
+        return spark.read.schema(known).parquet(root)
     return spark.read.option("mergeSchema", "true").parquet(root)
 
 
