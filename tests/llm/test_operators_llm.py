@@ -97,13 +97,24 @@ def test_simhash_equals_brute_force(spark):
         assert r.fingerprint == format(want[r.doc_id], "016x") and r.component_id == comp[r.doc_id]
 
 
-@pytest.mark.parametrize("split", [2048, 40])
-def test_links_of_dense_buckets_equal_brute_force(spark, split):
+@pytest.mark.parametrize("bits", [0, 3])
+@pytest.mark.parametrize("key_bits", [0, 5, 16, 17, 24, 25, 30, 50])
+def test_codes_within_the_distance_agree_on_a_mask(bits, key_bits):
+    rng = random.Random(key_bits)
+    masks = simhash.block_masks(bits, key_bits)
+    assert all(m.bit_count() >= min(key_bits, 30) for m in masks)
+    for _ in range(2000):
+        flip = sum(1 << b for b in rng.sample(range(64), bits))
+        assert any(not flip & m for m in masks)
+
+
+@pytest.mark.parametrize("split,bucket", [(2048, 256), (40, 256), (2048, 1), (16, 20)])
+def test_links_of_dense_buckets_equal_brute_force(spark, split, bucket):
     rng = random.Random(split)
     base = rng.getrandbits(64)
     fps = sorted({base ^ sum(1 << b for b in rng.sample(range(64), rng.randint(0, 7))) for _ in range(400)})
     df = spark.createDataFrame([(x - (1 << 64) if x >> 63 else x,) for x in fps], "fp long")
-    links = simhash.links_between(df, 3, split_rows=split)
+    links = simhash.links_between(df, 3, split_rows=split, bucket=bucket)
     got = {r.node % (1 << 64): r.component % (1 << 64) for r in connected_components(links).collect()}
     comp = components(fps, fps)
     groups = collections.defaultdict(set)

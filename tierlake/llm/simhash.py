@@ -2,9 +2,11 @@
 
 1. Every whole text gets a 64-bit fingerprint (words, 3-word shingles, XXH64).
 2. Equal fingerprints collapse into one before anything is compared.
-3. Distinct fingerprints are dealt by block pairs: of ``max_bits + 2`` blocks,
-   two fingerprints within ``max_bits`` agree on at least two, so every link
-   meets in a bucket. Buckets stay small at any corpus size (26 key bits).
+3. Distinct fingerprints are dealt by parts of blocks: of ``max_bits + k``
+   blocks, two fingerprints within ``max_bits`` agree on at least ``k``, so every
+   link meets in a bucket keyed by bits of those blocks. The number of key bits
+   follows the number of fingerprints, so a bucket holds about ``BUCKET`` of them
+   at any size: enough that its index, not the dealing, decides on the links.
 4. In a bucket, fingerprints are sorted by Gray rank; runs of neighbours form
    leaves, runs of leaves form upper nodes. A node keeps the bits that all its
    members share, without those already kept by its parent; a search adds up
@@ -16,6 +18,8 @@
 6. A task returns a spanning forest of the links it found, never all pairs.
 """
 
+from itertools import combinations
+
 import numpy as np
 import pandas as pd
 import pyarrow as pa
@@ -26,7 +30,8 @@ from pyspark.sql import types as T
 
 from tierlake.llm.common import bounded_batches, connected_components, drop_stored, spare, stored
 
-SEED = 42  # fixed value of the fingerprint contract
+SEED = 42     # fixed value of the fingerprint contract
+BUCKET = 256  # fingerprints in a mean bucket
 
 
 def fingerprint_bytes(raw: bytes, shingle: int = 3) -> int:
@@ -169,22 +174,32 @@ def spanning_links(left: np.ndarray, right: np.ndarray | None, max_bits: int,
 
 # ------------------------------------------------------------ the operator
 
-def block_pairs(max_bits: int) -> list[int]:
-    """Masks of two blocks each; within ``max_bits`` at least one mask agrees."""
-    n = max_bits + 2
-    cuts = [64 * i // n for i in range(n + 1)]
-    blocks = [((1 << cuts[i + 1]) - 1) ^ ((1 << cuts[i]) - 1) for i in range(n)]
-    return [blocks[i] | blocks[j] for i in range(n) for j in range(i + 1, n)]
+def block_masks(max_bits: int, key_bits: int) -> list[int]:
+    """Masks of about ``key_bits`` bits: two codes within ``max_bits`` agree on one at least.
+
+    Of ``max_bits + k`` equal blocks at least k are the same in both. k is the
+    least number whose blocks hold the bits asked for, three at most; of every
+    block only the bits needed are taken.
+    """
+    for k in (1, 2, 3):
+        n = max_bits + k
+        if n > 64:
+            return [0]  # no block is sure to agree: one bucket
+        if k * (64 // n) >= key_bits:
+            break
+    take = min(64 // n, -(-key_bits // k))
+    blocks = [((1 << take) - 1) << (64 * i // n) for i in range(n)]
+    return [0] if not take else [sum(c) for c in combinations(blocks, k)]
 
 
 def _signed(x: int) -> int:
     return x - (1 << 64) if x >= 1 << 63 else x
 
 
-def links_between(distinct: DataFrame, max_bits: int, split_rows: int = 2048) -> DataFrame:
+def links_between(distinct: DataFrame, max_bits: int, split_rows: int = 2048, bucket: int = BUCKET) -> DataFrame:
     """Distinct fingerprints (column fp) -> spanning links (src, dst)."""
     bounded_batches(distinct.sparkSession)
-    masks = block_pairs(max_bits)
+    masks = block_masks(max_bits, (distinct.count() // bucket).bit_length())
     dealt = distinct.select("fp", F.explode(F.array(*[
         F.struct(F.lit(i).alias("part"), F.col("fp").bitwiseAND(F.lit(_signed(m))).alias("key"))
         for i, m in enumerate(masks)])).alias("b")).select("fp", "b.part", "b.key")
