@@ -126,6 +126,18 @@ def test_links_of_dense_buckets_equal_brute_force(spark, split, bucket):
     assert sorted(map(sorted, groups.values())) == sorted(map(sorted, want.values()))
 
 
+def test_upper_nodes_drop_most_codes_unseen():
+    codes = np.random.default_rng(5).integers(0, 1 << 64, 4096, np.uint64)
+    codes[1::2] = codes[::2] ^ np.uint64(0b111)
+    codes = codes[np.argsort(simhash.gray_rank(codes))]
+    levels = simhash.build_index(codes)
+    q, m = simhash.search(levels, codes, 3)
+    want = np.bitwise_count(codes[:, None] ^ codes[None, :]) <= 3
+    assert set(zip(q.tolist(), m.tolist())) == set(zip(*(x.tolist() for x in np.nonzero(want))))
+    reached = len(simhash.search(levels[1:], codes, 3)[0]) * simhash.FAN
+    assert reached < 0.1 * len(codes) ** 2
+
+
 def test_simhash_of_odd_and_empty_tables(odd, empty):
     out = simhash.simhash_components(odd).toPandas()
     assert len(out) == odd.count()

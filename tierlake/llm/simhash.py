@@ -32,6 +32,7 @@ from tierlake.llm.common import bounded_batches, connected_components, drop_stor
 
 SEED = 42     # fixed value of the fingerprint contract
 BUCKET = 256  # fingerprints in a mean bucket
+FAN = 3       # members of a node: few, so that they share many bits and differences add up early
 
 
 def fingerprint_bytes(raw: bytes, shingle: int = 3) -> int:
@@ -81,7 +82,7 @@ def gray_rank(fp: np.ndarray) -> np.ndarray:
     return r
 
 
-def build_index(sorted_fp: np.ndarray, fan: int = 16) -> list[tuple[np.ndarray, np.ndarray]]:
+def build_index(sorted_fp: np.ndarray, fan: int = FAN) -> list[tuple[np.ndarray, np.ndarray]]:
     """Levels from leaves up to at most ``fan`` roots: (pattern, residual mask).
 
     Level 0 are the fingerprints. A node's mask holds the bits on which all its
@@ -107,7 +108,7 @@ def build_index(sorted_fp: np.ndarray, fan: int = 16) -> list[tuple[np.ndarray,
 
 
 def search(levels: list[tuple[np.ndarray, np.ndarray]], queries: np.ndarray, max_bits: int,
-           fan: int = 16) -> tuple[np.ndarray, np.ndarray]:
+           fan: int = FAN) -> tuple[np.ndarray, np.ndarray]:
     """All (query row, member row) within ``max_bits``, by accumulated differences."""
     top_pat, top_mask = levels[-1]
     d = np.bitwise_count((queries[:, None] ^ top_pat[None, :]) & top_mask[None, :])
