@@ -398,6 +398,39 @@ def test_winnowing_keeps_its_guarantee():
         assert all(at & set(range(i, i + licenses.WINDOW)) for i in range(len(h) - licenses.WINDOW + 1)) and at
 
 
+def test_a_band_over_all_diagonals_equals_the_full_alignment():
+    rng = np.random.default_rng(8)
+    for _ in range(60):
+        t, x = rng.integers(0, 5, rng.integers(1, 12)), rng.integers(-1, 5, rng.integers(1, 25))
+        full = leaks.smith_waterman(t, x)
+        assert licenses.banded_alignment(t, x, -len(t), len(x))[0] == full[0]
+
+
+def test_every_copy_of_a_notice_is_found():
+    notice, short = dict(licenses.TEMPLATES[:5])["MIT"], "Released under the MIT License"
+    own = licenses.Templates(licenses.TEMPLATES)
+    assert [x[0] for x in own.scan(" ".join([notice] * 400), 0.8)] == ["MIT"] * 400
+    assert [x[0] for x in own.scan(" ".join([short] * 300), 0.8)] == ["MIT"] * 300
+    assert [x[0] for x in own.scan("words Released under the new MIT License, Licensed under the very MIT License", 0.8)] == ["MIT"] * 2
+
+
+def test_licenses_of_short_texts_equal_brute_force():
+    """Every template against the whole text by full alignment, best first."""
+    rng = random.Random(11)
+    own = licenses.Templates(licenses.TEMPLATES)
+    fill = "alpha beta gamma the of license under software and public".split()
+    for _ in range(80):
+        w = rng.choice(licenses.TEMPLATES)[1].split()
+        for _ in range(rng.randint(0, max(1, len(w) // 8))):
+            w[rng.randrange(len(w))] = rng.choice(fill)
+        text = " ".join(rng.choices(fill, k=rng.randint(0, 30)) + w + rng.choices(fill, k=rng.randint(0, 30)))
+        codes = own.codes.encode(licenses.words(text))
+        best = max((leaks.smith_waterman(t, codes)[5] for t in own.words
+                    if leaks.smith_waterman(t, codes)[5] >= 0.8 * len(t)), default=0)
+        found = own.scan(text, 0.8)
+        assert max((x[3] for x in found), default=0) == best
+
+
 def test_licenses_with_spans(spark, odd, empty):
     notice = dict(licenses.TEMPLATES)["MIT"]
     edited = notice.replace("free of charge", "at no charge").replace("any person", "each person")

@@ -2,10 +2,15 @@
 
 Templates are word sequences. Their 3-gram hashes are winnowed (the least hash
 of every window of ``WINDOW``, as in document fingerprinting), which puts at
-least one fingerprint into every run of ``N + WINDOW - 1`` words. An inverted
-index of these fingerprints is looked up for every 3-gram of every text; the
-stretches hit are aligned with the template in a band around the diagonal of
-the hits. Reported are matched coverage of the template and the spans.
+least one fingerprint into every run of ``N + WINDOW - 1`` = 4 words. Templates
+under ``SHORT`` words keep every 3-gram, those of at most five words every 2-gram.
+A text with a copy whose words are at least ``MIN_COVERAGE`` the template's, the
+others replaced, holds a run of that length (a fifth of m words replaced leave a
+run of 4 from 16 words on, of 3 from 6 on, of 2 below), so no such copy is lost;
+one with a word inserted after every third may be. An inverted index of these fingerprints is looked
+up for every 3-gram of every text. Hits are parted by diagonal (text minus template position), so copies one
+after another are stretches of their own; each is aligned with the template in a
+band around its diagonals. Reported are matched coverage and the spans.
 """
 
 import pickle
@@ -17,11 +22,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tierlake.llm.common import bounded_batches
-from tierlake.llm.ngram_index import WORD, Codes, Places, windows, words
+from tierlake.llm.ngram_index import WORD, Codes, Places, words
 
 N = 3
-WINDOW = 3
+WINDOW = 2
 BAND = 12           # words that the alignment may leave the diagonals of its hits
+SHORT = 16          # templates under this many words are not winnowed
 MIN_COVERAGE = 0.8  # of the template's words
 
 # Notices of public licenses, by SPDX identifier.
@@ -59,6 +65,40 @@ TEMPLATES = [
     ("CC-BY-NC-4.0", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License"),
     ("CC0-1.0", "This work is dedicated to the public domain under CC0 1.0 Universal"),
     ("Unlicense", "This is free and unencumbered software released into the public domain"),
+    # whole notices: where one stands, more words match than with its opening above
+    ("MIT", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and "
+            'associated documentation files (the "Software"), to deal in the Software without restriction, including '
+            "without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell "
+            "copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the "
+            "following conditions: The above copyright notice and this permission notice shall be included in all "
+            'copies or substantial portions of the Software. THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY '
+            "KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A "
+            "PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR "
+            "ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, "
+            "OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."),
+    ("ISC", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is "
+            "hereby granted, provided that the above copyright notice and this permission notice appear in all copies. "
+            'THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE '
+            "INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR "
+            "ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF "
+            "USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF "
+            "OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE."),
+    ("BSD-2-Clause", "Redistribution and use in source and binary forms, with or without modification, are permitted "
+                     "provided that the following conditions are met: 1. Redistributions of source code must retain the "
+                     "above copyright notice, this list of conditions and the following disclaimer. 2. Redistributions "
+                     "in binary form must reproduce the above copyright notice, this list of conditions and the "
+                     "following disclaimer in the documentation and/or other materials provided with the distribution."),
+    ("BSD-3-Clause", "Redistribution and use in source and binary forms, with or without modification, are permitted "
+                     "provided that the following conditions are met: 1. Redistributions of source code must retain the "
+                     "above copyright notice, this list of conditions and the following disclaimer. 2. Redistributions "
+                     "in binary form must reproduce the above copyright notice, this list of conditions and the "
+                     "following disclaimer in the documentation and/or other materials provided with the distribution. "
+                     "3. Neither the name of the copyright holder nor the names of its contributors may be used to "
+                     "endorse or promote products derived from this software without specific prior written "
+                     "permission."),
+    ("Unlicense", "This is free and unencumbered software released into the public domain. Anyone is free to copy, "
+                  "modify, publish, use, compile, sell, or distribute this software, either in source code form or as a "
+                  "compiled binary, for any purpose, commercial or non-commercial, and by any means."),
 ]
 
 
@@ -99,36 +139,66 @@ def banded_alignment(template: np.ndarray, text: np.ndarray, low: int, high: int
     return score, i, end_i, j, end_j, hit
 
 
+def diagonal_groups(diag: np.ndarray, length: int) -> list[tuple[int, int]]:
+    """(lowest, highest) diagonal of the groups of hits, those with more hits first.
+
+    A group ends at a gap of more than half the template (two copies one after
+    another are a template apart), ``BAND`` at most, and is never wider than the
+    template: the band around it is bounded, however many copies a text holds.
+    """
+    diag, many = np.unique(diag, return_counts=True)
+    gap = min(BAND, max(1, length // 2))
+    groups, lo = [], 0
+    for i in range(1, len(diag) + 1):
+        if i == len(diag) or diag[i] - diag[i - 1] > gap or diag[i] - diag[lo] > length:
+            groups.append((-int(many[lo:i].sum()), int(diag[lo]), int(diag[i - 1])))
+            lo = i
+    return [(a, b) for _, a, b in sorted(groups)]
+
+
 class Templates:
     def __init__(self, rows):
         kept = [(i, w) for i, w in ((i, words(t)) for i, t in rows) if len(w) >= N]
         self.names = [i for i, _ in kept]
         self.codes = Codes([w for _, w in kept])
         self.words = [self.codes.encode(w) for _, w in kept]
+        self.weights = [dict(zip(*(x.tolist() for x in np.unique(w, return_counts=True)))) for w in self.words]
+        self.places = {n: self._index(n) for n in (N, N - 1)}
+
+    def _index(self, n: int) -> Places:
+        """Fingerprints of the templates searched by n-grams: five words or less by N - 1."""
         keys, passage, position = [], [], []
         for k, w in enumerate(self.words):
-            grams = self.codes.grams(w, N)
+            if (n == N) != (len(w) > 5):
+                continue
+            grams = self.codes.grams(w, n)
             mixed = (grams.astype(np.uint64) + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)
-            at = winnow(mixed)
+            at = winnow(mixed) if len(w) >= SHORT else np.arange(len(grams))
             keys.append(grams[at])
             passage.append(np.full(len(at), k))
             position.append(at)
-        self.places = Places(*(np.concatenate([np.empty(0, np.int64), *x]).astype(np.int64)
-                               for x in (keys, passage, position)))
+        return Places(*(np.concatenate([np.empty(0, np.int64), *x]).astype(np.int64)
+                        for x in (keys, passage, position)))
 
     def scan(self, text: str, min_coverage: float) -> list[tuple]:
         """(license, template, coverage, matched words, first and last+1 character,
         first and last+1 template word), the best of overlapping spans."""
         ws = words(text)
         codes = self.codes.encode(ws)
-        at, passage, position = self.places.hits(self.codes.grams(codes, N))
+        at, passage, position = (np.concatenate(x) for x in zip(*(
+            places.hits(self.codes.grams(codes, n)) for n, places in self.places.items())))
         found = []
         for p in np.unique(passage).tolist():
             mine = passage == p
             t, free = self.words[p], codes.copy()
-            for lo, hi, diag in windows(at[mine], position[mine], len(t), len(ws)):
-                low, high = int(diag.min()) - lo - BAND, int(diag.max()) - lo + BAND
-                while True:  # a stretch may hold several copies: best first, then beside it
+            band = min(BAND, len(t))
+            for first, last in diagonal_groups(at[mine] - position[mine], len(t)):
+                lo, hi = max(0, first - band), min(len(ws), last + band + len(t))
+                there = set(free[lo:hi].tolist())
+                if sum(n for w, n in self.weights[p].items() if w in there) < min_coverage * len(t):
+                    continue  # too few of the template's words
+                low, high = first - lo - band, last - lo + band
+                while True:  # a group may hold several copies: best first, then beside it
                     _, i, ie, j, je, hit = banded_alignment(t, free[lo:hi], low, high)
                     if not hit or hit < min_coverage * len(t):
                         break
