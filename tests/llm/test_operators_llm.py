@@ -62,6 +62,30 @@ def test_shards_of_odd_and_empty_tables(odd, empty):
     assert sharding.shard(empty).count() == 0
 
 
+def test_shards_equal_a_sort_of_all_rows(spark):
+    rng = random.Random(2)
+    texts = ["hot text " * 30 if rng.random() < 0.4 else "w" * rng.randint(0, 300) for _ in range(900)]
+    docs = table(spark, texts)
+    rows = sharding.shard(docs, shards=6).withColumn("h", sharding.order_hash(F.col("text"))).collect()
+    rows.sort(key=lambda r: (r["shard"], r["slot"]))
+    assert [(r.h, r.doc_id) for r in rows] == sorted((r.h, r.doc_id) for r in rows)
+    sizes = [len(r.text) + 8 for r in rows]
+    mean, below = sum(sizes) / 6, list(itertools.accumulate(sizes, initial=0))
+    for i in range(1, 6):
+        cut = sum(1 for r in rows if r["shard"] < i)
+        near = min(abs(b - mean * i) for b in below)
+        assert abs(below[cut] - mean * i) <= max(0.01 * mean, near)
+
+
+def test_shards_refuse_or_prefix_clashing_names(spark):
+    docs = table(spark, ["a", "b"]).withColumn("SLOT", F.lit("mine")).withColumn("h", F.lit(1))
+    with pytest.raises(ValueError):
+        sharding.shard(docs)
+    out = sharding.shard(docs, prefix="new_").collect()
+    assert {r.SLOT for r in out} == {"mine"} and sorted(out[0].asDict()) == sorted(["doc_id", "text", *[
+        c for c in docs.columns if c not in ("doc_id", "text")], "new_shard", "new_slot"])
+
+
 # ------------------------------------------------------------------- SimHash
 
 def fingerprint(text):

@@ -8,21 +8,21 @@ intervals; each interval shrinks to the probe gap around its target, down to
 the keys that occur in it. An interval that is a single text is refined on the
 row key, so a text that fills several shards is cut like any other stretch.
 
-Shards are cut further into pieces by coarser splitters of the same search. A
-piece, not a shard, is what one task orders, whatever the shard's size.
+The exchange deals rows by ranges of (shard, order), so a task orders its share
+of the input and not a shard, whatever the shard's size; only the row counts of
+the shards that a task border cuts are added up to number the slots.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tierlake.llm.common import spare, stored
+from tierlake.llm.common import drop_stored, in_order, spare, stored
 
 SHARDS = 24
-PIECES = 16          # pieces per shard; raise it with the size of a shard
 PROBES = 256         # candidate boundaries per open interval and round
 TOLERANCE = 0.01     # of a shard's mean bytes
 ROW_BYTES = 8        # added to the text's bytes, by the contract
@@ -129,7 +129,7 @@ def find_splitters(narrow: DataFrame, targets: list[tuple[float, float]], probes
     return sorted(chosen.values(), key=lambda s: (s.at, -1 if s.key is None else s.key))
 
 
-def shard(docs: DataFrame, key: str = "doc_id", text: str = "text", shards: int = SHARDS, pieces: int = PIECES,
+def shard(docs: DataFrame, key: str = "doc_id", text: str = "text", shards: int = SHARDS,
           tolerance: float = TOLERANCE, prefix: str = "") -> DataFrame:
     """All rows of ``docs`` with shard (0 to shards - 1) and slot (gapless from 0).
 
@@ -139,38 +139,25 @@ def shard(docs: DataFrame, key: str = "doc_id", text: str = "text", shards: int
     Equal texts share a shard but where a border must fall between them. A null
     text has no bytes; a null key orders first. Repeated rows get slots of their
     own. An empty table gives an empty result. ``prefix`` keeps the added names
-    apart from clashing columns.
+    apart from clashing columns; without one, a clash raises.
     """
-    h, k = spare(docs, "h"), spare(docs, "k")
+    clash = {c.lower() for c in docs.columns} & {prefix.lower() + "shard", prefix.lower() + "slot"}
+    if clash:
+        raise ValueError(f"columns {sorted(clash)} exist already: choose a prefix")
     least = F.lit(-(1 << 62))
-    keyed = docs.withColumns({h: order_hash(F.col(text)), k: F.coalesce(F.col(key).cast("long"), least)})
-    narrow = stored(keyed.select(F.col(h).alias("h"), F.col(k).alias("k"), row_bytes(F.col(text)).alias("b")), "shards-narrow")
-    total = narrow.agg(F.sum("b")).first()[0] or 0
-    mean = total / shards
-    exact = [(mean * i, mean * tolerance) for i in range(1, shards)]
-    coarse = [(mean * (i + j / pieces), mean / pieces / 4) for i in range(shards) for j in range(1, pieces)]
-    borders = find_splitters(narrow, exact)
-    finer = find_splitters(narrow, coarse)
-    cuts = sorted({*borders, *finer}, key=lambda s: (s.at, -1 if s.key is None else s.key))
-    def number(splitters, hash_name, key_name):
-        return _below(splitters, F.col(hash_name), F.col(key_name))
-
-    # rows of each (shard, piece), from the narrow table: at most shards x pieces rows
-    counts = narrow.groupBy(number(borders, "h", "k").alias("s"), number(cuts, "h", "k").alias("p")).agg(
-        F.count(F.lit(1)).alias("n")).collect()
-    offset, filled = [0] * (len(cuts) + 1), {}
-    for r in sorted(counts, key=lambda r: (r.s, r.p)):
-        offset[r.p] = filled.get(r.s, 0)
-        filled[r.s] = filled.get(r.s, 0) + r.n
-    piece, own = spare(docs, "piece"), spare(docs, "shard")
-    placed = keyed.withColumns({own: number(borders, h, k), piece: number(cuts, h, k)})
+    order, number = order_hash(F.col(text)), F.coalesce(F.col(key).cast("long"), least)
+    narrow = stored(docs.select(order.alias("h"), number.alias("k"), row_bytes(F.col(text)).alias("b")), "shards-narrow")
+    mean = (narrow.agg(F.sum("b")).first()[0] or 0) / shards
+    borders = find_splitters(narrow, [(mean * i, mean * tolerance) for i in range(1, shards)])
+    drop_stored(narrow)
+    # the row travels as a struct: its columns cannot clash with those of the order
     hashable = [c for c, kind in docs.dtypes if "map<" not in kind and kind != "variant"]
-    order = Window.partitionBy(piece).orderBy(h, k, F.xxhash64(*hashable))
-    start = F.element_at(F.lit(offset), F.col(piece) + 1)
-    return placed.withColumns({
-        prefix + "shard": F.col(own).cast("int"),
-        prefix + "slot": (start + F.row_number().over(order) - 1).cast("long"),
-    }).drop(h, k, piece, own)
+    placed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"), order.alias("h"), number.alias("k"),
+                         F.xxhash64(*[F.col(f"`{c}`") for c in hashable]).alias("tie"))
+    placed = placed.withColumn("shard", _below(borders, F.col("h"), F.col("k")))
+    return in_order(placed, "shard", ["h", "k", "tie"]).select(
+        *[F.col("doc").getField(c).alias(c) for c in docs.columns],
+        F.col("shard").cast("int").alias(prefix + "shard"), (F.col("nth") - 1).cast("long").alias(prefix + "slot"))
 
 
 def write_shards(sharded: DataFrame, path: str, shard: str = "shard", slot: str = "slot") -> None:
