@@ -412,6 +412,44 @@ def test_toxicity_learns_and_holds_out(spark, odd, empty):
     assert toxicity.classify(empty, labels).count() == 0
 
 
+def plain_alignment(item, text):
+    """The same alignment on the whole matrix, cell by cell."""
+    h = np.zeros((len(item) + 1, len(text) + 1), int)
+    for i, j in itertools.product(range(1, len(item) + 1), range(1, len(text) + 1)):
+        same = item[i - 1] == text[j - 1] >= 0
+        h[i, j] = max(0, h[i - 1, j - 1] + (1 if same else -1), h[i - 1, j] - 1, h[i, j - 1] - 1)
+    i, j = (int(x) for x in np.unravel_index(int(h.argmax()), h.shape))
+    score, end, hit = int(h[i, j]), (i, j), 0
+    while i > 0 and j > 0 and h[i, j] > 0:
+        same = item[i - 1] == text[j - 1] >= 0
+        if h[i, j] == h[i - 1, j - 1] + (1 if same else -1):
+            hit, i, j = hit + same, i - 1, j - 1
+        elif h[i, j] == h[i - 1, j] - 1:
+            i -= 1
+        else:
+            j -= 1
+    return score, i, end[0], j, end[1], hit
+
+
+def test_alignment_in_bounded_memory_equals_the_whole_matrix():
+    rng = np.random.default_rng(6)
+    for _ in range(150):
+        item, text = rng.integers(0, 4, rng.integers(1, 40)), rng.integers(-1, 4, rng.integers(0, 50))
+        assert leaks.smith_waterman(item, text) == plain_alignment(item, text)
+
+
+def test_alignment_of_a_very_long_item():
+    import tracemalloc
+    rng = np.random.default_rng(7)
+    item = rng.integers(0, 5000, 6000)
+    text = np.concatenate([rng.integers(0, 5000, 900), np.delete(item, [50, 3000]), rng.integers(0, 5000, 900)])
+    tracemalloc.start()
+    score, i, ie, j, je, hit = leaks.smith_waterman(item, text)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert (i, ie, j, je, hit, score) == (0, 6000, 900, 6898, 5998, 5996) and peak < 20 << 20
+
+
 # -------------------------------------------------------------------- licenses
 
 def test_winnowing_keeps_its_guarantee():

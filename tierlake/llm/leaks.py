@@ -29,27 +29,51 @@ MIN_SCORE = 0.5            # of the item's words
 BLOCK_BYTES = 16 << 20
 
 
+def _row(item_word: int, text: np.ndarray, above: np.ndarray, slope: np.ndarray) -> np.ndarray:
+    """Scores of one item word from those of the word before; the gap along the
+    text is a running maximum, so a row is a handful of array operations."""
+    pair = np.where((text == item_word) & (text >= 0), MATCH, MISMATCH)
+    best = np.maximum(np.maximum(above[:-1] + pair, above[1:] + GAP), 0)
+    out = np.zeros_like(above)
+    out[1:] = np.maximum.accumulate(best + slope) - slope
+    return out
+
+
 def smith_waterman(item: np.ndarray, text: np.ndarray) -> tuple[int, int, int, int, int, int]:
     """Best local alignment: (score, item start, item end, text start, text end, matches).
 
-    One row per item word; the gap along the text is a running maximum, so a
-    row is a handful of array operations. Ties: the earliest end.
+    Ties: the earliest end. Every ``step``-th row is kept, step about the root of
+    the item's length; the way back computes the rows between two kept ones
+    again. So memory is 2 * sqrt(item) * text scores, not item * text.
     """
     m, n = len(item), len(text)
-    h = np.zeros((m + 1, n + 1), np.int32)
-    slope = -GAP * np.arange(1, n + 1)
+    step = int(m ** 0.5) + 1
+    slope = (-GAP * np.arange(1, n + 1)).astype(np.int32)
+    row = np.zeros(n + 1, np.int32)
+    kept, score, end_i, end_j = [row], 0, 0, 0
     for i in range(1, m + 1):
-        pair = np.where((text == item[i - 1]) & (text >= 0), MATCH, MISMATCH)
-        row = np.maximum(np.maximum(h[i - 1, :-1] + pair, h[i - 1, 1:] + GAP), 0)
-        h[i, 1:] = np.maximum.accumulate(row + slope) - slope
-    i, j = (int(x) for x in np.unravel_index(int(h.argmax()), h.shape))
-    score, end_i, end_j, hit = int(h[i, j]), i, j, 0
-    while i > 0 and j > 0 and h[i, j] > 0:
+        row = _row(item[i - 1], text, row, slope)
+        if row.max(initial=0) > score:
+            end_j = int(row.argmax())
+            score, end_i = int(row[end_j]), i
+        if i % step == 0:
+            kept.append(row)
+    i, j, hit = end_i, end_j, 0
+    rows, base = [], end_i + 1  # rows base, base + 1, ... up to the one after which nothing is needed
+    while i > 0 and j > 0:
+        if i - 1 < base:  # the block of rows that holds i - 1 and i
+            base = (i - 1) // step * step
+            rows = [kept[base // step]]
+            for k in range(base, i):
+                rows.append(_row(item[k], text, rows[-1], slope))
+        own, above = rows[i - base], rows[i - 1 - base]
+        if own[j] <= 0:
+            break
         same = text[j - 1] >= 0 and text[j - 1] == item[i - 1]
-        if h[i, j] == h[i - 1, j - 1] + (MATCH if same else MISMATCH):
+        if own[j] == above[j - 1] + (MATCH if same else MISMATCH):
             hit += int(same)
             i, j = i - 1, j - 1
-        elif h[i, j] == h[i - 1, j] + GAP:
+        elif own[j] == above[j] + GAP:
             i -= 1
         else:
             j -= 1
