@@ -77,13 +77,27 @@ def test_shards_equal_a_sort_of_all_rows(spark):
         assert abs(below[cut] - mean * i) <= max(0.01 * mean, near)
 
 
-def test_shards_refuse_or_prefix_clashing_names(spark):
-    docs = table(spark, ["a", "b"]).withColumn("SLOT", F.lit("mine")).withColumn("h", F.lit(1))
-    with pytest.raises(ValueError):
-        sharding.shard(docs)
-    out = sharding.shard(docs, prefix="new_").collect()
-    assert {r.SLOT for r in out} == {"mine"} and sorted(out[0].asDict()) == sorted(["doc_id", "text", *[
-        c for c in docs.columns if c not in ("doc_id", "text")], "new_shard", "new_slot"])
+def test_clashing_columns_are_kept_under_spare_names(spark):
+    """Columns named like those an operator adds, its inputs among them."""
+    base = table(spark, ["a b c d e f g h i j k l", "Licensed ! text", None]).select("doc_id", "text")
+    mine = F.concat(F.lit("mine "), F.col("doc_id"))
+
+    def held(out, *names):
+        assert all(r[n] == f"mine {r.doc_id}" for r in out.collect() for n in names)
+        assert len(set(map(str.lower, out.columns))) == len(out.columns)
+
+    docs = base.withColumns({c: mine for c in ("SLOT", "shard", "h", "nth", "row")})
+    held(sharding.shard(docs), "_SLOT", "_shard", "h", "nth", "row")
+    held(sharding.shard(docs, prefix="new_"), "SLOT", "shard")
+    assert sharding.shard(base.withColumnRenamed("text", "slot"), text="slot").where("_slot is null and slot is not null").count() == 1
+    docs = base.withColumns({c: mine for c in ("ids", "_ids", "decoded", "lossless")})
+    coded = pieces.encode(docs, lossless="lossless")
+    held(pieces.decode(coded), "__ids", "_ids", "_decoded", "_lossless")
+    docs = base.withColumns({c: mine for c in ("kept", "_lang", "n_words", "_hits", "_mean_word_lo")}).withColumns(
+        {"lang": F.lit("en"), "source": F.lit(None).cast("string")})
+    held(quality.judge(docs), "_kept", "__lang", "_n_words", "__hits", "__mean_word_lo")
+    model = toxicity.fit(base, spark.createDataFrame([(0, 1), (1, 0)], "doc_id long, toxic int"))
+    held(toxicity.score(base.withColumn("score", mine), model), "_score")
 
 
 # ------------------------------------------------------------------- SimHash

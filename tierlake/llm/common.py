@@ -79,6 +79,21 @@ def spare(df: DataFrame, stem: str) -> str:
     return name
 
 
+def room_for(df: DataFrame, added: list[str], *used: str) -> tuple:
+    """``df`` with its columns named like ``added`` ones renamed by leading
+    underscores, so that nothing of the input is lost; then the names that the
+    ``used`` columns have now."""
+    taken = {c.lower() for c in added}
+    now = {}
+    for c in df.columns:
+        if c.lower() in taken:
+            name = "_" + c
+            while name.lower() in {x.lower() for x in df.columns} | taken:
+                name = "_" + name
+            df, now[c.lower()] = df.withColumnRenamed(c, name), name
+    return df, *(now.get(u.lower(), u) for u in used)
+
+
 def in_order(df: DataFrame, group: str, order: list[str]) -> DataFrame:
     """``df`` (stored) with its rows ordered by ``order``, nulls first, in each ``group``.
 

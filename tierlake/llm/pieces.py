@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tierlake.llm.common import bounded_batches, spare
+from tierlake.llm.common import bounded_batches, room_for, spare
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 ALPHA = 1.0
@@ -342,9 +342,11 @@ def encode(df: DataFrame, key: str = "doc_id", text: str = "text", ids: str = "i
 
     Null text gives null, empty text no pieces. Rows with equal key and text
     get equal segmentations, rows that differ in the key other draws; a null
-    key is a key of its own. Any other column is kept untouched.
+    key is a key of its own. Any other column is kept untouched; one named like
+    an added column is kept under its name with a leading underscore.
     """
     bounded_batches(df.sparkSession)
+    df, key, text = room_for(df, [ids, *([lossless] if lossless else [])], key, text)
     proto = _model_bytes(df, model)
 
     # id and text travel under names of their own, whatever else the table holds
@@ -381,8 +383,12 @@ def encode(df: DataFrame, key: str = "doc_id", text: str = "text", ids: str = "i
 
 
 def decode(df: DataFrame, ids: str = "ids", out: str = "decoded", model: str = MODEL) -> DataFrame:
-    """Add the text of each piece sequence; null stays null, no pieces give ''."""
+    """Add the text of each piece sequence; null stays null, no pieces give ''.
+
+    A column of the input named like ``out`` is kept with a leading underscore.
+    """
     bounded_batches(df.sparkSession)
+    df, ids = room_for(df, [out], ids)
     proto = _model_bytes(df, model)
     schema = T.StructType([*df.schema.fields, T.StructField(out, T.StringType())])
     at = df.columns.index(ids)

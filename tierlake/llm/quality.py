@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tierlake.llm.common import spare, stored
+from tierlake.llm.common import room_for, spare, stored
 
 WORD_SPLIT = r"[\x20\x09-\x0D]+"
 SYMBOLS = "#*$%&|<>"  # fixed value of the contract
@@ -36,6 +36,9 @@ MEASURES = {
 }
 LENGTHS = ("n_words", "n_lines", "word_chars")
 FENCE = 6  # interquartile ranges beyond the quartiles
+# columns that judge adds, and those that it adds for a while
+ADDED = (*MEASURES, *LENGTHS, "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "_lang", "_source",
+         "_placed", "_hits", "_n_upper", "_n_marks", *[f"_{m}_{end}" for m in MEASURES for end in ("hi", "lo")])
 
 
 def _length_of(text: Column, others: str) -> Column:
@@ -142,11 +145,13 @@ def judge(docs: DataFrame, text: str = "text", lang: str = "lang", source: str =
     Null lang or source is a group of its own. Null and empty texts have no
     words and fail the base rules; repeated rows count as often as they occur;
     an empty table gives an empty result. A value at a fence passes.
-    ``prefix`` names the added columns apart from clashing ones. The threshold
+    ``prefix`` names the added columns apart from clashing ones; without one, a
+    clashing column is kept under its name with a leading underscore. The threshold
     table (one row per group) is sent to all tasks up to ``broadcast_rows``
     rows and joined by shuffle beyond.
     """
     p = lambda name: prefix + name
+    docs, text, lang, source = room_for(docs, [p(c) for c in ADDED], text, lang, source)
     measured = text_measures(docs, text, prefix)
     if not keep_text:
         measured = measured.drop(text)

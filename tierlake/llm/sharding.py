@@ -20,7 +20,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tierlake.llm.common import drop_stored, in_order, spare, stored
+from tierlake.llm.common import drop_stored, in_order, room_for, stored
 
 SHARDS = 24
 PROBES = 256         # candidate boundaries per open interval and round
@@ -139,11 +139,10 @@ def shard(docs: DataFrame, key: str = "doc_id", text: str = "text", shards: int
     Equal texts share a shard but where a border must fall between them. A null
     text has no bytes; a null key orders first. Repeated rows get slots of their
     own. An empty table gives an empty result. ``prefix`` keeps the added names
-    apart from clashing columns; without one, a clash raises.
+    apart from clashing columns; without one, a clashing column of the input is
+    kept under its name with a leading underscore.
     """
-    clash = {c.lower() for c in docs.columns} & {prefix.lower() + "shard", prefix.lower() + "slot"}
-    if clash:
-        raise ValueError(f"columns {sorted(clash)} exist already: choose a prefix")
+    docs, key, text = room_for(docs, [prefix + "shard", prefix + "slot"], key, text)
     least = F.lit(-(1 << 62))
     order, number = order_hash(F.col(text)), F.coalesce(F.col(key).cast("long"), least)
     narrow = stored(docs.select(order.alias("h"), number.alias("k"), row_bytes(F.col(text)).alias("b")), "shards-narrow")

@@ -20,7 +20,7 @@ from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tierlake.llm.common import bounded_batches, spare, stored
+from tierlake.llm.common import bounded_batches, room_for, spare, stored
 
 SIZES = (3, 4, 5, 6, 7)  # characters per n-gram, of words set apart by one space
 BITS = 20              # hashed n-grams
@@ -163,8 +163,12 @@ def regress(rows: pd.DataFrame, ratio: np.ndarray) -> tuple[np.ndarray, float]:
 
 
 def score(docs: DataFrame, model: Model, text: str = "text", out: str = "score") -> DataFrame:
-    """Add the score (0 to 1) of every whole text; null and empty texts have the bias alone."""
+    """Add the score (0 to 1) of every whole text; null and empty texts have the bias alone.
+
+    A column of the input named like ``out`` is kept with a leading underscore.
+    """
     bounded_batches(docs.sparkSession)
+    docs, text = room_for(docs, [out], text)
     sent = cloudpickle.dumps(model)
 
     def run(batches):
