@@ -150,13 +150,14 @@ class Forest:
 
 
 def spanning_links(left: np.ndarray, right: np.ndarray | None, max_bits: int,
-                   block: int = 512) -> list[tuple[int, int]]:
+                   most: int = 1 << 17) -> list[tuple[int, int]]:
     """Spanning forest of the links inside ``left`` or between it and ``right``.
 
-    Both are distinct fingerprints in Gray order. Queries go in blocks, so the
-    memory is bounded by block x nodes visited.
+    Both are distinct fingerprints in Gray order. Queries go in blocks, so that
+    no more than ``most`` pairs are held at once, even where all are links.
     """
     base = left if right is None else right
+    block = max(1, most // max(1, len(base)))
     levels = build_index(base)
     forest = Forest(len(left) + (0 if right is None else len(right)))
     links = []
