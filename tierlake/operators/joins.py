@@ -19,32 +19,28 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 NULL_KEY_BUCKETS = 256
-_TAG = "_null_key_tag"
+_KEY, _TAG, _DIM_TAG = "_dim_key", "_null_key_tag", "_dim_tag"
 
 
 def left_join_dim(fact: DataFrame, dim: DataFrame, key: str,
                   null_buckets: int = NULL_KEY_BUCKETS) -> DataFrame:
     """``fact LEFT JOIN dim USING (key)``; ``dim`` must be unique on ``key``.
 
-    With ``null_buckets=0`` the join key is the plain column. The optimizer then sees
-    that a de-duplicated dimension has one row per key, and drops the join where
-    none of its columns is used. That is the form for queries; for a table that is
-    written whole, NULL keys are spread: the join key is ``struct(key, tag)``: tag 0 for every non-NULL key on both
-    sides, 1..null_buckets (a hash of the row) for a NULL fact key. Equality of
-    the structs is equality of the keys for non-NULL keys; a NULL-key fact row
-    cannot match because the dimension side holds no NULL key. As one struct
-    key, the tag cannot be folded away by the optimizer, and the shuffle
-    spreads the NULL-key rows over the reducers.
+    NULL keys are spread by a second join key: tag 0 for every non-NULL key on both
+    sides, 1..null_buckets (a hash of the row) for a NULL fact key. A NULL-key fact
+    row matches nothing, whatever its tag. The dimension's tag is computed from its
+    key, so the optimizer can't fold it to a constant and drop the second key; and as
+    the keys are plain columns it still sees that a de-duplicated dimension has one
+    row per key, and drops the join where none of its columns is used.
+
+    With ``null_buckets=0`` the key is the only join key.
     """
+    right = dim.filter(F.col(key).isNotNull()).withColumnRenamed(key, _KEY)
+    rest = [right[c] for c in right.columns if c != _KEY]
     if not null_buckets:
-        right = dim.filter(F.col(key).isNotNull()).withColumnRenamed(key, _TAG)
-        rest = [right[c] for c in right.columns if c != _TAG]
-        return fact.join(right, fact[key] == right[_TAG], "left").select(*[fact[c] for c in fact.columns], *rest)
+        return fact.join(right, fact[key] == right[_KEY], "left").select(*[fact[c] for c in fact.columns], *rest)
     spread = F.pmod(F.xxhash64(*[F.col(c) for c in fact.columns]), F.lit(null_buckets)) + 1
-    tag = F.when(F.col(key).isNull(), spread).otherwise(F.lit(0).cast("long"))
-    tagged = fact.withColumn(_TAG, F.struct(F.col(key).alias("k"), tag.alias("t")))
-    dim_tagged = dim.filter(F.col(key).isNotNull()).withColumn(
-        _TAG, F.struct(F.col(key).alias("k"), F.lit(0).cast("long").alias("t")))
-    out = tagged.join(dim_tagged, tagged[_TAG] == dim_tagged[_TAG], "left")
-    keep = [tagged[c] for c in fact.columns] + [dim_tagged[c] for c in dim.columns if c != key]
-    return out.select(*keep)
+    left = fact.withColumn(_TAG, F.when(F.col(key).isNull(), spread).otherwise(F.lit(0).cast("long")))
+    right = right.withColumn(_DIM_TAG, F.pmod(F.xxhash64(_KEY), F.lit(1)))   # always 0
+    out = left.join(right, (left[key] == right[_KEY]) & (left[_TAG] == right[_DIM_TAG]), "left")
+    return out.select(*[left[c] for c in fact.columns], *[right[c] for c in dim.columns if c != key])
