@@ -1082,8 +1082,11 @@ def q_daily_after_changes(spark, sf_dir):
     """A daily roll-up carried through two change sets: new sales and returns, then corrected
     amounts and stores; equals the roll-up of the final rows (S17 -> A1)."""
     group = ["day", "store_id", "channel"]
+    root = scratch_path(spark, "daily-changes")
     final = fact_sales_df(spark, sf_dir).withColumn("day", F.to_date("transaction_date")).select(
         "transaction_id", *group, "customer_id", "quantity", "net_amount")
+    final.write.parquet(f"{root}/final")   # the states are filters of it: the sales are joined and cleansed once
+    final = spark.read.schema(final.schema).parquet(f"{root}/final")
     one = final.where(F.col("transaction_id") % 7 != 0)                                  # the first load
     two = final.where(~((F.col("transaction_id") % 11 == 0) & (F.col("channel") == "R")))   # late sales come, returns go
     three = two.withColumn("net_amount", F.when(F.col("transaction_id") % 13 == 0, (F.col("net_amount") + 1).cast(
@@ -1095,10 +1098,7 @@ def q_daily_after_changes(spark, sf_dir):
             F.count(F.lit(1)).alias("num_transactions"), F.count_distinct("customer_id").alias("num_customers"),
             F.sum("quantity").alias("total_units"), F.sum("net_amount").alias("total_net_revenue"))
 
-    root, states = scratch_path(spark, "daily-changes"), []
-    for i, rows in enumerate((one, two, three)):
-        rows.write.parquet(f"{root}/rows{i}")
-        states.append(spark.read.parquet(f"{root}/rows{i}"))
+    states = [one, two, three]
     rollup = daily(states[0])
     for i, (old, new) in enumerate(zip(states, states[1:])):
         rollup.write.parquet(f"{root}/rollup{i}")
