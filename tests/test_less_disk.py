@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 
 from tests.retail_fixture import EXPECTED_FACT, write_landing
 from tests.test_fewer_shuffles import DAILY_ROW, plan, write_sales
+from tierlake import catalog
 from tierlake.operators.dedupe import dedupe_latest, dedupe_stored
+from tierlake.operators.joins import left_join_dim
 from tierlake.plans import gold, layers as L, silver
 from tierlake.sources import retail_view as RV, tables
 
@@ -137,3 +139,39 @@ def test_unique_transactions_are_dealt_as_a_flag(spark):
     assert [(r.num_transactions, r.num_customers, r.total_units) for r in daily.collect()] == [(1, 2, 4)]
     text = plan(daily)
     assert "isnotnull(transaction_id" in text[text.index("RepartitionByExpression"):].split("LogicalRDD")[0]
+
+
+def test_joins_in_a_row_leave_unused_columns_and_dimensions_out(spark):
+    fact = spark.createDataFrame([(1, 1, 7, "a"), (2, None, None, "b"), (3, 2, 9, "c")], "t long, k long, m long, v string")
+    dim = spark.createDataFrame([(1, "x"), (2, "y")], "k long, name string").groupBy("k").agg(F.max("name").alias("name"))
+    other = spark.createDataFrame([(7, "p"), (8, "q")], "m long, place string").groupBy("m").agg(F.max("place").alias("place"))
+    out = left_join_dim(left_join_dim(fact, dim, "k", spread_by=["t"]), other, "m", spread_by=["t"])
+    assert lines(out) == lines(left_join_dim(left_join_dim(fact, dim, "k"), other, "m"))
+    text = plan(out.select("t", "place"))
+    assert text.count("Join") == 1 and "v#" not in text.split("LogicalRDD")[0]
+
+
+def test_the_report_stores_what_its_rules_read(spark, tmp_root, monkeypatch):
+    write_sales(spark, tmp_root)
+    for name, rows, schema in (
+            ("nation", [(1, "BRAZIL", 1)], "n_nationkey int, n_name string, n_regionkey int"),
+            ("region", [(1, "AMERICA")], "r_regionkey int, r_name string"),
+            ("customer", [(7, "C#7", 1, "Gold", 5.0), (8, "C#8", 1, "Gold", 5.0)],
+             "c_custkey long, c_name string, c_nationkey int, c_mktsegment string, c_acctbal double"),
+            ("supplier", [(21, "S#21", 1, 5.0)], "s_suppkey long, s_name string, s_nationkey int, s_acctbal double"),
+            ("part", [(10, "p", "T", 3, "B", 9.0), (11, "q", "T", 30, "B", 8.0), (12, "r", "U", 12, "B", 7.0)],
+             "p_partkey long, p_name string, p_type string, p_size int, p_brand string, p_retailprice double")):
+        spark.createDataFrame(rows, schema).write.parquet(f"{tmp_root}/{name}.parquet")
+    root = os.path.join(tmp_root, "inputs")
+    monkeypatch.setattr(catalog, "scratch_path", lambda s, name: root)
+    out = {r.source: r for r in catalog.q_expect_report(spark, tmp_root).collect()}
+    assert sorted(os.listdir(root)) == ["fact", "obt", "sales"]
+    assert all(f.endswith(".zstd.parquet") for f in files(root))
+    stored = spark.read.parquet(f"{root}/obt")
+    assert not {"customer_name", "product_name", "order_id", "unit_price"} & set(stored.columns)
+    assert stored.count() == 3 and set(gold.DAILY_INPUTS) | {"product_id"} == set(stored.columns)
+    assert len(out) == 11
+    # TXN 201 has quantity 0, TXN 101 is there twice; channels and payment methods are the driver's
+    assert {s: (r.critical_failures, r.warnings) for s, r in out.items() if s in ("bronze.sales", "silver.fact_sales",
+            "gold.obt_sales", "gold.agg_daily_sales")} == {"bronze.sales": (4, 0), "silver.fact_sales": (1, 0),
+                                                           "gold.obt_sales": (1, 0), "gold.agg_daily_sales": (0, 0)}

@@ -15,6 +15,8 @@ supports a skewed preserved side of a left outer join.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -23,11 +25,12 @@ _KEY, _TAG, _DIM_TAG = "_dim_key", "_null_key_tag", "_dim_tag"
 
 
 def left_join_dim(fact: DataFrame, dim: DataFrame, key: str,
-                  null_buckets: int = NULL_KEY_BUCKETS) -> DataFrame:
+                  null_buckets: int = NULL_KEY_BUCKETS, spread_by: Sequence[str] = ()) -> DataFrame:
     """``fact LEFT JOIN dim USING (key)``; ``dim`` must be unique on ``key``.
 
     NULL keys are spread by a second join key: tag 0 for every non-NULL key on both
-    sides, 1..null_buckets (a hash of the row) for a NULL fact key. A NULL-key fact
+    sides, 1..null_buckets (a hash of the row, or of its columns ``spread_by``: the join
+    then needs no others) for a NULL fact key. A NULL-key fact
     row matches nothing, whatever its tag. The dimension's tag is computed from its
     key, so the optimizer can't fold it to a constant and drop the second key; and as
     the keys are plain columns it still sees that a de-duplicated dimension has one
@@ -39,7 +42,7 @@ def left_join_dim(fact: DataFrame, dim: DataFrame, key: str,
     rest = [right[c] for c in right.columns if c != _KEY]
     if not null_buckets:
         return fact.join(right, fact[key] == right[_KEY], "left").select(*[fact[c] for c in fact.columns], *rest)
-    spread = F.pmod(F.xxhash64(*[F.col(c) for c in fact.columns]), F.lit(null_buckets)) + 1
+    spread = F.pmod(F.xxhash64(*[F.col(c) for c in spread_by or fact.columns]), F.lit(null_buckets)) + 1
     left = fact.withColumn(_TAG, F.when(F.col(key).isNull(), spread).otherwise(F.lit(0).cast("long")))
     right = right.withColumn(_DIM_TAG, F.pmod(F.xxhash64(_KEY), F.lit(1)))   # always 0
     out = left.join(right, (left[key] == right[_KEY]) & (left[_TAG] == right[_DIM_TAG]), "left")
