@@ -2,6 +2,7 @@
 
 import datetime as dt
 import os
+import time
 from decimal import Decimal
 
 import pytest
@@ -13,6 +14,7 @@ from tierlake import catalog
 from tierlake.operators.dedupe import dedupe_latest, dedupe_stored
 from tierlake.operators.joins import left_join_dim
 from tierlake.plans import gold, layers as L, silver
+from tierlake.session import SHUFFLE_CLEANUP, shuffles_dropped
 from tierlake.sources import retail_view as RV, tables
 
 
@@ -175,3 +177,52 @@ def test_the_report_stores_what_its_rules_read(spark, tmp_root, monkeypatch):
     assert {s: (r.critical_failures, r.warnings) for s, r in out.items() if s in ("bronze.sales", "silver.fact_sales",
             "gold.obt_sales", "gold.agg_daily_sales")} == {"bronze.sales": (4, 0), "silver.fact_sales": (1, 0),
                                                            "gold.obt_sales": (1, 0), "gold.agg_daily_sales": (0, 0)}
+
+
+def shuffle_files(spark) -> set[str]:
+    env = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get()
+    kept = env.blockManager().diskBlockManager().getAllFiles()
+    return {kept.apply(i).getName() for i in range(kept.size()) if kept.apply(i).getName().startswith("shuffle_")}
+
+
+def test_shuffles_are_dropped_with_their_action(spark, tmp_root):
+    df = spark.range(1000).withColumn("k", F.col("id") % 7)
+    before, setting = shuffle_files(spark), spark.conf.get(SHUFFLE_CLEANUP)
+    with shuffles_dropped(spark):
+        df.groupBy("k").count().write.parquet(f"{tmp_root}/a")
+        for _ in range(50):   # deleted in the background
+            if not shuffle_files(spark) - before:
+                break
+            time.sleep(0.1)
+        assert not shuffle_files(spark) - before
+    assert spark.conf.get(SHUFFLE_CLEANUP) == setting
+    with pytest.raises(ValueError), shuffles_dropped(spark):
+        raise ValueError
+    assert spark.conf.get(SHUFFLE_CLEANUP) == setting
+
+
+def test_a_layer_run_drops_its_shuffles(spark, tmp_root, monkeypatch):
+    seen = []
+    monkeypatch.setattr(L, "run_bronze", lambda ctx: seen.append(spark.conf.get(SHUFFLE_CLEANUP)))
+    monkeypatch.setattr(L, "check_layer", lambda ctx, layer: seen.append(spark.conf.get(SHUFFLE_CLEANUP)) or [])
+    L.run_layers(L.RunContext(spark, tmp_root, tmp_root), layers=("bronze",))
+    assert seen == ["true", "true"] and spark.conf.get(SHUFFLE_CLEANUP) != "true"
+
+
+def test_the_wide_table_is_stored_behind_large_dimensions(spark, tmp_root, monkeypatch):
+    landing = write_landing(os.path.join(tmp_root, "landing"))
+    stored, dropped, real = [], [], L.tables.drop
+    monkeypatch.setattr(L, "scratch_path", lambda s, name: stored.append(name) or os.path.join(tmp_root, name))
+    monkeypatch.setattr(L.tables, "drop", lambda s, path: dropped.append(os.path.basename(path)) or real(s, path))
+    tables_of = []
+    for run, large in (("plain", 10**9), ("split", 0)):
+        monkeypatch.setattr(L, "LARGE_DIM", large)
+        ctx = L.RunContext(spark, landing, os.path.join(tmp_root, run), run_id="r1", as_of=dt.datetime(2024, 1, 3))
+        L.run_bronze(ctx)
+        L.run_silver(ctx)
+        L.run_gold(ctx)
+        tables_of.append([lines(L.gold_table(ctx, "obt_sales").select(*gold.OBT_COLUMNS)), L.gold_table(ctx, "obt_sales").columns,
+                          lines(L.gold_table(ctx, "agg_daily_sales"))])
+    assert tables_of[0] == tables_of[1] and len(tables_of[0][0]) == 5
+    assert stored == ["wide-product_id", "wide-customer_id"] == dropped
+    assert not [n for n in os.listdir(tmp_root) if n.startswith("wide-")]
